@@ -37,8 +37,9 @@ def last_wins(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | No
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.dropDuplicates(list(keys))
-    order = F.struct(*[quoted(c) for c in order_cols]) if order_cols else arrival_order()
-    picked = df.groupBy(*[quoted(k) for k in keys]).agg(
+    ordered = df if order_cols else df.withColumn("__arrival", arrival_order())
+    order = F.struct(*[quoted(c) for c in order_cols or ["__arrival"]])
+    picked = ordered.groupBy(*[quoted(k) for k in keys]).agg(
         F.max_by(F.struct(*[quoted(c) for c in others]), order).alias("__row")
     )
     return picked.select(*[quoted(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
