@@ -46,6 +46,12 @@ def upsert(
     return kept.unionByName(latest, allowMissingColumns=True).drop(*helpers)
 
 
+def last_wins_of(new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str] | None = None) -> DataFrame:
+    """The rows an upsert of ``new`` into nothing leaves: the last one per key."""
+    keyed, names = _with_keys(new, keys)
+    return last_wins(keyed, names, order_cols).drop(*[n for n in names if n.startswith("__key")])
+
+
 def upsert_positions(existing: DataFrame, new: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """Upsert that keeps list order: a replaced row stays where it was, a new one is appended.
 

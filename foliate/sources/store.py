@@ -10,89 +10,109 @@ then rewrites only the slices its delta touches.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foliate.errors import OptionError
 from foliate.functions.text import safe_name
-from foliate.operators.merge import Key, upsert
+from foliate.operators.merge import Key, last_wins_of, upsert
+from foliate.schema import quoted
 
 LOG_SCHEMA = "version bigint, slice string, dir string, full boolean"
 MAX_SLICES = 20_000
 WHOLE = "all"
 
 
-def _log_path(path: str) -> str:
-    return f"{path}/log"
+@dataclass(frozen=True)
+class Layout:
+    """Which directories hold a dataset now, and the version the next write takes."""
 
+    path: str
+    slices: Mapping[str, str]
+    next_version: int
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
+    def dirs(self, wanted: Sequence[str] | None = None) -> list[str]:
+        return sorted({f"{self.path}/{d}" for s, d in self.slices.items() if wanted is None or s in wanted})
+
+
+def layout(spark: SparkSession, path: str) -> Layout:
+    """The layout as of the last completed write; no slices for a dataset never written.
+
+    Read in one small job: the newest directory per slice, and the version of the
+    last full replacement, before which nothing counts.
+    """
     try:
-        return spark.read.schema(LOG_SCHEMA).json(_log_path(path))
+        log = spark.read.schema(LOG_SCHEMA).json(f"{path}/log")
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], LOG_SCHEMA)
-        raise
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return Layout(path, {}, 1)
+    rows = (
+        log.groupBy("slice")
+        .agg(
+            F.max("version").alias("version"),
+            F.max_by("dir", "version").alias("dir"),
+            F.max(F.when(F.col("full"), F.col("version"))).alias("full"),
+        )
+        .collect()
+    )
+    base = max((r["full"] for r in rows if r["full"] is not None), default=0)
+    newest = max((r["version"] for r in rows), default=0)
+    return Layout(path, {r["slice"]: r["dir"] for r in rows if r["version"] >= base}, newest + 1)
 
 
-def current_slices(spark: SparkSession, path: str) -> dict[str, str]:
-    """Slice to directory, as of the last completed write; empty for a new dataset.
+def read(spark: SparkSession, path: str, slices: Sequence[str] | None = None) -> DataFrame | None:
+    """The current rows, or those of some slices; ``None`` for a dataset never written."""
+    return _read_dirs(spark, layout(spark, path).dirs(slices))
 
-    One line per slice: since the last full replacement, the newest directory.
-    """
-    log = read_log(spark, path)
-    base = log.where("full").agg(F.max("version")).first()[0] or 0
-    rows = log.where(F.col("version") >= base).groupBy("slice").agg(F.max_by("dir", "version").alias("dir")).collect()
-    return {r["slice"]: r["dir"] for r in rows}
 
+def _read_dirs(spark: SparkSession, dirs: Sequence[str]) -> DataFrame | None:
+    return spark.read.parquet(*dirs) if dirs else None
 
-def _next_version(spark: SparkSession, path: str) -> int:
-    return (read_log(spark, path).agg(F.max("version")).first()[0] or 0) + 1
 
+def _slice_names(df: DataFrame, slice_by: Column, path: str) -> list[str]:
+    names = [r[0] for r in df.select(safe_name(slice_by)).distinct().limit(MAX_SLICES + 1).collect()]
+    if len(names) > MAX_SLICES:
+        raise OptionError(f"{path}: more than {MAX_SLICES} slices; choose a coarser slice")
+    return names
 
-def exists(spark: SparkSession, path: str) -> bool:
-    return bool(current_slices(spark, path))
 
+def _write(
+    df: DataFrame, before: Layout, slice_by: Column | None, names: Sequence[str] | None, full: bool
+) -> DataFrame:
+    """Write a version, then its log lines; returns the rows of the new state.
 
-def read(spark: SparkSession, path: str, slices: Sequence[str] | None = None) -> DataFrame | None:
-    """The current rows, or those of some slices; ``None`` for a dataset never written."""
-    current = current_slices(spark, path)
-    dirs = sorted({d for s, d in current.items() if slices is None or s in slices})
-    if not dirs:
-        return None
-    return spark.read.parquet(*[f"{path}/{d}" for d in dirs])
-
-
-def _write(df: DataFrame, path: str, slice_by: Column | None, full: bool) -> None:
-    spark = df.sparkSession
-    version = _next_version(spark, path)
-    root = f"{path}/v={version}"
-    if slice_by is None:
-        df.write.mode("overwrite").parquet(root)
-        lines = [(version, WHOLE, f"v={version}", full)]
+    ``names`` are the slices that ``df`` covers. They are known before the write, so
+    that nothing has to be read back.
+    """
+    spark, version = df.sparkSession, before.next_version
+    root = f"v={version}"
+    if slice_by is None or not names:
+        df.write.mode("overwrite").parquet(f"{before.path}/{root}")
+        written = {WHOLE: root}
     else:
         # Rebalance by slice: few files per small slice, and a slice that holds most
         # of the rows is split over several tasks.
-        sliced = df.withColumn("__slice", safe_name(slice_by))
-        sliced.hint("rebalance", "__slice").write.mode("overwrite").partitionBy("__slice").parquet(root)
-        names = [r[0] for r in sliced.select("__slice").distinct().limit(MAX_SLICES + 1).collect()]
-        if len(names) > MAX_SLICES:
-            raise OptionError(f"{path}: more than {MAX_SLICES} slices; choose a coarser slice")
-        lines = [(version, s, f"v={version}/__slice={s}", full) for s in names]
-        if full and not lines:
-            df.write.mode("overwrite").parquet(root)
-            lines = [(version, WHOLE, f"v={version}", full)]
-    spark.createDataFrame(lines, LOG_SCHEMA).coalesce(1).write.mode("append").json(_log_path(path))
+        sliced = df.withColumn("__slice", safe_name(slice_by)).hint("rebalance", "__slice")
+        sliced.write.mode("overwrite").partitionBy("__slice").parquet(f"{before.path}/{root}")
+        written = {s: f"{root}/__slice={s}" for s in names}
+    lines = [(version, s, d, full) for s, d in written.items()]
+    spark.createDataFrame(lines, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{before.path}/log")
+    kept = {} if full else before.slices
+    return _read_dirs(spark, Layout(before.path, {**kept, **written}, version + 1).dirs())
 
 
 def replace_dataset(df: DataFrame, path: str, slice_by: Column | None = None) -> DataFrame:
-    """Make ``df`` the whole dataset and return it as written."""
-    _write(df, path, slice_by, full=True)
-    return read(df.sparkSession, path)
+    """Make ``df`` the whole dataset and return it as written.
+
+    With slices, ``df`` is read once more for their names; pass a written frame.
+    """
+    names = None if slice_by is None else _slice_names(df, slice_by, path)
+    return _write(df, layout(df.sparkSession, path), slice_by, names, full=True)
 
 
 def merge_dataset(
@@ -108,29 +128,21 @@ def merge_dataset(
     ``slice_by`` must follow from the keys, and be the same on every call: rows of
     one key then share a slice and the other slices stay as they are.
     """
-    if slice_by is None:
-        existing = read(spark, path)
-    else:
-        touched = [r[0] for r in new.select(safe_name(slice_by)).distinct().limit(MAX_SLICES + 1).collect()]
-        if len(touched) > MAX_SLICES:
-            raise OptionError(f"{path}: more than {MAX_SLICES} slices; choose a coarser slice")
-        existing = read(spark, path, touched)
+    before = layout(spark, path)
+    if not before.slices:
+        target = [c for c in new.columns if c not in (order_cols or [])]
+        first = last_wins_of(new, keys, order_cols).select(*[quoted(c) for c in target])
+        names = None if slice_by is None else _slice_names(new, slice_by, path)
+        return _write(first, before, slice_by, names, full=True)
+    touched = None if slice_by is None else _slice_names(new, slice_by, path)
+    existing = _read_dirs(spark, before.dirs(touched))
     if existing is None:
-        existing = spark.createDataFrame([], _without(new.schema, order_cols))
-    first_write = not exists(spark, path)
+        # Only new slices: the stored rows say nothing but the columns.
+        existing = _read_dirs(spark, before.dirs()).limit(0)
     merged = upsert(existing, new, keys, order_cols)
-    if first_write or slice_by is None:
-        _write(merged, path, slice_by, full=True)
-    else:
-        _write(merged, path, slice_by, full=False)
-    return read(spark, path)
-
-
-def _without(schema: T.StructType, names: Sequence[str] | None) -> T.StructType:
-    """A target schema: all fields nullable, without the helper order columns."""
-    return T.StructType(
-        [T.StructField(f.name, f.dataType, True) for f in schema.fields if f.name not in (names or [])]
-    )
+    if touched == []:
+        return _read_dirs(spark, before.dirs())
+    return _write(merged, before, slice_by, touched, full=slice_by is None)
 
 
 def prune_versions(spark: SparkSession, path: str) -> list[str]:
@@ -141,7 +153,7 @@ def prune_versions(spark: SparkSession, path: str) -> list[str]:
     """
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     fs = hadoop_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    used = set(current_slices(spark, path).values())
+    used = set(layout(spark, path).slices.values())
     deleted = []
     for status in fs.listStatus(hadoop_path(path)):
         version = status.getPath().getName()

@@ -16,6 +16,7 @@ from foliate.sources import store
 from foliate.streaming.sync_stream import sync_stream
 from foliate.workloads import records
 from foliate.workloads.registry import query, table
+from foliate.workloads.tables import POINTS_SQL
 
 CUT = "2024-01-20 00:00:00"
 
@@ -156,11 +157,9 @@ def sync_incremental(spark, sf_dir):
 
 @query(
     "merge_slices",
-    """
-SELECT user_id AS _submission_id, strftime(ts, '%Y-%m-%d') AS date, 'day' AS interval,
-       CASE event_type WHEN 'view' THEN 'abstract' ELSE 'galley' END AS kind,
-       count(*) * CASE WHEN strftime(ts, '%Y-%m-%d') >= '2024-01-20' THEN 10 ELSE 1 END AS value
-FROM events WHERE event_type IN ('view', 'click') GROUP BY ALL""",
+    f"""
+WITH {POINTS_SQL}
+SELECT submission_id AS _submission_id, date, interval, kind, CASE WHEN date >= '2024-01-20' THEN views * 10 ELSE views END AS value FROM points""",
 )
 def merge_slices(spark, sf_dir):
     """A timeline stored in slices of a day; the merge rewrites only the days of its delta."""

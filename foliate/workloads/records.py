@@ -163,7 +163,7 @@ def submissions_ext(spark, sf_dir):
         return F.struct(
             (F.col("event_id") * 2 + offset).alias("id"),
             number.alias("round"),
-            F.pmod(F.col("user_id"), F.lit(100)).alias("roundId"),
+            F.col("event_id").alias("roundId"),
             F.lit(offset).cast("bigint").alias("statusId"),
             F.lit(status).alias("status"),
             F.date_format(ts, "yyyy-MM-dd").alias("due"),
@@ -183,7 +183,7 @@ def submissions_ext(spark, sf_dir):
 ASSIGNMENTS_SQL = """
 assignments AS (
   SELECT event_id AS submission_id, event_id * 2 + k AS assignment_id, CAST(CASE k WHEN 0 THEN hour(ts) ELSE minute(ts) END AS BIGINT) AS round,
-         user_id % 100 AS round_id, CAST(k AS BIGINT) AS status_id, CASE k WHEN 0 THEN 'Invited' ELSE 'Late' END AS status,
+         event_id AS round_id, CAST(k AS BIGINT) AS status_id, CASE k WHEN 0 THEN 'Invited' ELSE 'Late' END AS status,
          CAST(ts AS DATE) AS due, CASE WHEN event_type <> 'click' THEN CAST(ts AS DATE) END AS response_due
   FROM events, (VALUES (0), (1)) v(k) WHERE event_type <> 'signup'
 )"""
@@ -262,7 +262,7 @@ def submission_files(spark, sf_dir):
         F.col("l_suppkey").alias("uploaderUserId"),
         F.lit(None).cast("bigint").alias("sourceSubmissionFileId"),
         F.when(flag == "R", 521).otherwise(515).cast("bigint").alias("assocType"),
-        F.col("l_suppkey").alias("assocId"),
+        part.alias("assocId"),
         F.date_format("l_shipdate", TEXT_TS).alias("createdAt"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("updatedAt"),
         url.alias("url"),
@@ -276,7 +276,7 @@ files AS (
          CAST(l_linenumber * 3 - 1 AS BIGINT) AS file_stage,
          CASE l_linenumber WHEN 1 THEN 'submission' WHEN 2 THEN 'review_attachment' WHEN 3 THEN 'editor' WHEN 4 THEN 'production_ready'
               WHEN 6 THEN 'dependent' ELSE 'stage_' || CAST(l_linenumber * 3 - 1 AS VARCHAR) END AS file_stage_label,
-         CASE WHEN l_returnflag = 'R' THEN l_suppkey END AS review_round_id,
+         CASE WHEN l_returnflag = 'R' THEN l_partkey END AS review_round_id,
          CASE WHEN l_returnflag <> 'N' THEN 'paper ' || l_partkey || '.pdf' END AS name,
          CASE WHEN l_returnflag = 'N' THEN 'preuve_finale' ELSE 'paper_' || l_partkey || '.pdf' END AS safe,
          l_suppkey AS uploader_user_id, l_linestatus = 'F' AS has_revisions,
