@@ -19,7 +19,7 @@ from foliate.errors import OptionError
 from foliate.schema import quoted
 
 # Tags that end a line, any other tag, and what counts as white space.
-LINE_BREAK_TAGS = r"(?iU)<br\b[^>]*>|</(?:p|li|div)\s*>"
+LINE_BREAK_TAGS = r"(?U)<(?:(?i:br)\b[^>]*|/(?i:p|li|div)\s*)>"
 ANY_TAG = r"<[^>]++>"
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r \x85\xa0\u1680"
@@ -42,8 +42,8 @@ def without_tags(col: Column) -> Column:
 
 
 def normalize_breaks(col: Column) -> Column:
-    spaced = F.translate(col, NO_BREAK_SPACE, " ")
-    return F.regexp_replace(spaced, r"\r\n?", "\n")
+    spaced = F.replace(col, F.lit(NO_BREAK_SPACE), F.lit(" "))
+    return F.replace(F.replace(spaced, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def as_text(col: Column) -> Column:

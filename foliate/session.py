@@ -59,3 +59,14 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when the input came in fewer pieces than there are cores.
+
+    One JSON array, one CSV with line breaks or one Parquet row group is one task,
+    and so would be all per-row work behind it. Inputs with enough splits, which is
+    any large one, are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

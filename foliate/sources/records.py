@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from foliate.errors import MissingDataError
 from foliate.operators.merge import with_arrival
 from foliate.schema import quoted
+from foliate.session import spread
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -36,7 +37,7 @@ def read_records(
     that a later "last one wins" has a meaning.
     """
     records = spark.read.schema(schema).option("multiLine", multiline).json(path)
-    return with_arrival(records) if arrival else records
+    return spread(with_arrival(records) if arrival else records)
 
 
 def read_datasets(

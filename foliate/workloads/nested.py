@@ -14,7 +14,7 @@ from foliate.operators.filters import keep_keyed
 from foliate.operators.joins import latest_row, pick_current
 from foliate.operators.ranking import number_rows
 from foliate.operators.reshape import explode_children, explode_ordered
-from foliate.workloads.registry import query, table
+from foliate.workloads.registry import query, spread_table, table
 
 
 def _words(documents):
@@ -117,7 +117,7 @@ SELECT d.doc_id, p.word AS current_word, f.word AS first_word
 FROM documents d LEFT JOIN picked p ON p.doc_id = d.doc_id AND p.rn = 1 LEFT JOIN words f ON f.doc_id = d.doc_id AND f.id = 0""",
 )
 def current_version_nested(spark, sf_dir):
-    docs = _words(table(spark, sf_dir, "documents"))
+    docs = _words(spread_table(spark, sf_dir, "documents"))
     current = F.when(F.col("doc_id") % 3 != 0, F.col("doc_id") % 50)
     return docs.select(
         "doc_id",
@@ -148,7 +148,7 @@ ranked AS (SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY
 SELECT d.doc_id, r.word AS latest_word FROM documents d LEFT JOIN ranked r ON r.doc_id = d.doc_id AND rn = 1""",
 )
 def latest_round_nested(spark, sf_dir):
-    docs = _words(table(spark, sf_dir, "documents"))
+    docs = _words(spread_table(spark, sf_dir, "documents"))
     return docs.select("doc_id", latest_by(F.col("children"), "stageId", "round")["word"].alias("latest_word"))
 
 
@@ -157,7 +157,7 @@ def latest_round_nested(spark, sf_dir):
     f"""WITH {WORDS_SQL} SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM words WHERE stage IN (11, 13, 17))""",
 )
 def role_filter(spark, sf_dir):
-    docs = _words(table(spark, sf_dir, "documents"))
+    docs = _words(spread_table(spark, sf_dir, "documents"))
     return docs.where(any_child_in(F.col("children"), "stageId", [11, 13, 17])).select("doc_id", "lang")
 
 
@@ -169,7 +169,7 @@ SELECT doc_id, CASE WHEN lang IN ('fr', 'es') THEN 0 ELSE CAST(len(string_split(
 FROM documents""",
 )
 def array_counts(spark, sf_dir):
-    docs = _words(table(spark, sf_dir, "documents"))
+    docs = _words(spread_table(spark, sf_dir, "documents"))
     children = F.col("children")
     return docs.select("doc_id", array_len(children).alias("n"), array_len_or_null(children).alias("n_or_null"))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from foliate.workloads.registry import table
+from foliate.workloads.registry import spread_table, table
 
 TEXT_TS = "yyyy-MM-dd HH:mm:ss"
 
@@ -44,7 +44,7 @@ def submissions(spark, sf_dir):
         F.concat(F.lit("10.1/"), _s(key)).alias("pub-id::doi"),
         F.date_format(date, "yyyy-MM-dd").alias("datePublished"),
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread_table(spark, sf_dir, "orders").select(
         key.alias("id"),
         F.when(status == "F", "Published").when(status == "O", "Submission").otherwise("Review").alias("statusLabel"),
         F.date_format(date, TEXT_TS).alias("dateSubmitted"),
@@ -83,7 +83,7 @@ def publications(spark, sf_dir):
         F.when(flag == "R", "").when(flag == "A", F.concat(F.lit("desk"), F.pmod(F.col("l_suppkey"), F.lit(25)).cast("string"), F.lit("@example.org"))).alias("email"),
     )
     ties = ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_extendedprice"]
-    return table(spark, sf_dir, "lineitem").select(
+    return spread_table(spark, sf_dir, "lineitem").select(
         order.alias("_submission_id"),
         (order * 10 + number).alias("id"),
         F.when(F.col("l_linestatus") == "F", 3).otherwise(1).cast("bigint").alias("status"),
@@ -228,7 +228,7 @@ accounts AS (
 def user_details(spark, sf_dir):
     """Orders as account details; the newest order of a customer is the valid one."""
     status, date = F.col("o_orderstatus"), F.col("o_orderdate")
-    return table(spark, sf_dir, "orders").select(
+    return spread_table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("id"),
         F.when(status == "F", "").otherwise(status).alias("country"),
         F.when(status == "P", F.to_json(F.struct(F.lit("").alias("en_US"), F.col("o_orderpriority").alias("de_DE"))))
@@ -250,7 +250,7 @@ def submission_files(spark, sf_dir):
     older = F.struct(
         (F.col("l_suppkey") + 1000000).alias("fileId"), F.when(stage != 11, F.concat(url, F.lit("?old"))).alias("url")
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("_submission_id"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         part.alias("fileId"),

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from foliate.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -26,3 +28,8 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows take much work each: spread it if it comes in few pieces."""
+    return spread(table(spark, sf_dir, name))

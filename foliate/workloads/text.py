@@ -10,7 +10,7 @@ from foliate.functions.multilingual import join_list, localized
 from foliate.functions.text import blank_to_null, mask_token, review_round_id, safe_name, stage_label
 from foliate.operators.joins import dimension_label
 from foliate.schema import DATE, DATETIME, LONG, STRING, ColumnSpec, TableSpec, conform
-from foliate.workloads.registry import query, table
+from foliate.workloads.registry import query, spread_table, table
 
 HTML_STEPS = r"""
 WITH base AS (
@@ -32,7 +32,7 @@ WITH base AS (
     + r"""SELECT page_id, regexp_replace(regexp_replace(t, '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS text FROM nl""",
 )
 def html_to_text(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"))
+    pages = spread_table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"))
     return clean_html(pages, {"text": "text"})
 
 
@@ -42,7 +42,7 @@ def html_to_text(spark, sf_dir):
     + r"""SELECT page_id, nullif(regexp_replace(regexp_replace(t, '\s*\n\s*', chr(10), 'g'), '^\s+|\s+$', '', 'g'), '') AS text FROM nl""",
 )
 def html_to_lines(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"))
+    pages = spread_table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"))
     return clean_html(pages, {"text": "lines"})
 
 
