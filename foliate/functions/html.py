@@ -52,13 +52,12 @@ def as_text(col: Column) -> Column:
 
 
 def as_lines(col: Column) -> Column:
-    """Line form: every line trimmed, blank lines dropped, nothing left is null.
+    """Line form: every line trimmed, blank lines dropped.
 
     The look-behind lets a match start only where a run of white space starts, so
     a long run without a line break is scanned once.
     """
-    joined = F.regexp_replace(col, r"(?U)(?<!\s)\s*\n\s*", "\n")
-    return F.nullif(F.btrim(joined, F.lit(WHITE_SPACE)), F.lit(""))
+    return F.btrim(F.regexp_replace(col, r"(?U)(?<!\s)\s*\n\s*", "\n"), F.lit(WHITE_SPACE))
 
 
 def clean_html(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -80,4 +79,7 @@ def clean_html(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
         text = quoted(f"__bare_{c}")
         plain = F.coalesce(decode_entities(F.when(F.contains(text, F.lit("&")), text)), text)
         decoded[c] = finish[mode](normalize_breaks(plain))
-    return staged.withColumns(decoded).drop(*bare)
+    cleaned = staged.withColumns(decoded).drop(*bare)
+    # A step of its own: the cleaned text is tested and returned, but computed once.
+    emptied = {c: F.nullif(quoted(c), F.lit("")) for c, mode in columns.items() if mode == "lines"}
+    return cleaned.withColumns(emptied) if emptied else cleaned

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from foliate.schema import quoted
+from foliate.session import small_frame
 
 
 def always_null_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -98,4 +99,4 @@ class RunMetrics:
         return self._known + observed
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows(), "dataset string, metric string, value bigint")
+        return small_frame(spark, self.rows(), "dataset string, metric string, value bigint")

@@ -21,6 +21,7 @@ from foliate.plans import api, landing, specs
 from foliate.plans.articles import normalize_articles
 from foliate.plans.reviews import normalize_reviews
 from foliate.schema import TableSpec
+from foliate.session import small_frame
 from foliate.sources import store
 from foliate.sources.records import read_datasets
 from foliate.sources.reports import accepted_reports, latest_snapshot, read_report_csv
@@ -123,7 +124,7 @@ def run_download_plan(
     stage_ids(file_type, file_stages)
     ids = None
     if submission_ids:
-        ids = spark.createDataFrame([(int(i),) for i in submission_ids], "id bigint")
+        ids = small_frame(spark, [(int(i),) for i in submission_ids], "id bigint")
         require_some_keys(ids, files, "_submission_id")
     elif submissions is not None:
         ids = submissions.select("id")
@@ -150,22 +151,26 @@ class _Run:
         self.spark, self.target, self.incremental = spark, target, incremental
         self.metrics = RunMetrics()
 
-    def stage(self, name: str, delta: DataFrame) -> DataFrame:
-        """Write a delta once: it is read for its keys, its rows and its count."""
-        staged = store.replace_dataset(delta, f"{self.target}/delta/{name}")
-        self.metrics.add(name, "fetched", staged.count())
-        return staged
+    def load(self, name: str, records: DataFrame, merge: bool | None = None) -> tuple[DataFrame, DataFrame]:
+        """Merge or replace a dataset; returns what this run brought and the whole dataset.
 
-    def save(self, name: str, delta: DataFrame, merge: bool | None = None) -> DataFrame:
+        A replaced dataset is written once, straight from the records. A delta is
+        staged first, because it is read for its keys, its rows and its count.
+        """
         path = f"{self.target}/{name}"
         slice_by = SLICES[name]() if name in SLICES else None
-        if self.incremental if merge is None else merge:
-            order = ["_seq"] if "_seq" in delta.columns else None
-            saved = store.merge_dataset(self.spark, path, delta, landing.MERGE_KEYS[name], order, slice_by)
-        else:
-            saved = store.replace_dataset(delta.drop("_seq"), path, slice_by)
-        self.metrics.add(name, "total", saved.count())
-        return saved
+        if not (self.incremental if merge is None else merge):
+            saved = store.replace_dataset(records.drop("_seq"), path, slice_by)
+            rows = saved.count()
+            self.metrics.add(name, "fetched", rows)
+            self.metrics.add(name, "total", rows)
+            return saved, saved
+        delta = store.replace_dataset(records, f"{self.target}/delta/{name}")
+        order = ["_seq"] if "_seq" in delta.columns else None
+        merged = store.merge_dataset(self.spark, path, delta, landing.MERGE_KEYS[name], order, slice_by)
+        self.metrics.add(name, "fetched", delta.count())
+        self.metrics.add(name, "total", merged.count())
+        return delta, merged
 
 
 def sync(
@@ -218,33 +223,28 @@ def sync(
     mark = since or (high_water_mark(seen, "last_activity") if incremental else None)
     run = _Run(spark, target, incremental and mark is not None)
 
-    delta = {}
-    for name in ("submissions", "_submissions"):
-        newer = changed_since(landed[name], mark, "dateLastActivity") if run.incremental else landed[name]
-        delta[name] = run.stage(name, newer)
-    merged = run.save("submissions", delta["submissions"])
-    run.save("_submissions", delta["_submissions"])
+    def newer(name: str) -> DataFrame:
+        return changed_since(landed[name], mark, "dateLastActivity") if run.incremental else landed[name]
+
+    changed, merged = run.load("submissions", newer("submissions"))
+    run.load("_submissions", newer("_submissions"))
 
-    changed = delta["submissions"]
     if run.incremental:
         changed = skip_unchanged(changed, seen, "id", "dateLastActivity")
-    details = rows_of_ids(landed["publications"], "_submission_id", changed, "id")
-    run.save("publications", run.stage("publications", details))
+    run.load("publications", rows_of_ids(landed["publications"], "_submission_id", changed, "id"))
 
     if files and landed.get("submission_files") is not None:
         due = merged
         if run.incremental:
             due = skip_unchanged(merged, seen_of(state["seen"], "files"), "id", "dateLastActivity")
-        records = rows_of_ids(landed["submission_files"], "_submission_id", due, "id")
-        run.save("submission_files", run.stage("submission_files", records))
+        run.load("submission_files", rows_of_ids(landed["submission_files"], "_submission_id", due, "id"))
 
-    users = run.save("users", run.stage("users", landed["users"]), merge=False)
+    users, _ = run.load("users", landed["users"], merge=False)
 
     if user_details and landed.get("user_details") is not None:
         chosen = users.where(any_child_in(F.col("groups"), "roleId", user_roles or []))
         records = rows_of_ids(landed["user_details"], "id", chosen, "id")
-        stamped = records.withColumn("_fetched_at", F.lit(run_ts))
-        run.save("user_details", run.stage("user_details", stamped), merge=True)
+        run.load("user_details", records.withColumn("_fetched_at", F.lit(run_ts)), merge=True)
 
     stats_ok = False
     if stats and landed.get("publication_stats") is not None:
@@ -267,7 +267,7 @@ def _sync_stats(
     run: _Run, landed: Mapping[str, DataFrame | None], interval: str, start: str | None, end: str | None
 ) -> None:
     """Cumulative totals are replaced whole; only the period series are windowed and merged."""
-    totals = run.save("publication_stats", run.stage("publication_stats", landed["publication_stats"]), merge=False)
+    totals, _ = run.load("publication_stats", landed["publication_stats"], merge=False)
     published = totals.select(F.col("publication.id").alias("id"))
     for name in ("views_timeline", "views_timeline_totals"):
         points = landed.get(name)
@@ -276,7 +276,7 @@ def _sync_stats(
         points = date_window(of_interval(points, interval), "date", start, end)
         if name == "views_timeline":
             points = rows_of_ids(points, "_submission_id", published, "id")
-        run.save(name, run.stage(name, points))
+        run.load(name, points)
 
 
 def _commit(

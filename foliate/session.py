@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliate.errors import OptionError
 
@@ -70,3 +74,12 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def small_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A frame of driver-side rows (log lines, marks, documentation), handed over as Arrow."""
+    schema = T.StructType.fromDDL(ddl)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    columns = [pa.array(values, f.type) for values, f in zip(zip(*rows, strict=True), to_arrow_schema(schema), strict=True)]
+    return spark.createDataFrame(pa.table(columns, names=schema.names), schema)

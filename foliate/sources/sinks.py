@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from foliate.errors import OptionError
 from foliate.operators.quality import RunMetrics
 from foliate.schema import DOC_TYPE_NAMES, TableSpec, quoted
+from foliate.session import small_frame
 
 DOC_SCHEMA = (
     "table_name string, column_name string, data_type string, in_output string, "
@@ -80,7 +81,7 @@ def schema_docs(spark: SparkSession, specs: Iterable[TableSpec], profiles: DataF
 
     ``profiles`` is keyed by ``table_name, column_name`` (see ``catalog.profile_tables``).
     """
-    docs = spark.createDataFrame(doc_rows(specs), DOC_SCHEMA)
+    docs = small_frame(spark, doc_rows(specs), DOC_SCHEMA)
     return docs if profiles is None else docs.join(profiles, ["table_name", "column_name"], "left")
 
 

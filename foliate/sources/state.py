@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliate.schema import quoted
+from foliate.session import small_frame
 from foliate.sources import store
 
 MARKS_SCHEMA = "dataset string, mark string"
@@ -60,4 +61,4 @@ def commit_state(spark: SparkSession, directory: str, marks: Mapping[str, str |
     """
     store.replace_dataset(seen, f"{directory}/seen")
     rows = [(k, v) for k, v in marks.items() if v is not None]
-    store.replace_dataset(spark.createDataFrame(rows, MARKS_SCHEMA), f"{directory}/marks")
+    store.replace_dataset(small_frame(spark, rows, MARKS_SCHEMA), f"{directory}/marks")

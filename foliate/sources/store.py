@@ -21,6 +21,7 @@ from foliate.errors import OptionError
 from foliate.functions.text import safe_name
 from foliate.operators.merge import Key, last_wins_of, upsert
 from foliate.schema import quoted
+from foliate.session import small_frame
 
 LOG_SCHEMA = "version bigint, slice string, dir string, full boolean"
 MAX_SLICES = 20_000
@@ -74,45 +75,43 @@ def _read_dirs(spark: SparkSession, dirs: Sequence[str]) -> DataFrame | None:
     return spark.read.parquet(*dirs) if dirs else None
 
 
-def _slice_names(df: DataFrame, slice_by: Column, path: str) -> list[str]:
-    names = [r[0] for r in df.select(safe_name(slice_by)).distinct().limit(MAX_SLICES + 1).collect()]
-    if len(names) > MAX_SLICES:
-        raise OptionError(f"{path}: more than {MAX_SLICES} slices; choose a coarser slice")
-    return names
-
-
 def _write(
     df: DataFrame, before: Layout, slice_by: Column | None, names: Sequence[str] | None, full: bool
 ) -> DataFrame:
     """Write a version, then its log lines; returns the rows of the new state.
 
-    ``names`` are the slices that ``df`` covers. They are known before the write, so
-    that nothing has to be read back.
+    ``names`` are the slices ``df`` covers; a full write finds them in what it wrote.
     """
     spark, version = df.sparkSession, before.next_version
     root = f"v={version}"
-    if slice_by is None or not names:
-        df.write.mode("overwrite").parquet(f"{before.path}/{root}")
-        written = {WHOLE: root}
-    else:
+    target = f"{before.path}/{root}"
+    if slice_by is not None:
         # Rebalance by slice: few files per small slice, and a slice that holds most
         # of the rows is split over several tasks.
         sliced = df.withColumn("__slice", safe_name(slice_by)).hint("rebalance", "__slice")
-        sliced.write.mode("overwrite").partitionBy("__slice").parquet(f"{before.path}/{root}")
-        written = {s: f"{root}/__slice={s}" for s in names}
+        sliced.write.mode("overwrite").partitionBy("__slice").parquet(target)
+        if full:
+            names = _bounded(spark.read.schema("__slice string").parquet(target).select("__slice"), before.path)
+        written = {s: f"{root}/__slice={s}" for s in names or []}
+    if slice_by is None or not written:
+        df.write.mode("overwrite").parquet(target)
+        written = {WHOLE: root}
     lines = [(version, s, d, full) for s, d in written.items()]
-    spark.createDataFrame(lines, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{before.path}/log")
+    small_frame(spark, lines, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{before.path}/log")
     kept = {} if full else before.slices
     return _read_dirs(spark, Layout(before.path, {**kept, **written}, version + 1).dirs())
 
 
-def replace_dataset(df: DataFrame, path: str, slice_by: Column | None = None) -> DataFrame:
-    """Make ``df`` the whole dataset and return it as written.
+def _bounded(names: DataFrame, path: str) -> list[str]:
+    found = [r[0] for r in names.distinct().limit(MAX_SLICES + 1).collect()]
+    if len(found) > MAX_SLICES:
+        raise OptionError(f"{path}: more than {MAX_SLICES} slices; choose a coarser slice")
+    return found
 
-    With slices, ``df`` is read once more for their names; pass a written frame.
-    """
-    names = None if slice_by is None else _slice_names(df, slice_by, path)
-    return _write(df, layout(df.sparkSession, path), slice_by, names, full=True)
+
+def replace_dataset(df: DataFrame, path: str, slice_by: Column | None = None) -> DataFrame:
+    """Make ``df`` the whole dataset and return it as written."""
+    return _write(df, layout(df.sparkSession, path), slice_by, None, full=True)
 
 
 def merge_dataset(
@@ -132,9 +131,8 @@ def merge_dataset(
     if not before.slices:
         target = [c for c in new.columns if c not in (order_cols or [])]
         first = last_wins_of(new, keys, order_cols).select(*[quoted(c) for c in target])
-        names = None if slice_by is None else _slice_names(new, slice_by, path)
-        return _write(first, before, slice_by, names, full=True)
-    touched = None if slice_by is None else _slice_names(new, slice_by, path)
+        return _write(first, before, slice_by, None, full=True)
+    touched = None if slice_by is None else _bounded(new.select(safe_name(slice_by)), path)
     existing = _read_dirs(spark, before.dirs(touched))
     if existing is None:
         # Only new slices: the stored rows say nothing but the columns.
