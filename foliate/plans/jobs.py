@@ -59,19 +59,23 @@ def run_normalize_api(
 ) -> DataFrame:
     """Normalize a landing folder into its tables; returns the run's metrics.
 
-    Submissions is written first and publications built on the written rows, so
-    the HTML of the abstracts is cleaned once.
+    JSON is parsed once: each dataset is first written as Parquet, and every table
+    reads only its columns from there. Submissions is written before publications
+    is built on it, so the HTML of the abstracts is cleaned once.
     """
-    datasets = read_datasets(spark, api_dir, landing.required_schemas(), landing.optional_schemas(), multiline)
-    by_name = _by_name(specs.API_TABLES)
+    landed = read_datasets(spark, api_dir, landing.required_schemas(), landing.optional_schemas(), multiline)
+    datasets = {
+        name: None if df is None else store.replace_dataset(df, f"{out_dir}/staging/landed/{name}")
+        for name, df in landed.items()
+    }
     metrics = RunMetrics()
     tables = api.normalize_api(datasets)
-    staged = store.replace_dataset(tables["submissions"], f"{out_dir}/staging/submissions")
-    tables["submissions"] = staged
-    publications, lost = api.publications_with_loss(staged, datasets["publications"])
-    tables["publications"] = publications
-    tables["authors"] = metrics.watch(tables["authors"], "authors_matched", matched=F.count("user_id"))
-    write_tables(tables, by_name, out_dir, fmt, metrics)
+    submissions = store.replace_dataset(tables["submissions"], f"{out_dir}/staging/submissions")
+    publications, lost = api.publications_with_loss(submissions, datasets["publications"])
+    tables |= {"submissions": submissions, "publications": publications}
+    write_tables(
+        tables, _by_name(specs.API_TABLES), out_dir, fmt, metrics, extra={"authors": {"matched": F.count("user_id")}}
+    )
     metrics.add("publications", "lost", lost.first()["lost"])
     return metrics.to_df(spark)
 

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
+import io
+import json
+import posixpath
+import re
+from collections.abc import Iterator, Mapping, Sequence
+
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +18,13 @@ from pyspark.sql import types as T
 from foliate.errors import MissingDataError
 from foliate.operators.merge import with_arrival
 from foliate.schema import quoted
-from foliate.session import spread
+from foliate.session import small_frame, spread
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether Spark can list ``path``, on whatever file system it names."""
     try:
-        spark.read.format("binaryFile").load(path)
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return False
@@ -36,10 +42,65 @@ def read_records(
     datasets in. With ``arrival`` the position in the read is kept as ``_seq``, so
     that a later "last one wins" has a meaning.
     """
-    records = spark.read.schema(schema).option("multiLine", multiline).json(path)
+    if isinstance(path, str) and is_hidden(path):
+        records = _read_hidden(spark, path, schema)
+    else:
+        records = spark.read.schema(schema).option("multiLine", multiline).json(path)
     return spread(with_arrival(records) if arrival else records)
 
 
+def is_hidden(path: str) -> bool:
+    """Spark's readers skip files whose name starts so, without an error."""
+    name = posixpath.basename(path)
+    return name.startswith(("_", ".")) and posixpath.splitext(name)[1] != ""
+
+
+CHUNK_CHARS = 1 << 20
+BATCH_RECORDS = 1_000
+BETWEEN_RECORDS = re.compile(r"[\s\[\],]*")
+
+
+def _record_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of JSON files as text, read forward and cut at record ends."""
+    decoder = json.JSONDecoder()
+    for batch in batches:
+        for uri in batch.column(0).to_pylist():
+            source, path = pafs.FileSystem.from_uri(uri)
+            with io.TextIOWrapper(source.open_input_stream(path), encoding="utf-8-sig", errors="replace") as text:
+                found: list[str] = []
+                buffer, at = text.read(CHUNK_CHARS), 0
+                while True:
+                    at = BETWEEN_RECORDS.match(buffer, at).end()
+                    try:
+                        _, end = decoder.raw_decode(buffer, at)
+                    except json.JSONDecodeError:
+                        rest = buffer[at:]
+                        more = text.read(max(CHUNK_CHARS, len(rest)))
+                        if not more:
+                            break
+                        buffer, at = rest + more, 0
+                        continue
+                    found.append(buffer[at:end])
+                    at = end
+                    if len(found) == BATCH_RECORDS:
+                        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["record"])
+                        found = []
+                if rest:
+                    raise ValueError(f"{uri} ends inside a record")
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["record"])
+
+
+def _read_hidden(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Records of a file such as ``_submissions.json``, which Spark's own reader leaves out.
+
+    The file is read in one task, as any JSON array is, in pieces of bounded size.
+    Land large datasets as a folder of JSON Lines instead.
+    """
+    texts = small_frame(spark, [(path,)], "path string").mapInArrow(_record_texts, "record string")
+    return texts.select(F.from_json("record", schema).alias("r")).select("r.*")
+
+
 def read_datasets(
     spark: SparkSession,
     directory: str,

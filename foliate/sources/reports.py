@@ -32,7 +32,7 @@ def latest_snapshot(spark: SparkSession, directory: str, glob: str, explicit: st
             raise MissingDataError(f"{explicit} not found")
         return explicit
     try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
+        files = spark.read.format("binaryFile").load(f"{directory}/{glob}")
         newest = files.agg(F.max("path")).first()[0]
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":

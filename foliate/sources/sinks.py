@@ -36,11 +36,13 @@ def write_tables(
     directory: str,
     fmt: str = "parquet",
     metrics: RunMetrics | None = None,
+    extra: Mapping[str, Mapping[str, Column]] | None = None,
 ) -> dict[str, str]:
     """Write each table, in its declared order, to ``<directory>/<name>``.
 
     The sort is a range partitioning: file by file the rows are in order, and no
-    task sees more than its range. Row counts are observed on the way.
+    task sees more than its range. Row counts, and the ``extra`` aggregates of a
+    table, are observed behind the sort, because the sort samples what is before it.
     """
     if fmt not in ("parquet", "csv"):
         raise OptionError(f"unknown table format {fmt!r}; expected one of: csv, parquet")
@@ -48,7 +50,7 @@ def write_tables(
     for name, df in tables.items():
         ordered = in_table_order(df, specs[name]) if name in specs else df
         if metrics is not None:
-            ordered = metrics.watch(ordered, name)
+            ordered = metrics.watch(ordered, name, **(extra or {}).get(name, {}))
         writer = ordered.write.mode("overwrite")
         paths[name] = f"{directory}/{name}"
         if fmt == "csv":

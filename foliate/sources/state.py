@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from foliate.schema import quoted
 from foliate.session import small_frame
 from foliate.sources import store
 
+logger = logging.getLogger(__name__)
+
 MARKS_SCHEMA = "dataset string, mark string"
 SEEN_SCHEMA = "dataset string, id bigint, last_activity string"
 
@@ -32,7 +36,8 @@ def load_state(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
             else:
                 stored.limit(1).collect()
                 state[name] = stored.select(*empty.columns)
-        except PySparkException:
+        except (PySparkException, Py4JJavaError) as e:
+            logger.warning("WARNING: %s/%s cannot be read, so everything is loaded anew: %s", directory, name, e)
             state[name] = empty
     return state
 

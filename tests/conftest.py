@@ -14,7 +14,8 @@ def spark():
         "local[4]",
         "foliate-tests",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             # A zone with summer time: naive timestamps must not depend on it.
