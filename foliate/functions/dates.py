@@ -13,8 +13,6 @@ from foliate.errors import OptionError
 # The two temporal text forms, and the overlap of a repeated pull.
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}\z"
 TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
-DATE_FORMAT = "yyyy-MM-dd"
 SYNC_OVERLAP = "1 day"
 
 
@@ -37,13 +35,17 @@ def minus_overlap(col: Column, overlap: str = SYNC_OVERLAP) -> Column:
 
 
 def mark_text(col: Column, overlap: str = SYNC_OVERLAP) -> Column:
-    """A high-water timestamp less the overlap, in the ``Y-m-d H:i:s`` text form."""
-    return F.date_format(minus_overlap(col, overlap), TIMESTAMP_FORMAT)
+    """A high-water timestamp less the overlap, in the ``Y-m-d H:i:s`` text form.
+
+    Cut from the cast: ``date_format`` would take a naive time through the session
+    zone and move it in the hour that summer time skips.
+    """
+    return F.substring(minus_overlap(col, overlap).cast("string"), 1, 19)
 
 
 def window_text(col: Column, overlap: str = SYNC_OVERLAP) -> Column:
     """The day a re-read window starts on: the timestamp less the overlap, as a date."""
-    return F.date_format(minus_overlap(col, overlap), DATE_FORMAT)
+    return F.substring(minus_overlap(col, overlap).cast("string"), 1, 10)
 
 
 def require_iso_date(option: str, value: str | None) -> None:

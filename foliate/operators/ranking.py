@@ -19,7 +19,6 @@ def number_rows(
     order: Sequence[Column],
     number_col: str,
     max_group_rows: int = MAX_WINDOW_GROUP,
-    total_order: bool = False,
 ) -> DataFrame:
     """Number the rows of each group from 1 in ``order``.
 
@@ -30,26 +29,28 @@ def number_rows(
     earlier partitions.
 
     With no ``keys`` the whole table is one group and is numbered in its total order.
-    ``total_order`` states that no two rows of a group share all order columns.
     """
     largest = 0 if not keys else (df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0)
     if keys and largest <= max_group_rows:
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(number_col, F.row_number().over(window).cast("bigint"))
-    return _number_by_ranges(df, keys, order, number_col, total_order)
+    return _number_by_ranges(df, keys, order, number_col)
 
 
-def _number_by_ranges(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], number_col: str, total_order: bool
-) -> DataFrame:
-    # Rows that tie would all fall into one range, so they get a running number. It
-    # decides where a row is sent and must not change when a task is retried, hence
-    # it is taken from written rows.
-    if total_order:
-        tied, tie = df, []
-    else:
-        tied, tie = materialize(df).withColumn("__tie", F.monotonically_increasing_id()), [F.col("__tie")]
-    ranged = tied.repartitionByRange(*[quoted(k) for k in keys], *order, *tie)
+def spread_by_range(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Range-partition by ``order``, splitting groups of rows that are equal in it.
+
+    Rows that tie are told apart by a hash of their columns and, when they are
+    copies of each other, by the partition they come from. Both stay the same when
+    a task is retried, so no row is sent twice or lost.
+    """
+    hashable = [quoted(n) for n, t in df.dtypes if "map<" not in t and "variant" not in t]
+    ties = {"__hash": F.xxhash64(*hashable), "__from": F.spark_partition_id()}
+    return df.withColumns(ties).repartitionByRange(*order, *ties).drop(*ties)
+
+
+def _number_by_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], number_col: str) -> DataFrame:
+    ranged = spread_by_range(df, [*[quoted(k) for k in keys], *order])
     # Written once: counts and rows below must agree on which partition a row is in.
     placed = materialize(ranged.withColumn("__part", F.spark_partition_id()))
     slice_keys = [*keys, "__part"]
@@ -60,7 +61,7 @@ def _number_by_ranges(
         F.col("__part").alias("__shift_part"),
         F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__shift"),
     )
-    local = Window.partitionBy(*slice_keys).orderBy(*order, *tie)
+    local = Window.partitionBy(*slice_keys).orderBy(*order)
     numbered = placed.withColumn("__local", F.row_number().over(local))
     same_slice = F.col("__part") == F.col("__shift_part")
     for i, k in enumerate(keys):

@@ -6,7 +6,7 @@ import posixpath
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliate.errors import DataError, MissingDataError, OptionError
@@ -20,7 +20,7 @@ from foliate.operators.quality import RunMetrics, profile
 from foliate.plans import api, landing, specs
 from foliate.plans.articles import normalize_articles
 from foliate.plans.reviews import normalize_reviews
-from foliate.schema import TableSpec
+from foliate.schema import TableSpec, quoted
 from foliate.session import small_frame
 from foliate.sources import store
 from foliate.sources.records import read_datasets
@@ -141,11 +141,28 @@ def append_manifest(spark: SparkSession, path: str, records: DataFrame) -> DataF
     return store.merge_dataset(spark, path, records, ["file_id"])
 
 
-def _timeline_slice():
+IDS_PER_SLICE = 1_000_000
+
+
+def _timeline_slice() -> Column:
     return F.concat_ws("-", F.coalesce("interval", F.lit("none")), F.substring("date", 1, 7))
 
 
-SLICES = {"views_timeline": _timeline_slice, "views_timeline_totals": _timeline_slice}
+def _id_slice(key: str) -> Callable[[], Column]:
+    return lambda: F.floor(quoted(key) / IDS_PER_SLICE).cast("string")
+
+
+# What a merge may leave untouched: months of a timeline, ranges of ids elsewhere.
+# Changes gather in recent months and recent ids.
+SLICES = {
+    "submissions": _id_slice("id"),
+    "_submissions": _id_slice("id"),
+    "publications": _id_slice("_submission_id"),
+    "submission_files": _id_slice("id"),
+    "user_details": _id_slice("id"),
+    "views_timeline": _timeline_slice,
+    "views_timeline_totals": _timeline_slice,
+}
 
 
 class _Run:

@@ -216,7 +216,7 @@ def newest_first(spark, sf_dir):
         "o_orderkey", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate")).alias("date_published")
     )
     order = [F.col("date_published").desc_nulls_first(), F.col("o_orderkey").asc()]
-    return number_rows(dated, [], order, "place", total_order=True)
+    return number_rows(dated, [], order, "place")
 
 
 @query(

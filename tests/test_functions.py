@@ -119,7 +119,9 @@ def test_timestamps_stay_naive_and_strict(spark):
 
 def test_marks(spark):
     ts = F.col("x").cast("timestamp_ntz")
-    assert one(spark, dates.mark_text(ts), "string", "2024-06-15 08:30:00", None) == ["2024-06-14 08:30:00", None]
+    assert one(spark, dates.mark_text(ts), "string", "2024-06-15 08:30:00", "2024-03-11 02:30:00.5", None) == [
+        "2024-06-14 08:30:00", "2024-03-10 02:30:00", None,
+    ]
     assert one(spark, dates.window_text(ts), "string", "2024-03-01 00:00:00") == ["2024-02-29"]
 
 

@@ -225,16 +225,15 @@ def test_high_water(spark):
 # -- numbering --------------------------------------------------------------
 
 
-@pytest.mark.parametrize("total_order", [False, True])
-def test_number_rows_splits_a_hot_group_exactly(spark, total_order):
-    df = spark.range(3000).select(
+@pytest.mark.parametrize("distinct_order", [False, True])
+def test_number_rows_splits_a_hot_group_exactly(spark, distinct_order):
+    df = spark.range(0, 3000, 1, 4).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"),
-        (F.col("id") if total_order else F.col("id") % 7).alias("o"),
-        F.col("id"),
+        (F.col("id") if distinct_order else F.col("id") % 7).alias("o"),
     )
     order = [F.col("o").asc_nulls_first()]
     plain = ranking.number_rows(df, ["k"], order, "n")
-    split = ranking.number_rows(df, ["k"], order, "n", max_group_rows=100, total_order=total_order)
+    split = ranking.number_rows(df, ["k"], order, "n", max_group_rows=100)
     assert split.count() == 3000
     per_group = split.groupBy("k").agg(F.count("*").alias("c"), F.max("n").alias("m"), F.count_distinct("n").alias("d"))
     assert per_group.where("c <> m or c <> d").count() == 0
@@ -243,9 +242,20 @@ def test_number_rows_splits_a_hot_group_exactly(spark, total_order):
     ).count() == 0
 
 
+def test_copies_are_spread_over_ranges(spark):
+    copies = spark.range(0, 20000, 1, 8).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = ranking.spread_by_range(copies, [F.col("k")])
+        sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 1 and sum(sizes) == 20000
+
+
 def test_number_rows_without_keys_is_the_total_order(spark):
     df = spark.range(500).select((499 - F.col("id")).alias("v"))
-    numbered = ranking.number_rows(df, [], [F.col("v")], "n", total_order=True)
+    numbered = ranking.number_rows(df, [], [F.col("v")], "n")
     assert numbered.where("n <> v + 1").count() == 0
     assert numbered.count() == 500
 
