@@ -25,39 +25,38 @@ def download_targets(files: DataFrame, include_revisions: bool = True) -> DataFr
     """One row per physical file of a record: the current upload, then its revisions.
 
     An entry without a file id or a URL is left out, and an id that a record
-    repeats counts once, at its first usable place. All of this happens inside the
-    record's own array, before it is exploded.
+    repeats counts once, at its first usable place. All of this stays within the
+    record's own array, so nothing is shuffled.
     """
-    current = F.array(F.struct(F.col("fileId").alias("fileId"), F.col("url").alias("url")))
+    entries = F.array(F.struct(F.col("fileId").alias("fileId"), F.col("url").alias("url")))
     if include_revisions:
-        earlier = F.transform(
-            F.coalesce(F.col("revisions"), F.array().cast("array<struct<fileId:bigint,url:string>>")),
-            lambda r: F.struct(r["fileId"].alias("fileId"), r["url"].alias("url")),
-        )
-        current = F.concat(current, earlier)
-    usable = F.filter(
-        current,
-        lambda t: F.coalesce((t["fileId"] != 0) & (t["url"] != ""), F.lit(False)),
-    )
-    first_places = F.transform(
-        F.array_distinct(F.transform(F.col("__usable"), lambda t: t["fileId"])),
-        lambda file_id: F.get(F.filter(F.col("__usable"), lambda t: t["fileId"] == file_id), F.lit(0)),
-    )
-    targets = files.withColumn("__usable", usable).withColumn("__target", F.explode(first_places))
-    name = safe_name(localized(F.col("name"), fallback_any=True))
-    return targets.select(
+        earlier = F.coalesce(F.col("revisions"), F.array().cast("array<struct<fileId:bigint,url:string>>"))
+        entries = F.concat(entries, earlier)
+    usable = F.filter(entries, lambda e: F.coalesce((e["fileId"] != 0) & (e["url"] != ""), F.lit(False)))
+    # Labels and names are settled once per record, before it is exploded.
+    records = files.select(
         F.col("_submission_id").alias("submission_id"),
         F.col("id").alias("submission_file_id"),
-        F.col("__target")["fileId"].alias("file_id"),
         F.col("fileStage").alias("file_stage"),
         stage_label(F.col("fileStage")).alias("stage"),
         review_round_id(F.col("assocType"), F.col("assocId")).alias("review_round_id"),
-        F.col("__target")["url"].alias("url"),
-        F.concat(F.col("__target")["fileId"].cast("string"), F.lit("_"), name).alias("filename"),
-    ).withColumn(
-        "path",
-        F.concat_ws("/", F.coalesce(F.col("submission_id").cast("string"), F.lit("None")), F.col("stage"), F.col("filename")),
+        safe_name(localized(F.col("name"), fallback_any=True)).alias("__name"),
+        usable.alias("__usable"),
+    )
+    entered = records.select("*", F.posexplode("__usable").alias("__place", "__entry"))
+    first_of_its_id = F.array_position(F.col("__usable.fileId"), F.col("__entry.fileId")) == F.col("__place") + 1
+    targets = entered.where(first_of_its_id).select(
+        "submission_id",
+        "submission_file_id",
+        F.col("__entry.fileId").alias("file_id"),
+        "file_stage",
+        "stage",
+        "review_round_id",
+        F.col("__entry.url").alias("url"),
+        F.concat(F.col("__entry.fileId").cast("string"), F.lit("_"), F.col("__name")).alias("filename"),
     )
+    folder = F.coalesce(F.col("submission_id").cast("string"), F.lit("None"))
+    return targets.withColumn("path", F.concat_ws("/", folder, F.col("stage"), F.col("filename")))
 
 
 def is_contained(path: Column) -> Column:

@@ -100,7 +100,10 @@ def unambiguous_lookup(
     salt is a hash of ``row_id`` (by default of all hashable columns): a retried
     task then sends each row to the same place again.
     """
-    lookup = unambiguous_values(right, right_key, value_col).withColumn("__salt_r", F.lit(0))
+    # Always 0, but not a literal: the optimizer would turn the comparison with one
+    # into a filter and exchange on the key alone.
+    zero = F.pmod(F.xxhash64("__key"), F.lit(1)).cast("int")
+    lookup = unambiguous_values(right, right_key, value_col).withColumn("__salt_r", zero)
     usable = quoted(left_key).isNotNull()
     if dict(left.dtypes)[left_key] == "string":
         usable = F.coalesce(quoted(left_key) != "", F.lit(False))

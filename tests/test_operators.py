@@ -151,6 +151,19 @@ def test_unambiguous_lookup(spark, rows):
     assert rows(joins.ambiguous_keys(users, "email", "id")) == [("dup@x.org", 2, 1, 2)]
 
 
+def test_rows_without_a_key_are_spread(spark):
+    left = spark.range(0, 4000).select("id", F.when(F.col("id") < 0, "a").alias("email"))
+    right = spark.createDataFrame([(1, "a")], "uid int, email string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = joins.unambiguous_lookup(left, right, "email", "email", "uid", row_id=["id"])
+        exchanges = [line for line in joined._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning(email" in line]
+        assert any("__salt_l" in line for line in exchanges)
+        assert joined.where("uid is null").count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_skip_unchanged(spark, rows):
     now = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "d"), (5, "e")], "id int, ts string")
     seen = spark.createDataFrame([(1, "a"), (2, "x"), (3, None), (4, None)], "id int, last_activity string")
