@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliate.llm import bpe, chat, decontaminate, language_id, line_dedup, quality, simhash, token_counts, toxicity
+from foliate.llm import bpe, chat, decontaminate, html_extract, language_id, line_dedup, quality, simhash, token_counts, toxicity
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -73,6 +73,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(docs, language_id.train_language_model(docs))
 
 
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract_text(pages, html_extract.train_extractor(pages))
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
