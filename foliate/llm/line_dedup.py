@@ -28,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,19 +86,23 @@ def _place_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _runs_task(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Over one document's repeated lines in order: its shortest counting runs, none across a line that doesn't repeat."""
+    """Over one document's repeated lines and ranks: its shortest counting runs, none across a line that doesn't repeat, each with the two ranks that name it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: dict[str, list] = {"base": [], "p": [], "q": []}
-            for base, places, words in zip(batch["base"].to_pylist(), batch["p"].to_pylist(), batch["words"].to_pylist(), strict=True):
+            rows: dict[str, list] = {"base": [], "p": [], "q": [], "head": [], "tail": []}
+            for base, of in zip(batch["base"].to_pylist(), batch["of"].to_pylist(), strict=True):
+                ranks = {(x["k"], x["p"]): x["rank"] for x in of if x["k"] >= 0}
+                lines = sorted((x["p"], x["rank"]) for x in of if x["k"] < 0)
+                places, words = (list(x) for x in zip(*lines, strict=True))
                 cuts = [0, *(np.flatnonzero(np.diff(places) != 1) + 1).tolist(), len(places)]
                 for a, b in zip(cuts, cuts[1:], strict=False):
-                    if sum(words[a:b]) >= least:
-                        for start, lines in _shortest_runs(words[a:b], least):
-                            rows["base"].append(base)
-                            rows["p"].append(places[a + start])
-                            rows["q"].append(lines)
+                    for start, q in _shortest_runs(words[a:b], least) if sum(words[a:b]) >= least else ():
+                        k, at = q.bit_length() - 1, places[a + start]
+                        head, tail = ranks.get((k, at)), ranks.get((k, at + q - (1 << k)))
+                        if head is not None and tail is not None:
+                            for name, value in zip(rows, (base, at, q, head, tail), strict=True):
+                                rows[name].append(value)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in rows.values()], names=list(rows))
 
     return run
@@ -109,39 +113,36 @@ def _intervals(rows: DataFrame, *key: str) -> DataFrame:
     return rows.groupBy(*key).agg(F.min("p").alias("name"), F.count("*").alias("n")).where("n > 1").drop("n")
 
 
-def suffix_ranks(lines: DataFrame, depth: int) -> list[DataFrame]:
-    """``(p, rank)`` of depth 1, 2, 4, ... up to ``depth`` lines, for the suffixes whose interval has company.
+def suffix_ranks(level: DataFrame, depth: int) -> list[DataFrame]:
+    """``(base, p, rank)`` of depth 1, 2, 4, ... up to ``depth`` lines, for the suffixes whose interval has company.
 
-    ``lines``: ``(p, line)``, ``p`` counting without a gap inside a document and with one
-    behind it. Each round is written to the checkpoint folder.
+    ``level``: those of depth 1; ``p`` counts without a gap inside a document, ``base`` is the
+    document's first place. Each round is written to the checkpoint folder.
     """
-    level = materialize(lines.join(_intervals(lines, "line"), "line").select("p", F.col("name").alias("rank")))
     levels, h = [level], 1
-    while 2 * h <= depth:
-        pairs = level.join(level.select((F.col("p") - h).alias("p"), F.col("rank").alias("next")), "p")
-        level = materialize(pairs.join(_intervals(pairs, "rank", "next"), ["rank", "next"]).select("p", F.col("name").alias("rank")))
+    while 2 * h <= depth and not level.isEmpty():
+        # The rank h lines further on in the same document, if that suffix still has company.
+        further = F.first("rank").over(Window.partitionBy("base").orderBy("p").rangeBetween(h, h))
+        pairs = level.withColumn("next", further).where("next is not null")
+        level = materialize(pairs.join(_intervals(pairs, "rank", "next"), ["rank", "next"]).select("base", "p", F.col("name").alias("rank")))
         levels.append(level)
         h *= 2
     return levels
 
 
 def repeated_lines(lines: DataFrame, rules: LineRules) -> DataFrame:
-    """``(base, p)``: the places of the lines to delete. ``lines``: ``(base, p, line, words)``, ``base`` being a document's first place."""
-    repeated = materialize(lines.join(_intervals(lines, "line").select("line"), "line", "left_semi"))
-    # A document's repeated lines in order are no more than the document.
-    gathered = repeated.groupBy("base").agg(F.sort_array(F.collect_list(F.struct("p", "words"))).alias("of"))
-    runs = materialize(gathered.select("base", F.col("of.p").alias("p"), F.col("of.words").alias("words")).mapInArrow(_runs_task(rules.min_words), "base bigint, p bigint, q bigint"))
-    depth = runs.agg(F.max("q")).first()[0] or 0
-    if not depth:
-        return runs.select("base", "p")
-    found = None
-    for k, level in enumerate(suffix_ranks(repeated.select("p", "line"), depth)):
-        h = 1 << k
-        of_level = runs.where((F.col("q") >= h) & (F.col("q") < 2 * h)).withColumn("last", F.col("p") + F.col("q") - h)
-        placed = of_level.join(level.withColumnRenamed("rank", "head"), "p").join(level.select(F.col("p").alias("last"), F.col("rank").alias("tail")), "last")
-        later = placed.join(_intervals(placed, "q", "head", "tail"), ["q", "head", "tail"]).where("name != p").select("base", "p", "q")
-        found = later if found is None else found.unionAll(later)
-    return found.select("base", F.explode(F.expr("sequence(p, p + q - 1)")).alias("p")).distinct()
+    """``(base, p)``: the places of the lines to delete, some more than once. ``lines``: ``(base, p, line, words)``, ``base`` being a document's first place."""
+    repeated = materialize(lines.join(_intervals(lines, "line"), "line").select("base", "p", F.col("name").alias("rank"), "words"))
+    # A line has one word at least, so a shortest counting run has no more lines than the least number of words.
+    levels = suffix_ranks(repeated.select("base", "p", "rank"), max(1, rules.min_words))
+    entries = repeated.select("base", F.lit(-1).alias("k"), "p", F.col("words").cast("bigint").alias("rank"))
+    for k, level in enumerate(levels):
+        entries = entries.unionAll(level.select("base", F.lit(k).alias("k"), "p", "rank"))
+    # What a document gathers is a few numbers per line of its own.
+    gathered = entries.groupBy("base").agg(F.collect_list(F.struct("k", "p", "rank")).alias("of"))
+    runs = materialize(gathered.mapInArrow(_runs_task(rules.min_words), "base bigint, p bigint, q bigint, head bigint, tail bigint"))
+    later = runs.join(_intervals(runs, "q", "head", "tail"), ["q", "head", "tail"]).where("name != p")
+    return later.select("base", F.explode(F.expr("sequence(p, p + q - 1)")).alias("p"))
 
 
 def _cut(text: str | None, drop: list[int] | None) -> tuple[str | None, int, int]:
@@ -203,7 +204,7 @@ def dedup_lines(
     placed = ordered.mapInArrow(_place_task, schema).withColumn("p", F.monotonically_increasing_id())
     placed = materialize(placed.withColumn("base", F.col("p") - F.col("s")))
     gone = repeated_lines(placed.where("line is not null").select("base", "p", "line", "words"), rules)
-    drops = gone.groupBy("base").agg(F.sort_array(F.collect_list((F.col("p") - F.col("base")).cast("int"))).alias("drop"))
+    drops = gone.groupBy("base").agg(F.sort_array(F.collect_set((F.col("p") - F.col("base")).cast("int"))).alias("drop"))
     of_key = placed.where("line is null").select("key", "base", F.col("s").alias("n")).join(drops, "base")
     if drop_emptied:
         of_key = of_key.withColumn("drop", F.when(F.size("drop") < F.col("n"), F.col("drop")).otherwise(F.array()))
