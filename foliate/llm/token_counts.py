@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliate.llm.frames import id_and_text, map_texts
+from foliate.session import materialize
 
 #: Lengths are summed in blocks of this many, so that no single task sorts all distinct lengths.
 BLOCK = 1024
@@ -52,6 +53,8 @@ def limit_table(histogram: DataFrame) -> DataFrame:
     ``tokens_lost`` by that, ``share_at_most`` of the documents at that length or below
     (the quantile it is). An empty histogram gives no rows.
     """
+    # Read twice below: written once, so that no text is encoded twice.
+    histogram = materialize(histogram)
     tokens = F.col("docs") * F.col("n_tokens")
     block = F.floor(F.col("n_tokens") / BLOCK)
     blocks = histogram.groupBy(block.alias("block")).agg(F.sum("docs").alias("d"), F.sum(tokens).alias("t"))
