@@ -19,6 +19,7 @@ import codecs
 import json
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import lru_cache
 from hashlib import sha256
 
 import regex
@@ -234,10 +235,17 @@ class Decoder:
 FIELDS = "n_tokens bigint, ids array<int>, decoded string"
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    """One encoder per file and Python worker, so that its memo outlives a task."""
+    return Encoder(Vocabulary(path))
+
+
 def _coder(path: str, digests: bool) -> Callable[[], Callable[[list[str | None]], dict[str, Sequence]]]:
     def make() -> Callable[[list[str | None]], dict[str, Sequence]]:
-        vocabulary = Vocabulary(path)
-        encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
+        encoder = _encoder(path)
+        vocabulary = encoder.vocabulary
+        decoder = Decoder(vocabulary)
         decimals = {i: str(i) for i in vocabulary.strings}.__getitem__
 
         def whole(texts: list[str | None]) -> dict[str, Sequence]:
