@@ -143,6 +143,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, params: PuParameters = Pu
     The prior is the share of toxic rows among the labelled rows of those folds. A
     document with several labels counts as toxic when one says so.
     """
+    docs = id_and_text(docs)
     known = (
         labels.where(learning(F.col("doc_id")) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
