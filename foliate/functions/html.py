@@ -19,7 +19,7 @@ from foliate.errors import OptionError
 from foliate.schema import quoted
 
 # Tags that end a line, any other tag, and what counts as white space.
-LINE_BREAK_TAGS = r"(?U)<(?:(?i:br)\b[^>]*|/(?i:p|li|div)\s*)>"
+LINE_BREAK_TAGS = r"(?iU)<br\b[^>]*>|</(?:p|div|li)\s*>"
 ANY_TAG = r"<[^>]++>"
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r \x85\xa0\u1680"

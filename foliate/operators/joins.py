@@ -13,33 +13,46 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliate.errors import MissingDataError
+from foliate.errors import MissingDataError, OptionError
 from foliate.functions.text import literal_map
 from foliate.schema import quoted
 
-NULL_KEY_SALTS = 256
-
 
 def arrival_order() -> Column:
-    """Position of a row in the scan it is applied to.
+    """Position of a row of a file read: its file's path, the block, then the place in the block.
 
-    Only meaningful directly on a read: it follows files and rows as planned, and
-    so is the same again when a task is retried.
+    Only to be applied directly to a read. Spark plans files by size, so the number of
+    a row in the scan alone would follow the sizes of the files and not their names.
     """
-    return F.monotonically_increasing_id()
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+
 
+def order_of(df: DataFrame) -> list[str]:
+    """The order "the last one wins" goes by: ``_seq`` where the frame has it, else the values of its plain columns."""
+    if "_seq" in df.columns:
+        return ["_seq"]
+    return [n for n, t in df.dtypes if not t.startswith(("map", "array", "struct", "variant"))]
 
-def last_wins(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | None = None) -> DataFrame:
-    """One row per key: the last by ``order_cols``, or by arrival without any.
+
+def last_wins(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """One row per key: the last by ``order_cols``.
 
     Null keys form a group like any other value.
+
+    Raises:
+        OptionError: without an order, because rows have none of their own.
     """
+    if not order_cols:
+        raise OptionError("which row is the last? give order_cols")
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.dropDuplicates(list(keys))
-    ordered = df if order_cols else df.withColumn("__arrival", arrival_order())
-    order = F.struct(*[quoted(c) for c in order_cols or ["__arrival"]])
-    picked = ordered.groupBy(*[quoted(k) for k in keys]).agg(
+    order = F.struct(*[quoted(c) for c in order_cols])
+    picked = df.groupBy(*[quoted(k) for k in keys]).agg(
         F.max_by(F.struct(*[quoted(c) for c in others]), order).alias("__row")
     )
     return picked.select(*[quoted(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
@@ -50,7 +63,7 @@ def left_join_last(
     right: DataFrame,
     left_key: str,
     right_key: str,
-    order_cols: Sequence[str] | None = None,
+    order_cols: Sequence[str] = (),
     unique: bool = False,
 ) -> DataFrame:
     """``left`` with the last matching ``right`` row, or nulls.
@@ -102,14 +115,15 @@ def unambiguous_lookup(
     """
     # Always 0, but not a literal: the optimizer would turn the comparison with one
     # into a filter and exchange on the key alone.
-    zero = F.pmod(F.xxhash64("__key"), F.lit(1)).cast("int")
+    zero = F.pmod(F.xxhash64("__key"), F.lit(1)).cast("bigint")
     lookup = unambiguous_values(right, right_key, value_col).withColumn("__salt_r", zero)
     usable = quoted(left_key).isNotNull()
     if dict(left.dtypes)[left_key] == "string":
         usable = F.coalesce(quoted(left_key) != "", F.lit(False))
     hashable = row_id or [n for n, t in left.dtypes if "map<" not in t and "variant" not in t]
-    spread = F.pmod(F.xxhash64(*[quoted(c) for c in hashable]), F.lit(NULL_KEY_SALTS)).cast("int") + 1
-    salted = left.withColumn("__salt_l", F.when(usable, 0).otherwise(spread))
+    # The whole hash, made odd and so never 0: as many places as there are rows.
+    spread = F.xxhash64(*[quoted(c) for c in hashable]).bitwiseOR(F.lit(1).cast("bigint"))
+    salted = left.withColumn("__salt_l", F.when(usable, F.lit(0).cast("bigint")).otherwise(spread))
     joined = salted.join(
         lookup, (quoted(left_key) == F.col("__key")) & (F.col("__salt_l") == F.col("__salt_r")), "left"
     )

@@ -13,6 +13,9 @@ from foliate.schema import quoted
 
 Key = str | Column
 
+#: Columns that only say in which order rows arrived.
+ARRIVAL = ("_landed_at", "_landed_file", "_seq")
+
 
 def _with_keys(df: DataFrame, keys: Sequence[Key]) -> tuple[DataFrame, list[str]]:
     """Give expression keys a column, so that every key can be named."""
@@ -22,11 +25,11 @@ def _with_keys(df: DataFrame, keys: Sequence[Key]) -> tuple[DataFrame, list[str]
 
 
 def upsert(
-    existing: DataFrame, new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str] | None = None
+    existing: DataFrame, new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str]
 ) -> DataFrame:
     """``existing`` with every row of ``new`` put in place of the row with its key.
 
-    The last duplicate in ``new`` wins (by ``order_cols``, else by arrival), null
+    The last duplicate in ``new`` wins (by ``order_cols``), null
     keys match each other, and repeating the call changes nothing. Only the keys of
     ``new`` meet ``existing``, in an anti join: with a small delta they are broadcast
     from their measured size and the existing rows are streamed through unshuffled.
@@ -42,11 +45,11 @@ def upsert(
         same = test if same is None else same & test
     kept = existing.join(touched, same, "left_anti")
     helpers = [n for n in names if n.startswith("__key")]
-    helpers += [c for c in (order_cols or []) if c not in existing.columns]
+    helpers += [c for c in order_cols if c not in existing.columns]
     return kept.unionByName(latest, allowMissingColumns=True).drop(*helpers)
 
 
-def last_wins_of(new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str] | None = None) -> DataFrame:
+def last_wins_of(new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str]) -> DataFrame:
     """The rows an upsert of ``new`` into nothing leaves: the last one per key."""
     keyed, names = _with_keys(new, keys)
     return last_wins(keyed, names, order_cols).drop(*[n for n in names if n.startswith("__key")])
@@ -102,5 +105,5 @@ def window_start(marks: DataFrame, dataset: str, overlap: str = SYNC_OVERLAP, fa
 
 
 def with_arrival(df: DataFrame, column: str = "_seq") -> DataFrame:
-    """Number the rows of a fresh read so that "last" has a meaning later on."""
+    """Give the rows of a fresh file read their order of arrival, so that "last" has a meaning later on."""
     return df.withColumn(column, arrival_order())

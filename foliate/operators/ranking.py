@@ -10,28 +10,25 @@ from pyspark.sql import functions as F
 from foliate.schema import quoted
 from foliate.session import materialize
 
-MAX_WINDOW_GROUP = 5_000_000
-
 
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     number_col: str,
-    max_group_rows: int = MAX_WINDOW_GROUP,
+    by_ranges: bool = False,
 ) -> DataFrame:
     """Number the rows of each group from 1 in ``order``.
 
-    The largest group is measured first, with a count that combines map-side. When
-    it fits ``max_group_rows`` a plain window does the work. Otherwise the rows are
-    range-partitioned by key and order, so a hot group spreads over many partitions,
-    numbered inside their partition, and shifted by the rows of the same group in
-    earlier partitions.
+    The caller knows whether groups are bounded. As a rule a grouped window does the
+    work. With ``by_ranges``, for groups without a bound, the rows are range-partitioned
+    by key and order, so a hot group spreads over many partitions, numbered inside
+    their partition, and shifted by the rows of the same group in earlier partitions.
+    Both number alike where ``order`` has no ties.
 
     With no ``keys`` the whole table is one group and is numbered in its total order.
     """
-    largest = 0 if not keys else (df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0)
-    if keys and largest <= max_group_rows:
+    if keys and not by_ranges:
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(number_col, F.row_number().over(window).cast("bigint"))
     return _number_by_ranges(df, keys, order, number_col)

@@ -12,7 +12,7 @@ from foliate.functions.multilingual import join_list, localized
 from foliate.functions.nested import array_len, array_len_or_null, current_child, first_child, latest_by
 from foliate.functions.text import blank_to_null, review_round_id, stage_label
 from foliate.operators.filters import drop_nonpositive, keep_keyed, published_details, published_rows
-from foliate.operators.joins import dimension_label, inner_with_loss, left_join_last, unambiguous_lookup
+from foliate.operators.joins import dimension_label, inner_with_loss, left_join_last, order_of, unambiguous_lookup
 from foliate.operators.reshape import explode_children, explode_ordered
 from foliate.plans import specs
 from foliate.schema import conform
@@ -43,10 +43,6 @@ SUBMISSION_PART_OF_PUBLICATION = (
 )
 
 
-def _arrival(df: DataFrame) -> list[str] | None:
-    return ["_seq"] if "_seq" in df.columns else None
-
-
 def _carry_seq(df: DataFrame) -> list:
     return [F.col("_seq")] if "_seq" in df.columns else []
 
@@ -78,8 +74,6 @@ def normalize_submissions(
         F.col("issueId").alias("issue_id"),
         *_carry_seq(publications),
     )
-    # Cleaned before the exchange: plain text is smaller than its HTML.
-    details = clean_html(details, {"abstract": "text", "recommended_reviewers": "lines"})
 
     current = current_child(F.col("publications"), "id", F.col("currentPublicationId"))
     base = submissions.withColumn("__current", current).select(
@@ -96,8 +90,9 @@ def normalize_submissions(
         F.col("stageId").alias("stage_id"),
     )
     base = dimension_label(base, "__section_id", "submission_type", sections).drop("__section_id")
-    joined = left_join_last(base, details, "submission_id", "_submission_id", _arrival(details), unique_sides)
-    joined = joined.drop("_seq")
+    joined = left_join_last(base, details, "submission_id", "_submission_id", order_of(details), unique_sides)
+    # Cleaned once a submission's last record is picked, so no text is cleaned to be dropped.
+    joined = clean_html(joined.drop("_seq"), {"abstract": "text", "recommended_reviewers": "lines"})
     if submissions_ext is None:
         joined = joined.withColumns(
             {"review_round": F.lit(None).cast("bigint"), "review_round_status": F.lit(None).cast("string")}
@@ -109,7 +104,7 @@ def normalize_submissions(
             F.col("__latest.status").alias("review_round_status"),
             *_carry_seq(submissions_ext),
         )
-        joined = left_join_last(joined, rounds, "submission_id", "id", _arrival(rounds), unique_sides).drop("_seq")
+        joined = left_join_last(joined, rounds, "submission_id", "id", order_of(rounds), unique_sides).drop("_seq")
     return conform(joined, specs.SUBMISSIONS)
 
 
@@ -196,7 +191,7 @@ def normalize_users(users: DataFrame, user_details: DataFrame | None = None, uni
         F.col("_fetched_at").alias("details_fetched_at"),
         *_carry_seq(user_details),
     )
-    joined = left_join_last(flat, details, "user_id", "id", _arrival(details), unique_details)
+    joined = left_join_last(flat, details, "user_id", "id", order_of(details), unique_details)
     return conform(joined.drop("_seq"), specs.USERS)
 
 

@@ -6,7 +6,7 @@ import posixpath
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliate.errors import DataError, MissingDataError, OptionError
@@ -14,13 +14,13 @@ from foliate.functions.dates import require_iso_date
 from foliate.functions.nested import any_child_in
 from foliate.operators.downloads import download_plan
 from foliate.operators.filters import changed_since, date_window, of_interval, require_interval, select_files, stage_ids
-from foliate.operators.joins import require_some_keys, rows_of_ids, skip_unchanged
+from foliate.operators.joins import ambiguous_keys, order_of, require_some_keys, rows_of_ids, skip_unchanged
 from foliate.operators.merge import high_water_mark, window_start
 from foliate.operators.quality import RunMetrics, profile
 from foliate.plans import api, landing, specs
-from foliate.plans.articles import normalize_articles
+from foliate.plans.articles import articles_checks, normalize_articles
 from foliate.plans.reviews import normalize_reviews
-from foliate.schema import TableSpec, quoted
+from foliate.schema import TableSpec
 from foliate.session import small_frame
 from foliate.sources import store
 from foliate.sources.records import read_datasets
@@ -36,10 +36,11 @@ class ReportSpec:
     glob: str
     normalize: Callable[[DataFrame], dict[str, DataFrame]]
     tables: tuple[TableSpec, ...]
+    checks: Callable[[DataFrame], dict[str, DataFrame]] | None = None
 
 
 REPORTS: dict[str, ReportSpec] = {
-    "articles": ReportSpec("articles-*.csv", normalize_articles, specs.ARTICLE_TABLES),
+    "articles": ReportSpec("articles-*.csv", normalize_articles, specs.ARTICLE_TABLES, articles_checks),
     "reviews": ReportSpec("reviews-*.csv", normalize_reviews, specs.REVIEW_TABLES),
 }
 
@@ -77,6 +78,7 @@ def run_normalize_api(
         tables, _by_name(specs.API_TABLES), out_dir, fmt, metrics, extra={"authors": {"matched": F.count("user_id")}}
     )
     metrics.add("publications", "lost", lost.first()["lost"])
+    write_checks({"ambiguous_emails": ambiguous_keys(datasets["users"], "email", "id")}, out_dir)
     return metrics.to_df(spark)
 
 
@@ -106,9 +108,17 @@ def run_normalize_report(
     staged = store.replace_dataset(plain, f"{out_dir}/staging/{report}").toDF(*raw.columns)
     metrics = RunMetrics()
     write_tables(spec.normalize(staged), _by_name(spec.tables), out_dir, fmt, metrics)
+    if spec.checks:
+        write_checks(spec.checks(staged), out_dir)
     return metrics.to_df(spark)
 
 
+def write_checks(checks: Mapping[str, DataFrame], out_dir: str) -> None:
+    """Write what a run found out about its input to ``checks/<name>``, beside the tables."""
+    for name, found in checks.items():
+        found.write.mode("overwrite").parquet(posixpath.join(out_dir, "checks", name))
+
+
 def run_download_plan(
     spark: SparkSession,
     files: DataFrame,
@@ -138,38 +148,14 @@ def run_download_plan(
 
 def append_manifest(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:
     """Record downloaded (or refused) files; a file id recorded before is replaced."""
-    return store.merge_dataset(spark, path, records, ["file_id"])
-
-
-IDS_PER_SLICE = 1_000_000
-
-
-def _timeline_slice() -> Column:
-    return F.concat_ws("-", F.coalesce("interval", F.lit("none")), F.substring("date", 1, 7))
-
-
-def _id_slice(key: str) -> Callable[[], Column]:
-    return lambda: F.floor(quoted(key) / IDS_PER_SLICE).cast("string")
-
-
-# What a merge may leave untouched: months of a timeline, ranges of ids elsewhere.
-# Changes gather in recent months and recent ids.
-SLICES = {
-    "submissions": _id_slice("id"),
-    "_submissions": _id_slice("id"),
-    "publications": _id_slice("_submission_id"),
-    "submission_files": _id_slice("id"),
-    "user_details": _id_slice("id"),
-    "views_timeline": _timeline_slice,
-    "views_timeline_totals": _timeline_slice,
-}
+    return store.merge_dataset(spark, path, records, ["file_id"], order_of(records))
 
 
 class _Run:
     """The datasets of one sync run and what it counted."""
 
-    def __init__(self, spark: SparkSession, target: str, incremental: bool) -> None:
-        self.spark, self.target, self.incremental = spark, target, incremental
+    def __init__(self, spark: SparkSession, target: str, incremental: bool, buckets: int) -> None:
+        self.spark, self.target, self.incremental, self.buckets = spark, target, incremental, buckets
         self.metrics = RunMetrics()
 
     def load(self, name: str, records: DataFrame, merge: bool | None = None) -> tuple[DataFrame, DataFrame]:
@@ -179,16 +165,17 @@ class _Run:
         staged first, because it is read for its keys, its rows and its count.
         """
         path = f"{self.target}/{name}"
-        slice_by = SLICES[name]() if name in SLICES else None
+        keys = landing.MERGE_KEYS.get(name, ())
         if not (self.incremental if merge is None else merge):
-            saved = store.replace_dataset(records.drop("_seq"), path, slice_by)
+            saved = store.replace_dataset(records.drop("_seq"), path, keys, self.buckets)
+            # Of written Parquet: read from the footers, not the rows.
             rows = saved.count()
             self.metrics.add(name, "fetched", rows)
             self.metrics.add(name, "total", rows)
             return saved, saved
         delta = store.replace_dataset(records, f"{self.target}/delta/{name}")
-        order = ["_seq"] if "_seq" in delta.columns else None
-        merged = store.merge_dataset(self.spark, path, delta, landing.MERGE_KEYS[name], order, slice_by)
+        order = order_of(delta)
+        merged = store.merge_dataset(self.spark, path, delta, keys, order, self.buckets)
         self.metrics.add(name, "fetched", delta.count())
         self.metrics.add(name, "total", merged.count())
         return delta, merged
@@ -211,6 +198,7 @@ def sync(
     user_details: bool = False,
     user_roles: Sequence[int] | None = None,
     multiline: bool = True,
+    buckets: int = store.BUCKETS,
 ) -> DataFrame:
     """Bring the datasets under ``target`` up to date from a landing folder.
 
@@ -218,7 +206,7 @@ def sync(
     merges what changed after the stored mark; without a mark it is a full load. A
     ``full`` run replaces everything and resets the marks. Marks are written last,
     and only by incremental and full runs. ``run_ts`` (``Y-m-d H:i:s``) is the one
-    time stamp of the run. Returns ``dataset, metric, value`` rows.
+    time stamp of the run; ``buckets`` must be the same on every run. Returns ``dataset, metric, value`` rows.
     """
     if full and (incremental or since):
         raise OptionError("full cannot be combined with incremental/since")
@@ -242,12 +230,13 @@ def sync(
         state = {name: frame.limit(0) for name, frame in state.items()}
     seen = seen_of(state["seen"], "submissions")
     mark = since or (high_water_mark(seen, "last_activity") if incremental else None)
-    run = _Run(spark, target, incremental and mark is not None)
+    run = _Run(spark, target, incremental and mark is not None, buckets)
 
     def newer(name: str) -> DataFrame:
         return changed_since(landed[name], mark, "dateLastActivity") if run.incremental else landed[name]
 
-    changed, merged = run.load("submissions", newer("submissions"))
+    brought, merged = run.load("submissions", newer("submissions"))
+    changed = brought
     run.load("_submissions", newer("_submissions"))
 
     if run.incremental:
@@ -276,7 +265,7 @@ def sync(
         stats_ok = True
 
     if incremental or full:
-        _commit(spark, state_dir, state, merged, run_ts, stats_ok, files)
+        _commit(spark, state_dir, state, brought, merged, run_ts, stats_ok, files, run.incremental)
         run.metrics.add("submissions", "tracked", merged.count())
     run.metrics.add("run", "incremental", run.incremental)
     run.metrics.add("run", "stats_ok", stats_ok)
@@ -304,19 +293,21 @@ def _commit(
     spark: SparkSession,
     state_dir: str,
     state: Mapping[str, DataFrame],
+    brought: DataFrame,
     merged: DataFrame,
     run_ts: str,
     stats_ok: bool,
     files: bool,
+    merge: bool,
 ) -> None:
     """Advance what this run loaded; carry over what it did not."""
     marks = {"all": run_ts, "stats": run_ts if stats_ok else mark_of(state["marks"], "stats")}
-    seen = seen_from(merged, "submissions")
+    seen = seen_from(brought if merge else merged, "submissions")
     if files:
         seen = seen.unionByName(seen_from(merged, "files"))
-    else:
+    elif not merge:
         seen = seen.unionByName(state["seen"].where(F.col("dataset") == "files"))
-    commit_state(spark, state_dir, marks, seen)
+    commit_state(spark, state_dir, marks, seen, merge)
 
 
 def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:

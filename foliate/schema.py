@@ -49,7 +49,8 @@ class ColumnSpec:
     """One column of a normalized table.
 
     ``source`` is the raw header or field, or ``None`` for a derived column.
-    ``dropped`` columns are documented but left out of the table.
+    ``dropped`` columns are documented but left out of the table; they are expected to
+    be empty, or to hold nothing but ``constant``.
     """
 
     dtype: T.DataType
@@ -57,6 +58,7 @@ class ColumnSpec:
     source: str | None = None
     name: str | None = None
     dropped: bool = False
+    constant: str | None = None
 
 
 @dataclass(frozen=True)

@@ -48,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not sc.master.startswith("local"):
+            if sc.master != "local" and not sc.master.startswith("local["):
                 raise OptionError("set spark.checkpoint.dir to a folder every executor can read")
             configured = tempfile.mkdtemp(prefix="foliate-checkpoint-")
         sc.setCheckpointDir(configured)
@@ -65,15 +65,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core when the input came in fewer pieces than there are cores.
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Deal rows that come in few pieces over ``partitions``, before work that takes long for each row.
 
-    One JSON array, one CSV with line breaks or one Parquet row group is one task,
-    and so would be all per-row work behind it. Inputs with enough splits, which is
-    any large one, are left alone.
+    One JSON array, one CSV with line breaks or one Parquet row group is one task, and
+    so would be all per-row work behind it. This moves all rows once; it is for the
+    caller, who knows how the input was landed, to ask for it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df.repartition(partitions)
 
 
 def small_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:

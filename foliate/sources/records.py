@@ -2,14 +2,8 @@
 
 from __future__ import annotations
 
-import io
-import json
-import posixpath
-import re
-from collections.abc import Iterator, Mapping, Sequence
-
-import pyarrow as pa
-from pyarrow import fs as pafs
+from collections.abc import Mapping, Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +12,7 @@ from pyspark.sql import types as T
 from foliate.errors import MissingDataError
 from foliate.operators.merge import with_arrival
 from foliate.schema import quoted
-from foliate.session import small_frame, spread
+from foliate.session import spread
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -33,72 +27,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_records(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, multiline: bool = True, arrival: bool = True
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, multiline: bool = True, arrival: bool = True, partitions: int | None = None
 ) -> DataFrame:
     """Records of a dataset with an explicit schema.
 
     ``multiline`` reads files that hold one JSON array; such a file is one task.
     JSON Lines (``multiline=False``) splits freely and is the form to land large
-    datasets in. With ``arrival`` the position in the read is kept as ``_seq``, so
-    that a later "last one wins" has a meaning.
-    """
-    if isinstance(path, str) and is_hidden(path):
-        records = _read_hidden(spark, path, schema)
-    else:
-        records = spark.read.schema(schema).option("multiLine", multiline).json(path)
-    return spread(with_arrival(records) if arrival else records)
-
-
-def is_hidden(path: str) -> bool:
-    """Spark's readers skip files whose name starts so, without an error."""
-    name = posixpath.basename(path)
-    return name.startswith(("_", ".")) and posixpath.splitext(name)[1] != ""
-
-
-CHUNK_CHARS = 1 << 20
-BATCH_RECORDS = 1_000
-BETWEEN_RECORDS = re.compile(r"[\s\[\],]*")
-
-
-def _record_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The records of JSON files as text, read forward and cut at record ends."""
-    decoder = json.JSONDecoder()
-    for batch in batches:
-        for uri in batch.column(0).to_pylist():
-            source, path = pafs.FileSystem.from_uri(uri)
-            with io.TextIOWrapper(source.open_input_stream(path), encoding="utf-8-sig", errors="replace") as text:
-                found: list[str] = []
-                buffer, at = text.read(CHUNK_CHARS), 0
-                while True:
-                    at = BETWEEN_RECORDS.match(buffer, at).end()
-                    try:
-                        _, end = decoder.raw_decode(buffer, at)
-                    except json.JSONDecodeError:
-                        rest = buffer[at:]
-                        more = text.read(max(CHUNK_CHARS, len(rest)))
-                        if not more:
-                            break
-                        buffer, at = rest + more, 0
-                        continue
-                    found.append(buffer[at:end])
-                    at = end
-                    if len(found) == BATCH_RECORDS:
-                        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["record"])
-                        found = []
-                if rest:
-                    raise ValueError(f"{uri} ends inside a record")
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["record"])
-
-
-def _read_hidden(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Records of a file such as ``_submissions.json``, which Spark's own reader leaves out.
-
-    The file is read in one task, as any JSON array is, in pieces of bounded size.
-    Land large datasets as a folder of JSON Lines instead.
+    datasets in. With ``arrival`` the order of files and records is kept as ``_seq``, so
+    that a later "last one wins" has a meaning: files count in the order of their names.
+    ``partitions`` deals the records out, which pays for arrays in few files.
     """
-    texts = small_frame(spark, [(path,)], "path string").mapInArrow(_record_texts, "record string")
-    return texts.select(F.from_json("record", schema).alias("r")).select("r.*")
+    records = spark.read.schema(schema).option("multiLine", multiline).json(path)
+    records = with_arrival(records) if arrival else records
+    return records if partitions is None else spread(records, partitions)
 
 
 def read_datasets(
@@ -111,13 +52,15 @@ def read_datasets(
     """Every dataset of a landing folder; an absent optional one is ``None``.
 
     A dataset is ``<name>.json`` (a file, or a folder of parts) or the folder ``<name>``.
+    Spark's readers leave out files whose names begin with an underscore, so such a dataset
+    (``_submissions``) lands as a folder of that name.
 
     Raises:
         MissingDataError: naming the first required dataset that is absent.
     """
     found: dict[str, DataFrame | None] = {}
     for name, schema in {**required, **optional}.items():
-        candidates = [f"{directory}/{name}.json", f"{directory}/{name}"]
+        candidates = [f"{directory}/{name}"] if name.startswith("_") else [f"{directory}/{name}.json", f"{directory}/{name}"]
         path = next((p for p in candidates if path_exists(spark, p)), None)
         if path is None and name in required:
             raise MissingDataError(f"{candidates[0]} not found")

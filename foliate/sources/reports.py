@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -63,9 +65,11 @@ def reject_html_payload(spark: SparkSession, paths: str | Sequence[str]) -> Data
 
 def accepted_reports(spark: SparkSession, paths: Sequence[str]) -> tuple[list[str], list[str]]:
     """The given files split into CSV to ingest and web pages to quarantine."""
-    verdicts = {row["path"]: row["is_html"] for row in reject_html_payload(spark, list(paths)).collect()}
+    verdicts = {_plain_path(unquote(row["path"])): row["is_html"] for row in reject_html_payload(spark, list(paths)).collect()}
+    pages = {p for p in paths if verdicts.get(_plain_path(p), False)}
+    return [p for p in paths if p not in pages], [p for p in paths if p in pages]
 
-    def is_page(path: str) -> bool:
-        return any(html for known, html in verdicts.items() if known.endswith(path))
 
-    return [p for p in paths if not is_page(p)], [p for p in paths if is_page(p)]
+def _plain_path(path: str) -> str:
+    """The path part of a location, without scheme and host and with single slashes: the same for all its spellings."""
+    return re.sub(r"/+", "/", re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", path))

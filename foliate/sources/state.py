@@ -23,7 +23,7 @@ SEEN_SCHEMA = "dataset string, id bigint, last_activity string"
 def load_state(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     """The stored ``marks`` and ``seen`` frames; empty ones when absent or unreadable.
 
-    An unreadable state means a full load, so it is noticed here (by reading one
+    A state whose files can't be parsed means a full load, so it is noticed here (by reading one
     row and the columns) instead of in the middle of a run.
     """
     state = {}
@@ -37,6 +37,9 @@ def load_state(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
                 stored.limit(1).collect()
                 state[name] = stored.select(*empty.columns)
         except (PySparkException, Py4JJavaError) as e:
+            # A storage that doesn't answer fails the run; only contents that can't be parsed count as no state.
+            if "is not a Parquet file" not in str(e) and "malformed" not in str(e).lower():
+                raise
             logger.warning("WARNING: %s/%s cannot be read, so everything is loaded anew: %s", directory, name, e)
             state[name] = empty
     return state
@@ -58,12 +61,18 @@ def seen_from(records: DataFrame, dataset: str, key: str = "id", ts_col: str = "
     )
 
 
-def commit_state(spark: SparkSession, directory: str, marks: Mapping[str, str | None], seen: DataFrame) -> None:
-    """Replace the state. To be called last, after every dataset is written.
+SEEN_KEYS = ("dataset", "id")
+
+
+def commit_state(spark: SparkSession, directory: str, marks: Mapping[str, str | None], seen: DataFrame, merge: bool = False) -> None:
+    """Replace the state; with ``merge`` the given rows of ``seen`` go into the stored ones. To be called last, after every dataset is written.
 
     The seen table goes first: if the run dies between the two, the marks only make
     the next run read more than it needs.
     """
-    store.replace_dataset(seen, f"{directory}/seen")
+    if merge:
+        store.merge_dataset(spark, f"{directory}/seen", seen, SEEN_KEYS, ["last_activity"])
+    else:
+        store.replace_dataset(seen, f"{directory}/seen", SEEN_KEYS)
     rows = [(k, v) for k, v in marks.items() if v is not None]
     store.replace_dataset(small_frame(spark, rows, MARKS_SCHEMA), f"{directory}/marks")

@@ -1,163 +1,131 @@
-"""Datasets kept as immutable written directories and a small log of them.
+"""Datasets kept as hash buckets of their keys, and one pointer that names the current directories.
 
-``<path>/v=<n>/`` directories are written once and never changed. ``<path>/log``
-says which of them are current; a line is appended only after its data is
-complete, so a run that dies leaves readers on the previous state.
-
-A dataset may be cut into slices (for a timeline: interval and month). A merge
-then rewrites only the slices its delta touches.
+``<path>/data/<id>/`` directories are written once and never changed.
+``<path>/pointer/v=<n>`` names the directory of each bucket and the keys that bucket by;
+it is written last, so a run that dies leaves readers on the previous state. A
+pointer is never overwritten: of two writers that start from one version the second is
+refused. A merge rewrites only the buckets that keys of its delta fall into.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliate.errors import OptionError
-from foliate.functions.text import safe_name
-from foliate.operators.merge import Key, last_wins_of, upsert
+from foliate.errors import DataError, OptionError
+from foliate.operators.merge import ARRIVAL, Key, last_wins_of, upsert
 from foliate.schema import quoted
 from foliate.session import small_frame
 
-LOG_SCHEMA = "version bigint, slice string, dir string, full boolean"
-MAX_SLICES = 20_000
-WHOLE = "all"
+POINTER_SCHEMA = "bucket int, dir string, keys string"
+#: A merge rewrites one bucket at least: give a large dataset as many as make one a task's work.
+BUCKETS = 16
+#: The one directory of a dataset that has no keys, or no rows.
+WHOLE = -1
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Which directories hold a dataset now, and the version the next write takes."""
+    """Which directory holds each bucket now, the keys that bucket by, and the version that says so."""
 
     path: str
-    slices: Mapping[str, str]
-    next_version: int
+    dirs: Mapping[int, str]
+    keys: str
+    version: int
 
-    def dirs(self, wanted: Sequence[str] | None = None) -> list[str]:
-        return sorted({f"{self.path}/{d}" for s, d in self.slices.items() if wanted is None or s in wanted})
+    def read(self, spark: SparkSession, buckets: Iterable[int] | None = None) -> DataFrame | None:
+        wanted = self.dirs if buckets is None else set(buckets) & set(self.dirs)
+        return spark.read.parquet(*(f"{self.path}/{self.dirs[b]}" for b in sorted(wanted))) if wanted else None
 
 
 def layout(spark: SparkSession, path: str) -> Layout:
-    """The layout as of the last completed write; no slices for a dataset never written.
-
-    Read in one small job: the newest directory per slice, and the version of the
-    last full replacement, before which nothing counts.
-    """
+    """The layout of the last completed write; no directories for a dataset never written."""
     try:
-        log = spark.read.schema(LOG_SCHEMA).json(f"{path}/log")
+        pointers = spark.read.schema(POINTER_SCHEMA).json(f"{path}/pointer")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return Layout(path, {}, 1)
-    rows = (
-        log.groupBy("slice")
-        .agg(
-            F.max("version").alias("version"),
-            F.max_by("dir", "version").alias("dir"),
-            F.max(F.when(F.col("full"), F.col("version"))).alias("full"),
-        )
-        .collect()
-    )
-    base = max((r["full"] for r in rows if r["full"] is not None), default=0)
-    newest = max((r["version"] for r in rows), default=0)
-    return Layout(path, {r["slice"]: r["dir"] for r in rows if r["version"] >= base}, newest + 1)
-
-
-def read(spark: SparkSession, path: str, slices: Sequence[str] | None = None) -> DataFrame | None:
-    """The current rows, or those of some slices; ``None`` for a dataset never written."""
-    return _read_dirs(spark, layout(spark, path).dirs(slices))
-
-
-def _read_dirs(spark: SparkSession, dirs: Sequence[str]) -> DataFrame | None:
-    return spark.read.parquet(*dirs) if dirs else None
-
+        return Layout(path, {}, "", 0)
+    version = pointers.agg(F.max("v")).first()[0]
+    rows = pointers.where(F.col("v") == version).collect()
+    return Layout(path, {r["bucket"]: r["dir"] for r in rows}, rows[0]["keys"], version)
+
+
+def read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The current rows; ``None`` for a dataset never written."""
+    return layout(spark, path).read(spark)
+
+
+def _named(keys: Sequence[Key], buckets: int) -> str:
+    return f"{buckets} buckets of {', '.join(str(k) for k in keys)}" if keys else ""
+
+
+def _bucket(keys: Sequence[Key], buckets: int) -> Column:
+    """The bucket of a row. Keys count as text, so that one key has one bucket whatever its width as a number."""
+    texts = [F.coalesce((k if isinstance(k, Column) else quoted(k)).cast("string"), F.lit("\0")) for k in keys]
+    return F.pmod(F.xxhash64(*texts), F.lit(buckets)).cast("int")
+
+
+def _write(df: DataFrame, before: Layout, keys: Sequence[Key], buckets: int, replaced: Iterable[int] | None) -> DataFrame:
+    """Write ``df`` in place of some buckets, or of all, then the pointer; returns the rows of the new state."""
+    spark, path = df.sparkSession, before.path
+    dirs = {} if replaced is None else {b: d for b, d in before.dirs.items() if b not in set(replaced) and b != WHOLE}
+    target = f"data/{uuid.uuid4().hex}"
+    if keys:
+        # Rebalance by bucket: few files per bucket, and a large one is split over several tasks.
+        df.withColumn("__bucket", _bucket(keys, buckets)).hint("rebalance", "__bucket").write.partitionBy("__bucket").parquet(f"{path}/{target}")
+        # As many names as there are buckets at most.
+        written = spark.read.schema("__bucket int").parquet(f"{path}/{target}").select("__bucket").distinct().collect()
+        dirs |= {r[0]: f"{target}/__bucket={r[0]}" for r in written}
+    if not dirs:
+        target = f"data/{uuid.uuid4().hex}"
+        df.write.parquet(f"{path}/{target}")
+        dirs = {WHOLE: target}
+    after = Layout(path, dirs, _named(keys, buckets), before.version + 1)
+    pointer = small_frame(spark, [(b, d, after.keys) for b, d in sorted(dirs.items())], POINTER_SCHEMA)
+    try:
+        pointer.coalesce(1).write.mode("errorifexists").json(f"{path}/pointer/v={after.version}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        raise DataError(f"{path}: another writer has made version {after.version}") from e
+    return after.read(spark)
 
-def _write(
-    df: DataFrame, before: Layout, slice_by: Column | None, names: Sequence[str] | None, full: bool
-) -> DataFrame:
-    """Write a version, then its log lines; returns the rows of the new state.
 
-    ``names`` are the slices ``df`` covers; a full write finds them in what it wrote.
-    """
-    spark, version = df.sparkSession, before.next_version
-    root = f"v={version}"
-    target = f"{before.path}/{root}"
-    if slice_by is not None:
-        # Rebalance by slice: few files per small slice, and a slice that holds most
-        # of the rows is split over several tasks.
-        sliced = df.withColumn("__slice", safe_name(slice_by)).hint("rebalance", "__slice")
-        sliced.write.mode("overwrite").partitionBy("__slice").parquet(target)
-        if full:
-            names = _bounded(spark.read.schema("__slice string").parquet(target).select("__slice"), before.path)
-        written = {s: f"{root}/__slice={s}" for s in names or []}
-    if slice_by is None or not written:
-        df.write.mode("overwrite").parquet(target)
-        written = {WHOLE: root}
-    lines = [(version, s, d, full) for s, d in written.items()]
-    small_frame(spark, lines, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{before.path}/log")
-    kept = {} if full else before.slices
-    return _read_dirs(spark, Layout(before.path, {**kept, **written}, version + 1).dirs())
-
-
-def _bounded(names: DataFrame, path: str) -> list[str]:
-    found = [r[0] for r in names.distinct().limit(MAX_SLICES + 1).collect()]
-    if len(found) > MAX_SLICES:
-        raise OptionError(f"{path}: more than {MAX_SLICES} slices; choose a coarser slice")
-    return found
-
-
-def replace_dataset(df: DataFrame, path: str, slice_by: Column | None = None) -> DataFrame:
-    """Make ``df`` the whole dataset and return it as written."""
-    return _write(df, layout(df.sparkSession, path), slice_by, None, full=True)
+def replace_dataset(df: DataFrame, path: str, keys: Sequence[Key] = (), buckets: int = BUCKETS) -> DataFrame:
+    """Make ``df`` the whole dataset and return it as written. ``keys``: those later merges go by, if there are any."""
+    return _write(df, layout(df.sparkSession, path), keys, buckets, None)
 
 
 def merge_dataset(
-    spark: SparkSession,
-    path: str,
-    new: DataFrame,
-    keys: Sequence[Key],
-    order_cols: Sequence[str] | None = None,
-    slice_by: Column | None = None,
+    spark: SparkSession, path: str, new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str], buckets: int = BUCKETS
 ) -> DataFrame:
     """Upsert ``new`` into the dataset and return the merged rows as written.
 
-    ``slice_by`` must follow from the keys, and be the same on every call: rows of
-    one key then share a slice and the other slices stay as they are.
+    ``new`` is read several times: stage what is costly to compute. Order columns that
+    only say what arrived last (``ARRIVAL``) aren't stored in a new dataset.
+
+    Raises:
+        OptionError: when the dataset is kept in other buckets; a key would then be looked for in the wrong one.
     """
     before = layout(spark, path)
-    if not before.slices:
-        target = [c for c in new.columns if c not in (order_cols or [])]
-        first = last_wins_of(new, keys, order_cols).select(*[quoted(c) for c in target])
-        return _write(first, before, slice_by, None, full=True)
-    touched = None if slice_by is None else _bounded(new.select(safe_name(slice_by)), path)
-    existing = _read_dirs(spark, before.dirs(touched))
+    if not before.dirs:
+        target = [c for c in new.columns if c not in order_cols or c not in ARRIVAL]
+        return _write(last_wins_of(new, keys, order_cols).select(*[quoted(c) for c in target]), before, keys, buckets, None)
+    if before.keys != _named(keys, buckets):
+        raise OptionError(f"{path} is kept in {before.keys or 'one piece'}, not in {_named(keys, buckets)}")
+    touched = [r[0] for r in new.select(_bucket(keys, buckets)).distinct().collect()]
+    if not touched:
+        return before.read(spark)
+    existing = before.read(spark, touched)
     if existing is None:
-        # Only new slices: the stored rows say nothing but the columns.
-        existing = _read_dirs(spark, before.dirs()).limit(0)
+        # Only new buckets: the stored rows say nothing but the columns.
+        existing = before.read(spark).limit(0)
     merged = upsert(existing, new, keys, order_cols)
-    if touched == []:
-        return _read_dirs(spark, before.dirs())
-    return _write(merged, before, slice_by, touched, full=slice_by is None)
-
-
-def prune_versions(spark: SparkSession, path: str) -> list[str]:
-    """Delete directories that no current slice uses; returns their names.
-
-    Every merge leaves the directories it replaced behind. Call this when no reader
-    still works on an older state.
-    """
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    used = set(layout(spark, path).slices.values())
-    deleted = []
-    for status in fs.listStatus(hadoop_path(path)):
-        version = status.getPath().getName()
-        if not version.startswith("v="):
-            continue
-        if not any(u == version or u.startswith(version + "/") for u in used):
-            fs.delete(status.getPath(), True)
-            deleted.append(version)
-    return sorted(deleted)
+    # All buckets keep the stored types.
+    return _write(merged.withColumns({f.name: quoted(f.name).cast(f.dataType) for f in existing.schema}), before, keys, buckets, touched)

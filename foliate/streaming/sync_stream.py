@@ -9,17 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from foliate.operators.merge import Key
+from foliate.operators.merge import ARRIVAL, Key
 from foliate.schema import quoted
 from foliate.sources import store
 
-ARRIVAL = ("_landed_at", "_landed_file", "_seq")
-
 
 def landed_stream(
     spark: SparkSession, folder: str, schema: T.StructType, multiline: bool = False, max_files: int | None = None
@@ -42,7 +40,6 @@ def sync_stream(
     target: str,
     keys: Sequence[Key],
     checkpoint: str,
-    slice_by: Column | None = None,
     multiline: bool = False,
     max_files: int | None = None,
     available_now: bool = True,
@@ -55,10 +52,10 @@ def sync_stream(
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        # Written once: the merge reads the batch for its buckets, its keys and its rows.
         arrived = batch.withColumn("_seq", F.monotonically_increasing_id())
-        store.merge_dataset(batch.sparkSession, target, arrived, keys, list(ARRIVAL), slice_by)
+        staged = store.replace_dataset(arrived, f"{checkpoint}/staged")
+        store.merge_dataset(batch.sparkSession, target, staged, keys, list(ARRIVAL))
 
     stream = landed_stream(spark, folder, schema, multiline, max_files)
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

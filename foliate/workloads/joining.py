@@ -18,11 +18,12 @@ from foliate.operators.joins import (
 )
 from foliate.operators.quality import always_null_report, constant_report, preview, profile
 from foliate.operators.ranking import number_rows
-from foliate.plans import api, specs
+from foliate.plans import api, articles, specs
 from foliate.plans.jobs import profile_tables
-from foliate.sources.sinks import schema_docs
+from foliate.sources.sinks import DOC_SCHEMA, doc_rows, schema_docs
 from foliate.workloads import records
-from foliate.workloads.registry import query, table
+from foliate.workloads.registry import ORACLES, query, table
+from foliate.workloads.wide import articles_export, decisions_export
 
 EMAILS_SQL = """
 accounts AS (SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN '' ELSE 'desk' || s_nationkey || '-' || CAST(floor(s_acctbal / 1000) AS BIGINT) || '@example.org' END AS email FROM supplier),
@@ -273,14 +274,31 @@ def column_profile(spark, sf_dir):
     return profile(_checked(spark, sf_dir), PROFILED)
 
 
-@query("schema_docs")
+# The columns each table of the wide exports holds; declared columns that an export lacks have no counts.
+COUNTED = {
+    "submissions": ("article_submissions", "submission_id author_name author_email author_count title submission_type status date_submitted last_modified"),
+    "authors": ("article_authors", "submission_id author_number family_name email bio_statement"),
+    "editors": ("article_editors", "submission_id editor_number family_name"),
+    "decisions": ("article_decisions", "submission_id editor_number decision_number decision date_decided"),
+}
+
+
+def _schema_docs_sql() -> str:
+    """The declared documentation as rows, joined with the counts over the SQL of each table."""
+    literals = ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in doc_rows(specs.ARTICLE_TABLES))
+    counts = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values FROM ({ORACLES[of]})"
+        for name, (of, columns) in COUNTED.items()
+        for c in columns.split()
+    )
+    names = ", ".join(part.split()[0] for part in DOC_SCHEMA.split(", "))
+    return f"SELECT * FROM (VALUES {literals}) AS docs({names}) LEFT JOIN ({counts}) USING (table_name, column_name)"
+
+
+@query("schema_docs", _schema_docs_sql())
 def schema_docs_query(spark, sf_dir):
     """The documentation of the wide-report tables beside the counts of their columns."""
-    from foliate.workloads.wide import articles_export, decisions_export
-
     export = articles_export(spark, sf_dir)
-    from foliate.plans import articles
-
     tables = {
         "submissions": articles.extract_submissions_table(export),
         "authors": articles.extract_authors_table(export),

@@ -162,13 +162,12 @@ WITH {POINTS_SQL}
 SELECT submission_id AS _submission_id, date, interval, kind, CASE WHEN date >= '2024-01-20' THEN views * 10 ELSE views END AS value FROM points""",
 )
 def merge_slices(spark, sf_dir):
-    """A timeline stored in slices of a day; the merge rewrites only the days of its delta."""
-    path = work_dir(spark, "slices")
+    """A timeline stored in hash buckets; the merge rewrites those that keys of its delta fall into."""
+    path, keys = work_dir(spark, "buckets"), landing.MERGE_KEYS["views_timeline"]
     points = records.views_timeline(spark, sf_dir).where("value > 0")
-    slice_by = F.col("date")
-    store.replace_dataset(points.where("date < '2024-01-25'"), path, slice_by)
+    store.replace_dataset(points.where("date < '2024-01-25'"), path, keys)
     late = points.where("date >= '2024-01-20'").withColumn("value", F.col("value") * 10)
-    return store.merge_dataset(spark, path, late, landing.MERGE_KEYS["views_timeline"], slice_by=slice_by)
+    return store.merge_dataset(spark, path, late, keys, ["value"])
 
 
 @query(

@@ -18,33 +18,32 @@ from foliate.workloads.registry import query, spread_table, table
 
 
 def _words(documents):
-    """Documents with their words as structs; null for French, empty for Spanish ones."""
+    """Documents with the words of their whole texts as structs."""
     words = F.transform(
         F.split("text", " "),
         lambda w, i: F.struct(
             F.length(w).alias("stageId"), F.pmod(i, F.lit(7)).alias("round"), i.alias("id"), w.alias("word")
         ),
     )
-    none = F.slice(words, 1, 0)
-    return documents.withColumn("children", F.when(F.col("lang") == "es", none).when(F.col("lang") != "fr", words))
+    return documents.withColumn("children", words)
 
 
 WORDS_SQL = """
 words AS (
   SELECT doc_id, w.word AS word, length(w.word) AS stage, (w.pos - 1) % 7 AS round, w.pos - 1 AS id
   FROM (SELECT doc_id, unnest(list_zip(ws, range(1, len(ws) + 1))) AS z FROM
-         (SELECT doc_id, string_split(text, ' ') AS ws FROM documents WHERE lang NOT IN ('fr', 'es'))) t,
+         (SELECT doc_id, string_split(text, ' ') AS ws FROM documents)) t,
        LATERAL (SELECT z[1] AS word, z[2] AS pos) w
 )"""
 
 
 @query(
     "explode_children",
-    "SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS line FROM documents WHERE lang <> 'fr'",
+    "SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS line FROM documents",
 )
 def explode_children_query(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "lang", F.when(F.col("lang") != "fr", F.split("text", "\n")).alias("lines")
+        "doc_id", "lang", F.split("text", "\n").alias("lines")
     )
     return explode_children(docs, "lines", ["doc_id", "lang"], "line")
 
@@ -164,8 +163,7 @@ def role_filter(spark, sf_dir):
 @query(
     "array_counts",
     """
-SELECT doc_id, CASE WHEN lang IN ('fr', 'es') THEN 0 ELSE CAST(len(string_split(text, ' ')) AS BIGINT) END AS n,
-       CASE WHEN lang NOT IN ('fr', 'es') THEN CAST(len(string_split(text, ' ')) AS BIGINT) END AS n_or_null
+SELECT doc_id, coalesce(CAST(len(string_split(text, ' ')) AS BIGINT), 0) AS n, CAST(len(string_split(text, ' ')) AS BIGINT) AS n_or_null
 FROM documents""",
 )
 def array_counts(spark, sf_dir):

@@ -63,7 +63,7 @@ def publications(spark, sf_dir):
     abstract = _en(
         F.lit("<p>Part&nbsp;<b>"), part, F.lit("</b> &amp; co</p><div>from <i>supplier</i> &#35;"), supplier, F.lit("</div>")
     )
-    reviewers = _en(F.lit("Jane <b>"), part, F.lit(r"</b><br />\r\n<br>  J. Roe &lt;"), supplier, F.lit("&gt; <p></p>"))
+    reviewers = _en(F.lit("Referee <b>"), part, F.lit(r"</b><br />\r\n<br>  from supplier &lt;"), supplier, F.lit("&gt; <p></p>"))
     first = F.struct(
         F.lit(2.0).alias("seq"),
         _en(F.lit("Given "), part).alias("givenName"),
@@ -137,7 +137,7 @@ submissions AS (
          WHEN priority = 2 THEN 'Peer-reviewed Research Notes'
          WHEN priority = 3 THEN 'Special Issue: Digital Intersectionality and Marginalization in Majority World' ELSE 'Unknown (8)' END AS submission_type,
     l_returnflag || '; ' || l_linestatus AS keywords,
-    CASE WHEN l_returnflag <> 'R' THEN 'Jane ' || l_partkey || chr(10) || 'J. Roe <' || l_suppkey || '>' END AS recommended_reviewers,
+    CASE WHEN l_returnflag <> 'R' THEN 'Referee ' || l_partkey || chr(10) || 'from supplier <' || l_suppkey || '>' END AS recommended_reviewers,
     CASE o_orderstatus WHEN 'F' THEN 'Published' WHEN 'O' THEN 'Submission' ELSE 'Review' END AS status,
     CASE WHEN NOT is_draft THEN 'https://example.org/' || o_orderkey END AS url,
     CASE WHEN NOT is_draft THEN '10.1/' || o_orderkey END AS doi,

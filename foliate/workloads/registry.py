@@ -31,5 +31,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows take much work each: spread it if it comes in few pieces."""
-    return spread(table(spark, sf_dir, name))
+    """A table whose rows take much work each: the given ones come as one row group, so they are dealt out."""
+    return spread(table(spark, sf_dir, name), int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -16,22 +16,23 @@ from foliate.plans import articles
 from foliate.schema import quoted
 from foliate.workloads.registry import query, table
 
-LINE_NUMBERS = range(1, 8)
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-PERIODS = range(1, 6)
+def _values(df, column):
+    """The distinct values of a column that becomes headers: one small aggregate."""
+    return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
 
 
 def articles_export(spark, sf_dir):
     """One wide row per order: its lines as author blocks, then the literal report columns.
 
     The pivot is a plain conditional aggregation, combined map-side; the blocks are
-    the seven line numbers there are.
+    the line numbers there are.
     """
     lines = table(spark, sf_dir, "lineitem")
+    numbers = _values(lines, "l_linenumber")
 
     def block(base, value, label="Author"):
         return [
-            F.max(F.when(F.col("l_linenumber") == n, value)).alias(f"{base} ({label} {n})") for n in LINE_NUMBERS
+            F.max(F.when(F.col("l_linenumber") == n, value)).alias(f"{base} ({label} {n})") for n in numbers
         ]
 
     part = F.concat(F.lit("Part "), F.col("l_partkey").cast("string"))
@@ -115,14 +116,15 @@ def decisions_export(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn(
         "period", (F.floor((F.dayofmonth("ts") - 1) / 6) + 1).cast("int")
     )
+    kinds, periods = _values(events, "event_type"), _values(events, "period")
     cells = []
-    for editor, kind in enumerate(EVENT_TYPES, start=1):
-        for n in PERIODS:
+    for editor, kind in enumerate(kinds, start=1):
+        for n in periods:
             here = (F.col("event_type") == kind) & (F.col("period") == n)
             if (editor, n) != (1, 5):
                 text = F.when(F.col("value") < 1, "").otherwise(F.concat(F.lit("Event "), F.col("event_id").cast("string")))
                 cells.append(F.max(F.when(here, text)).alias(f"Editor Decision {n}  (Editor {editor})"))
-            if editor != len(EVENT_TYPES):
+            if editor != len(kinds):
                 cells.append(
                     F.max(F.when(here, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))).alias(f"Date decided {n}  (Editor {editor})")
                 )
@@ -130,14 +132,15 @@ def decisions_export(spark, sf_dir):
 
 
 DECISIONS_SQL = """
-WITH cells AS (
-  SELECT user_id, CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 ELSE 5 END AS editor,
+WITH kinds AS (SELECT event_type, row_number() OVER (ORDER BY event_type) AS editor FROM (SELECT DISTINCT event_type FROM events)),
+cells AS (
+  SELECT user_id, editor,
          CAST(floor((day(ts) - 1) / 6) + 1 AS BIGINT) AS n,
          max(CASE WHEN value < 1 THEN '' ELSE 'Event ' || event_id END) AS decision,
          max(strftime(ts, '%Y-%m-%d %H:%M:%S')) AS decided
-  FROM events GROUP BY ALL)
+  FROM events JOIN kinds USING (event_type) GROUP BY ALL)
 SELECT user_id AS submission_id, CAST(editor AS BIGINT) AS editor_number, n AS decision_number, decision,
-       CASE WHEN editor < 5 THEN strptime(decided, '%Y-%m-%d %H:%M:%S') END AS date_decided
+       CASE WHEN editor < (SELECT max(editor) FROM kinds) THEN strptime(decided, '%Y-%m-%d %H:%M:%S') END AS date_decided
 FROM cells WHERE decision <> '' AND NOT (editor = 1 AND n = 5)"""
 
 
@@ -161,8 +164,9 @@ SELECT l_orderkey AS submission_id, CAST(l_linenumber AS BIGINT) AS author_numbe
 FROM lineitem GROUP BY l_orderkey, l_linenumber""",
 )
 def unpivot_numbered_query(spark, sf_dir):
-    wide = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        *[F.max(F.when(F.col("l_linenumber") == n, F.col("l_partkey"))).alias(f"Part (Author {n})") for n in LINE_NUMBERS]
+    lines = table(spark, sf_dir, "lineitem")
+    wide = lines.groupBy("l_orderkey").agg(
+        *[F.max(F.when(F.col("l_linenumber") == n, F.col("l_partkey"))).alias(f"Part (Author {n})") for n in _values(lines, "l_linenumber")]
     )
     return unpivot_numbered(wide, {"Part": "part"}, "l_orderkey", "author_number", "Author")
 
@@ -173,10 +177,11 @@ def unpivot_numbered_query(spark, sf_dir):
 )
 def wide_author_count(spark, sf_dir):
     here = F.col("l_returnflag") != "R"
-    wide = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+    lines = table(spark, sf_dir, "lineitem")
+    wide = lines.groupBy("l_orderkey").agg(
         *[
             F.max(F.when((F.col("l_linenumber") == n), F.when(here, "x").otherwise(""))).alias(f"Family Name (Author {n})")
-            for n in LINE_NUMBERS
+            for n in _values(lines, "l_linenumber")
         ]
     )
     return wide.select("l_orderkey", numbered_count(wide, "Family Name", "Author").alias("author_count"))

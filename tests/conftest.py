@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -18,6 +19,7 @@ def spark():
             "spark.default.parallelism": "2",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="foliate-tests-"),
             # A zone with summer time: naive timestamps must not depend on it.
             "spark.sql.session.timeZone": "America/New_York",
         },

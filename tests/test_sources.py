@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliate.errors import MissingDataError, OptionError
+from foliate.errors import DataError, MissingDataError, OptionError
 from foliate.plans import specs
+from foliate.operators import joins
 from foliate.sources import records, reports, sinks, state, store
 
 ITEM = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
@@ -29,25 +30,6 @@ def test_json_lines(spark, tmp_path):
     assert records.read_records(spark, str(tmp_path / "x.json"), ITEM, multiline=False).count() == 2
 
 
-def test_underscore_files_are_read_in_pieces(spark, rows, tmp_path, monkeypatch):
-    data = [{"id": i, "name": {"en_US": "x" * 50, "note": "], [{"}} for i in range(2500)]
-    for indent in (None, 2):
-        path = tmp_path / f"_indent{indent}.json"
-        path.write_text(json.dumps(data, indent=indent))
-        df = records.read_records(spark, str(path), ITEM)
-        assert df.count() == 2500 and df.agg(F.sum("id")).first()[0] == sum(range(2500))
-    monkeypatch.setattr(records, "CHUNK_CHARS", 7)
-    import pyarrow as pa
-
-    got = list(records._record_texts(iter([pa.RecordBatch.from_arrays([pa.array([str(path)])], ["path"])])))
-    assert [json.loads(t) for b in got for t in b.column(0).to_pylist()] == data
-    (tmp_path / "_cut.json").write_text('[{"id": 1}, {"id": ')
-    with pytest.raises(Exception, match="ends inside a record"):
-        records.read_records(spark, str(tmp_path / "_cut.json"), ITEM).collect()
-    (tmp_path / "_empty.json").write_text("[]")
-    assert records.read_records(spark, str(tmp_path / "_empty.json"), ITEM).count() == 0
-
-
 def test_required_and_optional_datasets(spark, tmp_path):
     (tmp_path / "a.json").write_text("[]")
     found = records.read_datasets(spark, str(tmp_path), {"a": ITEM}, {"b": ITEM})
@@ -104,46 +86,60 @@ def test_report_csv(spark, tmp_path):
     assert tuple(first) == ("007", 'a "q"\nline', "caf�") and tuple(second) == (None, None, "z")
 
 
-def test_store_replace_merge_and_prune(spark, rows, tmp_path):
+def test_store_replace_and_merge(spark, rows, tmp_path):
     path = str(tmp_path / "d")
     assert store.read(spark, path) is None
     first = spark.createDataFrame([(1, "a", 1), (1, "A", 2), (2, "b", 3)], "id int, v string, _seq int")
     assert rows(store.merge_dataset(spark, path, first, ["id"], ["_seq"])) == [(1, "A"), (2, "b")]
-    delta = spark.createDataFrame([(2, "B", 1), (3, "c", 2)], "id int, v string, _seq int")
+    delta = spark.createDataFrame([(2, "B", 1), (3, "c", 2)], "id bigint, v string, _seq int")
     for _ in range(2):
         assert rows(store.merge_dataset(spark, path, delta, ["id"], ["_seq"])) == [(1, "A"), (2, "B"), (3, "c")]
-    assert rows(store.replace_dataset(delta.drop("_seq").where("id = 3"), path)) == [(3, "c")]
-    assert rows(store.read(spark, path)) == [(3, "c")]
-    assert store.prune_versions(spark, path) == ["v=1", "v=2", "v=3"]
+    assert rows(store.merge_dataset(spark, path, delta.limit(0), ["id"], ["_seq"])) == [(1, "A"), (2, "B"), (3, "c")]
+    assert rows(store.replace_dataset(delta.drop("_seq").where("id = 3"), path, ["id"])) == [(3, "c")]
     assert rows(store.read(spark, path)) == [(3, "c")]
+    assert store.replace_dataset(delta.limit(0), path, ["id"]).count() == 0
+    assert store.merge_dataset(spark, path, delta, ["id"], ["_seq"]).count() == 2
 
 
-def test_a_write_that_is_not_logged_is_not_read(spark, rows, tmp_path):
+def test_a_write_without_a_pointer_is_not_read(spark, rows, tmp_path):
     path = str(tmp_path / "d")
     store.replace_dataset(spark.createDataFrame([(1,)], "id int"), path)
-    spark.createDataFrame([(2,)], "id int").write.parquet(f"{path}/v=2")
+    spark.createDataFrame([(2,)], "id int").write.parquet(f"{path}/data/lost")
     assert rows(store.read(spark, path)) == [(1,)]
-    assert rows(store.replace_dataset(spark.createDataFrame([(3,)], "id int"), path)) == [(3,)]
 
 
-def test_sliced_merge_rewrites_only_what_it_touches(spark, rows, tmp_path):
+def test_another_layout_is_refused(spark, rows, tmp_path):
+    path = str(tmp_path / "d")
+    store.replace_dataset(spark.createDataFrame([(1, "old"), (2, "keep")], "id int, v string"), path)
+    with pytest.raises(OptionError, match="kept in one piece"):
+        store.merge_dataset(spark, path, spark.createDataFrame([(1, "new")], "id int, v string"), ["id"], ["v"])
+    assert rows(store.read(spark, path)) == [(1, "old"), (2, "keep")]
+
+
+def test_the_second_of_two_writers_is_refused(spark, rows, tmp_path):
     path = str(tmp_path / "d")
-    day = F.col("day")
-    old = spark.createDataFrame([(1, "2024-01-01", 1), (1, "2024-01-02", 1), (2, None, 1)], "id int, day string, v int")
-    store.replace_dataset(old, path, day)
-    before = store.layout(spark, path).slices
-    assert set(before) == {"2024-01-01", "2024-01-02", "file"}
-    delta = spark.createDataFrame([(1, "2024-01-02", 9), (3, "2024-01-02", 9), (1, "2024-01-03", 9)], "id int, day string, v int")
-    got = rows(store.merge_dataset(spark, path, delta, ["id", "day"], slice_by=day))
-    assert got == [(1, "2024-01-01", 1), (1, "2024-01-02", 9), (1, "2024-01-03", 9), (2, None, 1), (3, "2024-01-02", 9)]
-    after = store.layout(spark, path).slices
-    assert after["2024-01-01"] == before["2024-01-01"] and after["2024-01-02"] != before["2024-01-02"]
-    new_only = spark.createDataFrame([(7, "2024-02-01", 7)], "id int, day string, v int")
-    assert store.merge_dataset(spark, path, new_only, ["id", "day"], slice_by=day).count() == 6
-    assert store.merge_dataset(spark, path, new_only.limit(0), ["id", "day"], slice_by=day).count() == 6
-    store.prune_versions(spark, path)
-    assert store.read(spark, path).count() == 6
-    assert store.replace_dataset(old.limit(0), path, day).count() == 0
+    frame = spark.createDataFrame([(1,)], "id int")
+    store.replace_dataset(frame, path)
+    before = store.layout(spark, path)
+    store._write(frame, before, (), 1, None)
+    with pytest.raises(DataError, match="another writer"):
+        store._write(spark.createDataFrame([(9,)], "id int"), before, (), 1, None)
+    assert rows(store.read(spark, path)) == [(1,)]
+
+
+def test_a_merge_rewrites_only_the_buckets_of_its_keys(spark, tmp_path):
+    path = str(tmp_path / "d")
+    store.replace_dataset(spark.range(30_000).selectExpr("id", "0 as v"), path, ["id"])
+    before = store.layout(spark, path).dirs
+    assert len(before) == store.BUCKETS
+    merged = store.merge_dataset(spark, path, spark.createDataFrame([(7, 1), (99_999, 1)], "id bigint, v int"), ["id"], ["v"])
+    after = store.layout(spark, path).dirs
+    assert sum(before[b] != after[b] for b in before) <= 2
+    assert merged.count() == 30_001 and merged.agg(F.sum("v")).first()[0] == 2
+    wide = spark.range(25_000).selectExpr("id", "5 as v")
+    assert store.merge_dataset(spark, path, wide, ["id"], ["v"]).where("v = 5").count() == 25_000
+    with pytest.raises(OptionError, match="kept in 16 buckets of id"):
+        store.merge_dataset(spark, path, wide, ["id"], ["v"], buckets=8)
 
 
 def test_state(spark, rows, tmp_path):
@@ -156,9 +152,9 @@ def test_state(spark, rows, tmp_path):
     assert rows(loaded["marks"]) == [("all", "2024-01-01 00:00:00")]
     assert rows(state.seen_of(loaded["seen"], "submissions")) == [(1, "t"), (2, None)]
     assert state.mark_of(loaded["marks"], "stats") is None
-    for part in (tmp_path / "state" / "marks" / "v=1").glob("*.parquet"):
+    for part in (tmp_path / "state" / "marks" / "data").rglob("*.parquet"):
         part.write_bytes(b"garbage")
-    for crc in (tmp_path / "state" / "marks" / "v=1").glob(".*.crc"):
+    for crc in (tmp_path / "state" / "marks" / "data").rglob(".*.crc"):
         crc.write_bytes(b"")
     assert state.load_state(spark, directory)["marks"].count() == 0
 
@@ -180,3 +176,34 @@ def test_write_tables(spark, tmp_path):
         sinks.write_tables({}, {}, str(tmp_path), "xml")
     order = [c._jc.toString() for c in sinks.sort_columns(specs.PUBLICATIONS, specs.PUBLICATIONS.names())]
     assert order == ["date_published DESC NULLS FIRST", "submission_id ASC NULLS FIRST"]
+
+
+def test_last_means_the_order_of_file_names(spark, rows, tmp_path):
+    """The newer file is the larger one, which Spark plans first."""
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "part-1.json").write_text('{"id": 1, "name": "old"}\n{"id": 2, "name": "only"}\n')
+    (folder / "part-2.json").write_text("".join(f'{{"id": {i}, "name": "new"}}\n' for i in [1, *range(10, 500)]))
+    read = records.read_records(spark, str(folder), ITEM, multiline=False)
+    latest = joins.last_wins(read, ["id"], ["_seq"])
+    assert rows(latest.where("id <= 2"), "id", "name") == [(1, "new"), (2, "only")]
+    with pytest.raises(OptionError):
+        joins.last_wins(read, ["id"], [])
+
+
+def test_a_page_in_a_folder_with_a_space_is_refused(spark, tmp_path):
+    folder = tmp_path / "my down+loads %41"
+    folder.mkdir()
+    (folder / "a.csv").write_text("<html>")
+    (folder / "aa.csv").write_text("x,y\n1,2\n")
+    paths = [str(folder / "a.csv"), str(folder / "aa.csv")]
+    assert reports.accepted_reports(spark, paths) == ([paths[1]], [paths[0]])
+
+
+def test_a_storage_that_fails_is_not_an_empty_state(spark, tmp_path, monkeypatch):
+    def broken(*_):
+        raise state.PySparkException("Connection timed out")
+
+    monkeypatch.setattr(state.store, "read", broken)
+    with pytest.raises(state.PySparkException):
+        state.load_state(spark, str(tmp_path / "s"))
