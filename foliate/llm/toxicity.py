@@ -83,9 +83,34 @@ def _inside(at: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def document_features(texts: list[str | None]) -> dict[str, Sequence]:
-    """Per text the sorted distinct buckets of its windows, as bytes of 32-bit numbers."""
+    """Per text the sorted distinct buckets of its windows, as bytes of 32-bit numbers, and sketches that near-copies share.
+
+    A sketch is the smallest hash of the text's stretches of seven windows, 35 bytes, under one of three multipliers.
+    """
     buckets, starts = gram_buckets(texts)
-    return {"grams": [np.unique(buckets[a : max(a, b - GRAM + 1)]).tobytes() for a, b in zip(starts, starts[1:], strict=False)]}
+    grams, sketches = [], []
+    for a, b in zip(starts, starts[1:], strict=False):
+        own = buckets[a : max(a, b - GRAM + 1)].astype(np.uint64)
+        grams.append(np.unique(own).astype(np.uint32).tobytes())
+        n = max(1, len(own) - 6 * GRAM)
+        long = np.zeros(min(n, len(own)), np.uint64)
+        for i in range(7):
+            part = own[i * GRAM : i * GRAM + n]
+            long[: len(part)] = (long[: len(part)] ^ part) * np.uint64(0x9E3779B97F4A7C15)
+            long ^= long >> np.uint64(29)
+        sketches.append([int((long * np.uint64(m)).min() >> np.uint64(1)) if len(long) else 0 for m in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)])
+    return {"grams": grams, "sketches": sketches}
+
+
+def first_of_copies(sketches: Sequence[Sequence[int]]) -> list[bool]:
+    """Which of the documents share no sketch with one before them."""
+    seen: set[tuple[int, int]] = set()
+    first = []
+    for own in sketches:
+        marks = set(enumerate(own))
+        first.append(not marks & seen)
+        seen |= marks
+    return first
 
 
 def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, params: PuParameters = PuParameters()) -> ToxicityModel:
@@ -141,7 +166,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, params: PuParameters = Pu
     """Fit on the learning folds: toxic documents against unlabelled ones, whatever their label.
 
     The prior is the share of toxic rows among the labelled rows of those folds. A
-    document with several labels counts as toxic when one says so.
+    document with several labels counts as toxic when one says so. Near-copies in the
+    sample count once.
     """
     docs = id_and_text(docs)
     known = (
@@ -154,15 +180,15 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, params: PuParameters = Pu
     unlabelled = ids.orderBy(order, "doc_id").limit(params.max_unlabelled).distinct()
     picked = positive.withColumn("p", F.lit(1)).unionByName(unlabelled.withColumn("p", F.lit(0))).groupBy("doc_id").agg(F.max("p").alias("p"), F.min("p").alias("all_p"))
     # At most max_positive + max_unlabelled ids, whatever the input: a bounded broadcast.
-    sample = map_texts(docs.join(F.broadcast(picked), "doc_id"), lambda: document_features, "grams binary")
-    positives, unlabelled_texts = [], []
-    for row in sample.select("p", "all_p", "grams").toLocalIterator():
-        grams = np.frombuffer(row["grams"], np.uint32)
-        if row["p"] == 1:
-            positives.append(grams)
-        if row["all_p"] == 0:
-            unlabelled_texts.append(grams)
-    return fit_nnpu(positives, unlabelled_texts, prior, params)
+    sample = map_texts(docs.join(F.broadcast(picked), "doc_id"), lambda: document_features, "grams binary, sketches array<bigint>")
+    rows = sorted(sample.select("p", "all_p", "grams", "sketches").toLocalIterator(), key=lambda r: (r["sketches"], bytes(r["grams"])))
+
+    def once(wanted: list) -> list[np.ndarray]:
+        """Near-copies count once, or what a much copied toxic text says besides would look toxic."""
+        first = first_of_copies([r["sketches"] for r in wanted])
+        return [np.frombuffer(r["grams"], np.uint32) for r, new in zip(wanted, first, strict=True) if new]
+
+    return fit_nnpu(once([r for r in rows if r["p"] == 1]), once([r for r in rows if r["all_p"] == 0]), prior, params)
 
 
 def scorer(model: ToxicityModel) -> Callable[[list[str | None]], dict[str, Sequence]]:

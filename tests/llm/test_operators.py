@@ -122,6 +122,16 @@ def test_toxicity_without_examples(spark):
     assert len(got) == 2 and all(r["score"] < 0.01 for r in got)
 
 
+def test_near_copies_share_a_sketch():
+    rng = random.Random(21)
+    a, b = prose(rng, 300), prose(rng, 300)
+    words = a.split()
+    words[40] = "other"
+    texts = [a, " ".join(words), b, "short", "", None, a]
+    first = toxicity.first_of_copies(toxicity.document_features(texts)["sketches"])
+    assert first == [True, False, True, True, True, False, False]
+
+
 def test_negative_risk_is_not_driven_below_zero():
     positive, unlabelled = [np.array([1, 2], np.uint32)] * 20, [np.array([1, 2], np.uint32)] * 2 + [np.array([3], np.uint32)] * 18
     model = toxicity.fit_nnpu(positive, unlabelled, 0.1, toxicity.PuParameters(min_z=1.0))
