@@ -133,7 +133,3 @@ def published_details(details: DataFrame, column: str = "status") -> DataFrame:
 
 def published_rows(df: DataFrame, column: str = "status") -> DataFrame:
     return df.where(quoted(column) == PUBLISHED_LABEL)
-
-
-def any_of(conditions: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
