@@ -42,9 +42,9 @@ def words_of(text: str | None) -> list[bytes]:
 
 @dataclass(frozen=True)
 class Block:
-    """Some benchmark items: their ids, and all their words by number, one 0 behind each item."""
+    """Some benchmark texts, each once: the ids of its items, and all their words by number, one 0 behind each text."""
 
-    items: list[str]
+    items: list[list[str]]
     vocabulary: dict[bytes, int]
     words: np.ndarray
     suffixes: np.ndarray
@@ -58,11 +58,15 @@ class Block:
 
 
 def make_block(rows: list[tuple[str, list[bytes]]]) -> Block:
-    """``suffixes``: the starts of all windows; of each its item, its window's length and the words left in the item."""
+    """``suffixes``: the starts of all windows; of each its text, its window's length and the words left in the text. Texts go by their smallest id."""
+    same: dict[tuple[bytes, ...], set[str]] = {}
+    for name, words in rows:
+        same.setdefault(tuple(words), set()).add(name)
+    texts = sorted((sorted(names), words) for words, names in same.items())
     vocabulary: dict[bytes, int] = {}
     flat: list[int] = []
     starts, item, window, left = [], [], [], []
-    for i, (_, words) in enumerate(rows):
+    for i, (_, words) in enumerate(texts):
         n = len(words)
         size = min(n, WINDOW)
         for j in range(n - size + 1 if n else 0):
@@ -73,7 +77,7 @@ def make_block(rows: list[tuple[str, list[bytes]]]) -> Block:
         flat += [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words]
         flat.append(0)
     arrays = [np.array(x, np.int64) for x in (flat or [0], starts, item, window, left)]
-    return Block([r[0] for r in rows], vocabulary, *arrays)
+    return Block([names for names, _ in texts], vocabulary, *arrays)
 
 
 def suffix_array(words: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
@@ -169,7 +173,7 @@ def match_shard(texts: list[str | None], block: Block) -> Hits:
         np.add.at(hit, at + window, -1)
         owner = np.searchsorted(starts, at, side="right") - 1
         for doc, item in np.unique(np.stack([owner, block.item[which]]), axis=1).T.tolist():
-            hits.items[doc].add(block.items[item])
+            hits.items[doc].update(block.items[item])
         length = window.copy()
         more = np.flatnonzero(length < block.left[which])
         while len(more):
@@ -177,14 +181,15 @@ def match_shard(texts: list[str | None], block: Block) -> Hits:
             more = more[same]
             length[more] += 1
             more = more[length[more] < block.left[which[more]]]
-        # The longest match of each text, the first place among equals.
-        order = np.lexsort((block.suffixes[which], at, -length, owner))
+        # The longest match of each text; among equals the first place, the smallest item id, the first place in the item.
+        offset = block.suffixes[which] - block.suffixes[np.searchsorted(block.item, block.item[which])]
+        names = np.unique([names[0] for names in block.items], return_inverse=True)[1]
+        order = np.lexsort((offset, names[block.item[which]], at, -length, owner))
         first = order[np.flatnonzero(np.r_[True, np.diff(owner[order]) != 0])] if len(order) else order
         for i in first.tolist():
-            doc, t = int(owner[i]), int(which[i])
-            whole = int(np.searchsorted(block.item, block.item[t]))
+            doc = int(owner[i])
             hits.longest[doc], hits.at[doc] = length[i], at[i] - starts[doc]
-            hits.item[doc], hits.item_at[doc] = block.items[int(block.item[t])], int(block.suffixes[t] - block.suffixes[whole])
+            hits.item[doc], hits.item_at[doc] = block.items[int(block.item[which[i]])][0], offset[i]
     covered = np.cumsum(hit[:-1]) > 0
     hits.hit = [np.flatnonzero(covered[a : a + n]) for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
     return hits
@@ -220,7 +225,10 @@ def _pass(df: DataFrame, block: Block, last: bool) -> DataFrame:
                 old = zip(*(part[c].to_pylist() for c in ("hit", "items", "longest_match", "match_at", "match_item", "match_item_at")), strict=True)
                 rows = []
                 for i, (hit, items, longest, at, item, item_at) in enumerate(old):
-                    best = (int(found.longest[i]), int(found.at[i]), found.item[i], int(found.item_at[i])) if found.longest[i] > longest else (longest, at, item, item_at)
+                    best = (longest, at, item, item_at)
+                    if found.longest[i]:
+                        mine = (int(found.longest[i]), int(found.at[i]), found.item[i], int(found.item_at[i]))
+                        best = min(mine, best, key=lambda m: (-m[0], *m[1:])) if longest else mine
                     rows.append((np.union1d(hit, found.hit[i]).astype(np.int32) if hit else found.hit[i].astype(np.int32), sorted(found.items[i].union(items)), *best))
                 hit, items, longest, at, item, item_at = zip(*rows, strict=True)
                 tail = [pa.array(longest, pa.int64()), pa.array(at, pa.int64()), pa.array(item, pa.string()), pa.array(item_at, pa.int64())]

@@ -1,8 +1,8 @@
 """The named queries of this subpackage: thin wrappers that give each operator its whole table.
 
-None has SQL: a compressor, a trained model, a hash of shingles, a tokenizer or an
-HTML parser is part of each. They are tested against brute force, exact round trips
-and held-out rows in ``tests/llm``.
+Three have SQL. A compressor, a trained model, a hash of shingles, a tokenizer or an
+HTML parser is part of each of the others; they are tested against brute force, exact
+round trips and held-out rows in ``tests/llm``.
 """
 
 from __future__ import annotations
@@ -11,10 +11,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliate.llm import bpe, chat, decontaminate, html_extract, language_id, line_dedup, quality, simhash, token_counts, toxicity
+from foliate.llm import bpe, chat, decontaminate, html_extract, language_id, line_dedup, quality, simhash, sql, token_counts, toxicity
 
 QUERIES = {}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op6_line_dedup": sql.LINE_DEDUP,
+    "op7_chat_formatting": sql.CHAT_FORMATTING,
+    "op10_decontamination": sql.DECONTAMINATION,
+}
 
 
 def query(fn):

@@ -562,3 +562,13 @@ def test_longest_match_and_its_places(spark):
     benchmark = spark.createDataFrame([(3, " ".join(words))], "item_id bigint, text string")
     r = decontaminate.contamination(table(spark, [text]), benchmark).first()
     assert (r["longest_match"], r["match_at"], r["match_item"], r["match_item_at"]) == (15, 2, "3", 4)
+
+
+@pytest.mark.parametrize("block_words", [1, 10**6])
+def test_equal_longest_matches_go_by_place_and_item_id(spark, block_words):
+    rng = random.Random(15)
+    first, second = prose(rng, 12), prose(rng, 12)
+    items = [("z", second), ("k", f"{prose(rng, 3)} {first}"), ("b", f"{prose(rng, 5)} {first}"), ("b", f"x {first}"), ("c", second), ("z", second)]
+    benchmark = spark.createDataFrame(items, "item_id string, text string").coalesce(1)
+    r = decontaminate.contamination(table(spark, [f"start {first} and {second}"]), benchmark, block_words=block_words).first()
+    assert (r["n_items"], r["longest_match"], r["match_at"], r["match_item"], r["match_item_at"]) == (4, 12, 1, "b", 1)

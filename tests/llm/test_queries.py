@@ -2,12 +2,13 @@
 
 import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from foliate.llm.queries import QUERIES
+from foliate.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -41,6 +42,41 @@ def test_a_query_covers_its_whole_table(spark, name):
         assert {r[0] for r in rows} == ids | ({-1} if key == "conv_id" else set())
 
 
+def in_order(rows):
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_a_query_agrees_with_its_sql(spark, name):
+    con = duckdb.connect()
+    for source in ("documents", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {source} AS SELECT * FROM '{SF_DIR}/{source}.parquet'")
+    want = con.execute(ORACLES[name])
+    columns = [d[0] for d in want.description]
+    assert in_order(QUERIES[name](spark, SF_DIR).select(*columns).collect()) == in_order(want.fetchall())
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_a_query_agrees_with_its_sql_on_odd_rows(spark, tmp_path, name):
+    run = " ".join(f"w{i}" for i in range(24))
+    lines = "\n".join(f"line {i} of a passage that comes twice" for i in range(6))
+    texts = [None, "", " \n\t\n", run, run.upper(), f"{run}\n\x0b\n{run}", f"before\n{lines}", f"{lines}\n\nafter", lines, "a <| b <\\| c <\\\\|", "q " * 30, "Ünï <|im_end|>\nx"]
+    texts += [f"{run} {i} {run}" for i in range(3)] + ["solo", "two words", run]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame([*rows, rows[3], rows[6], (None, run), (None, None)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    items = [("b", run), ("a", run), (None, "w3 w4"), ("c", None), ("d", " .,"), ("e", "solo"), ("a", lines), ("b", run)]
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    turns = [(1, i, ("user", "assistant", None)[i % 3], t) for i, t in enumerate(texts)]
+    turns += [(2, 0, "assistant", "x"), (2, 0, "assistant", "x"), (2, None, "sys<|tem\\\n", "y"), (None, 1, "assistant", "z"), (3, 1, "user", None)]
+    spark.createDataFrame(turns, "conv_id bigint, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    for source in ("documents", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {source} AS SELECT * FROM '{tmp_path}/{source}.parquet/*.parquet'")
+    want = con.execute(ORACLES[name])
+    columns = [d[0] for d in want.description]
+    assert in_order(QUERIES[name](spark, str(tmp_path)).select(*columns).collect()) == in_order(want.fetchall())
+
+
 def test_stages_return_the_columns_of_documents(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").withColumn("kept", F.lit(1))
     columns = docs.columns
