@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import codecs
 import json
+import re
+import sys
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
@@ -59,6 +61,29 @@ def sufficient_lookahead(merges: Iterable[tuple[str, str]], length: Callable[[st
     return most
 
 
+# Letters and numbers that Unicode 16.0 added, first and last of each range.
+ADDED_IN_16 = """
+1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D40-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B 1138E 11390-113B5 113B7 113D1 113D3
+116D0-116E3 11BC0-11BE0 11BF0-11BF9 13460-143FA 16100-1611D 16130-16139 16D40-16D6C 16D70-16D79 18CFF 1CCF0-1CCF9 1E5D0-1E5ED 1E5F0-1E5FA
+"""
+
+
+@lru_cache(maxsize=1)
+def newer_characters() -> str:
+    """A character class of the letters and numbers that came after Unicode 16.0.
+
+    The pattern library follows a newer Unicode than the library the vocabulary files are
+    made for; to that one these characters are neither letters nor numbers.
+    """
+    known = set()
+    for span in ADDED_IN_16.split():
+        first, _, last = span.partition("-")
+        known.update(map(chr, range(int(first, 16), int(last or first, 16) + 1)))
+    unassigned = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Cn" and c not in known)
+    found = "".join(regex.findall(r"[\p{L}\p{N}]", unassigned))
+    return "[" + "".join(map(re.escape, found)) + "]"
+
+
 class Vocabulary:
     """A tokenizer file of merges with a word-end suffix, read once per task.
 
@@ -83,7 +108,12 @@ class Vocabulary:
         self.lookahead = sufficient_lookahead(pairs, lambda t: len(t.removesuffix(self.suffix)) if self.suffix else len(t))
         self.added: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings: dict[int, str] = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.added.items()}
-        self.pretokens = regex.compile(split["pattern"]["Regex"].replace(r"[^\s", "[^" + _SPACE))
+        pattern = split["pattern"]["Regex"].replace(r"[^\s", "[^" + _SPACE)
+        newer = newer_characters()
+        self._newer, self._newest_known = re.compile(newer), chr(ord(newer[1]) - 1)
+        self._pretokens = regex.compile(pattern)
+        # For the rare text that has such a character; sets within sets are slower to match.
+        self._careful = regex.compile("(?V1)" + re.sub(r"\[(\^?)([^\]]*?)((?:\\p\{[LN]\})+)\]", lambda m: f"[{m[1]}{m[2]}[[{m[3]}]--{newer}]]", pattern))
         longest_first = sorted(self.added, key=len, reverse=True)
         self._specials = regex.compile("|".join(map(regex.escape, longest_first))) if longest_first else None
         self._symbols = [byte_symbols()[b] for b in range(256)]
@@ -103,6 +133,11 @@ class Vocabulary:
         # Case is changed character by character: a sigma at the end of a word gets no special form.
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
+    def pretokens(self, text: str) -> list[str]:
+        """The pretokens of a normalized text."""
+        careful = not text.isascii() and max(text) > self._newest_known and self._newer.search(text)
+        return (self._careful if careful else self._pretokens).findall(text)
+
     def symbols(self, pretoken: str) -> list[str]:
         """The byte symbols of a pretoken, the last with the word-end suffix."""
         own = self._symbols
@@ -180,7 +215,7 @@ class Encoder:
                     stop = (cut.start(1) if cut else further.start()) if further else len(segment)
                 memo, one = self._memo, self.pretoken
                 out: list[int] = []
-                for p in self.vocabulary.pretokens.findall(self.vocabulary.normalized(segment[at:stop])):
+                for p in self.vocabulary.pretokens(self.vocabulary.normalized(segment[at:stop])):
                     out += memo.get(p) or one(p)
                 yield out
                 at = stop

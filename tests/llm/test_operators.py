@@ -572,3 +572,9 @@ def test_equal_longest_matches_go_by_place_and_item_id(spark, block_words):
     benchmark = spark.createDataFrame(items, "item_id string, text string").coalesce(1)
     r = decontaminate.contamination(table(spark, [f"start {first} and {second}"]), benchmark, block_words=block_words).first()
     assert (r["n_items"], r["longest_match"], r["match_at"], r["match_item"], r["match_item_at"]) == (4, 12, 1, "b", 1)
+
+
+def test_pretokens_follow_the_unicode_of_the_library(coder):
+    encoder, _, reference = coder
+    for text in ("a\u0558b!\u0558", "x\u1c8a y\u1c8a1", "\U00011de3\U00011de3 7\U00016130", "\U0001917a!b", "\U00010d75-\U000105c0", "\u01c4\u212a\u03a3 \u5582"):
+        assert encoder.encode(text) == reference.encode(text, add_special_tokens=False).ids
