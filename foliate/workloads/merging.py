@@ -13,6 +13,7 @@ from foliate.plans import landing
 from foliate.plans.jobs import sync
 from foliate.session import ensure_checkpoint_dir
 from foliate.sources import store
+from foliate.sources.state import load_state
 from foliate.streaming.sync_stream import sync_stream
 from foliate.workloads import records
 from foliate.workloads.registry import query, table
@@ -144,6 +145,12 @@ def sync_incremental(spark, sf_dir):
     The second run starts a day before the newest record of the first one; it takes
     what is newer than that, and what has no activity time.
     """
+    merged = store.read(spark, f"{_synced_twice(spark, sf_dir)}/submissions")
+    return merged.select("id", F.col("dateLastActivity").alias("last_activity"), F.col("statusLabel").alias("loaded_by"))
+
+
+def _synced_twice(spark, sf_dir):
+    """The folder of a full load up to a cut and an incremental run over everything."""
     target = work_dir(spark, "sync")
     landed = _landed(spark, sf_dir)
     everything, activity = landed["submissions"], F.col("dateLastActivity")
@@ -151,8 +158,34 @@ def sync_incremental(spark, sf_dir):
     sync(spark, {**landed, "submissions": first}, target, "2024-06-01 00:00:00", full=True, stats=False)
     second = everything.withColumn("statusLabel", F.lit("second"))
     sync(spark, {**landed, "submissions": second}, target, "2024-06-02 00:00:00", incremental=True)
-    merged = store.read(spark, f"{target}/submissions")
-    return merged.select("id", activity.alias("last_activity"), F.col("statusLabel").alias("loaded_by"))
+    return target
+
+
+@query(
+    "sync_seen",
+    """
+SELECT 'submissions' AS dataset, o_orderkey AS id,
+       CASE WHEN o_orderpriority <> '5-LOW' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS last_activity
+FROM orders""",
+)
+def sync_seen(spark, sf_dir):
+    """The state those two runs leave: each submission once, with its newest activity time."""
+    return load_state(spark, f"{_synced_twice(spark, sf_dir)}/state")["seen"]
+
+
+@query(
+    "sync_user_details",
+    """
+SELECT DISTINCT o_custkey AS id, CASE WHEN c_mktsegment = 'BUILDING' THEN '2024-06-01 00:00:00' ELSE '2024-06-02 00:00:00' END AS fetched_at
+FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""",
+)
+def sync_user_details(spark, sf_dir):
+    """Details fetched for one role in a full run and for another later: the first ones stay as they were, each stamped with its run."""
+    target = work_dir(spark, "details")
+    landed = {**_landed(spark, sf_dir), "user_details": records.user_details(spark, sf_dir)}
+    sync(spark, landed, target, "2024-06-01 00:00:00", full=True, stats=False, user_details=True, user_roles=[4096])
+    sync(spark, landed, target, "2024-06-02 00:00:00", incremental=True, stats=False, user_details=True, user_roles=[16])
+    return store.read(spark, f"{target}/user_details").select("id", F.col("_fetched_at").alias("fetched_at")).distinct()
 
 
 @query(
