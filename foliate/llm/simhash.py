@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliate.errors import OptionError
@@ -241,12 +241,20 @@ def keep_one_per_component(docs: DataFrame, threshold: int = THRESHOLD, id_col:
     Rows are told apart by id and a hash of id and text; of rows that agree in both one
     stays. Rows without an id come after all others.
     """
-    work = {"key": "_simhash_key", "copy": "_simhash_copy"}
-    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("row"))
-    keyed = docs.select(key.alias("key"), F.col(text_col).cast("string").alias("text"))
+    keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     prints = materialize(map_texts(keyed, _fingerprint_task, "fp bigint"))
-    stay = _component_of(prints, "key", threshold).select(F.col("component").alias("stay")).distinct()
-    marked = docs.withColumn(work["key"], key)
+    return keep_rows(docs, _component_of(prints, "key", threshold).select(F.col("component").alias("stay")).distinct(), id_col, text_col)
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    """What tells rows apart, in the order in which they are kept."""
+    return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("row"))
+
+
+def keep_rows(docs: DataFrame, stay: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose key is in the column ``stay``, one of each key."""
+    work = {"key": "_simhash_key", "copy": "_simhash_copy"}
+    marked = docs.withColumn(work["key"], row_key(id_col, text_col))
     mine, other = F.col(work["key"]), F.col("stay")
     kept = marked.join(stay, (mine["row"] == other["row"]) & mine["id"].eqNullSafe(other["id"])).drop("stay")
     first = Window.partitionBy(f"{work['key']}.row", f"{work['key']}.id").orderBy(F.lit(0))

@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -15,7 +16,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from foliate.errors import OptionError
-from foliate.llm import bpe, chat, decontaminate, html_extract, language_id, line_dedup, quality, simhash, token_counts, toxicity
+from foliate.llm import bpe, chat, decontaminate, html_extract, language_id, line_dedup, near_dup, quality, simhash, token_counts, toxicity
 from foliate.llm.graph import components
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -255,6 +256,69 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}}
 
 
+# near-duplicates of the pipeline
+
+
+def edited(rng, text, changes):
+    words = text.split()
+    for _ in range(changes):
+        words[rng.randrange(len(words))] = prose(rng, 1)
+    return " ".join(words)
+
+
+def brute_kept(texts):
+    """The smallest index of each component of texts whose sets of five words have a similarity of 0.8 or more."""
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return sorted(set(label))
+
+
+def test_pipeline_links_similar_texts_of_distant_fingerprints(spark):
+    rng = random.Random(11)
+    texts = []
+    while len(texts) < 40:
+        a = prose(rng, 120)
+        b = edited(rng, a, 2)
+        if np.bitwise_count(np.bitwise_xor(*simhash.fingerprints([a, b]))) > simhash.THRESHOLD:
+            texts += [a, b]
+    docs = table(spark, texts)
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert kept == brute_kept(texts) == list(range(0, 40, 2))
+
+
+@pytest.mark.parametrize("paired", [2, 16])
+def test_shingle_components_against_all_pairs(spark, monkeypatch, odd_texts, paired):
+    monkeypatch.setattr(near_dup, "PAIRED", paired)
+    monkeypatch.setattr(near_dup, "PIVOTS", 2)
+    rng = random.Random(5)
+    base = prose(rng, 150)
+    # Copies of copies of one text: many meet, and not all are linked.
+    texts = [base]
+    for _ in range(60):
+        texts.append(edited(rng, rng.choice(texts), rng.randint(1, 6)))
+    texts += [*odd_texts, "One TWO three", "one two three", "one two", *(edited(rng, prose(rng, 40), 0) for _ in range(5))]
+    kept = near_dup.keep_one_per_component(table(spark, texts))
+    assert sorted(r["doc_id"] for r in kept.collect()) == brute_kept(texts)
+
+
+def test_one_document_of_similar_ones_stays(spark):
+    rng = random.Random(2)
+    a, b = prose(rng, 80), prose(rng, 80)
+    docs = table(spark, [a, b, a, a, b, None, None], ids=[5, 6, 3, 3, None, None, None])
+    kept = near_dup.keep_one_per_component(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"] or -1), r["text"] or "") for r in kept.collect()) == sorted([(3, a), (6, b), (-1, "")])
+    assert near_dup.keep_one_per_component(table(spark, [])).collect() == []
+
+
 # token counts
 
 
