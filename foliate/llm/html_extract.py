@@ -31,13 +31,15 @@ PATH_DIM, WORD_DIM, NUMBERS = 96, 32, 5
 INPUT = PATH_DIM + WORD_DIM + NUMBERS
 BATCH = 256
 
-# HTML's void elements, elements whose content is no markup, and phrasing elements that don't end a block.
+# HTML's void elements, elements whose content is no markup, phrasing elements that don't end a block, foreign elements and the tags that end them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "select", "xmp", "noembed", "noframes", "object", "audio", "video", "canvas")
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+RAW = ("script", "style", "textarea", "title")
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img svg math noscript object audio video canvas iframe".split())
+FOREIGN = ("svg", "math")
+BREAKOUT = frozenset("blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 head hr li menu ol p pre table ul".split())
 
 _TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>(?P<body>.*?)(?:</(?P=raw)\s*>|\Z)"
+    r"<!--(?:.*?-->|.*)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?P<open>(?:(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>)(?P<body>.*?)(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>"
     r"|<[!?][^>]*>|[^<]+|<",
     re.DOTALL | re.IGNORECASE,
@@ -60,7 +62,7 @@ def blocks_of(html: str | None) -> list[BlockOfText]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     path: tuple[str, ...] = ()
-    linked = links = 0
+    linked = links = foreign = at = 0
 
     def flush() -> None:
         nonlocal parts, linked
@@ -70,13 +72,17 @@ def blocks_of(html: str | None) -> list[BlockOfText]:
         parts, linked = [], 0
 
     def pop_to(depth: int) -> None:
-        nonlocal links
+        nonlocal links, foreign
         links -= sum(name == "a" for name, _ in stack[depth:])
+        foreign -= sum(name in FOREIGN for name, _ in stack[depth:])
         del stack[depth:]
 
-    for m in _TOKEN.finditer(html or ""):
-        token, name = m.group(), m["name"]
+    html = html or ""
+    while m := _TOKEN.match(html, at):
+        token, name, at = m.group(), m["name"], m.end()
         if name is None:
+            if m["raw"] is not None and foreign and m["open"].endswith("/>"):
+                at = m.end("open")
             if m["raw"] is not None or token[0] == "<" and len(token) > 1:
                 continue
             if not parts:
@@ -89,9 +95,12 @@ def blocks_of(html: str | None) -> list[BlockOfText]:
         if name in ("br", "wbr"):
             parts.append(" " if name == "br" else "")
             continue
-        if name not in INLINE:
+        if foreign and name in BREAKOUT and not m["close"]:
+            pop_to(next(depth for depth, (n, _) in enumerate(stack) if n in FOREIGN))
+        inline = name in INLINE or foreign > 0 and name not in BREAKOUT
+        if not inline:
             flush()
-        if name in VOID:
+        if name in VOID or not m["close"] and (foreign or name in FOREIGN) and m["attributes"].endswith("/"):
             continue
         if m["close"]:
             for depth in range(len(stack) - 1, -1, -1):
@@ -99,7 +108,7 @@ def blocks_of(html: str | None) -> list[BlockOfText]:
                     pop_to(depth)
                     break
             continue
-        if name not in INLINE:
+        if not inline:
             # A block ends a paragraph that was left open, with what is open inside it; an item ends its predecessor.
             ends = {"p"} | ({name} if name in ("li", "dt", "dd", "option", "tr", "td", "th") else set())
             for depth in range(len(stack) - 1, -1, -1):
@@ -115,6 +124,7 @@ def blocks_of(html: str | None) -> list[BlockOfText]:
                 names += _PIECES.findall(_CAMEL.sub(" ", "".join(found)).lower())
         stack.append((name, tuple(names)))
         links += name == "a"
+        foreign += name in FOREIGN
     flush()
     return out
 

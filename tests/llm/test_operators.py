@@ -552,6 +552,16 @@ def test_blocks_of_sloppy_markup():
     assert html_extract.blocks_of(None) == []
 
 
+@pytest.mark.parametrize("odd", ["<svg width='1'/>", "<math/>", "<svg><path d='x'/><title/>", "<object>", "<audio src=a>", "<video>", "<iframe/>", "<video-player></video-player>", "<svg-icon>", "<title-bar></title-bar>", "<template-x>", "<script a='>'>no</script x>"])
+def test_text_after_odd_elements_stays(odd):
+    assert [b.text for b in html_extract.blocks_of(f"<article><p>one</p>{odd}<p>two</p></article><div>three</div>")] == ["one", "two", "three"]
+
+
+def test_formulas_and_fallbacks_are_text():
+    html = "<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p><noscript><p>seen</p></noscript><p>end</p></article>"
+    assert [(b.text, b.path[:2]) for b in html_extract.blocks_of(html)] == [("so x=1 holds", ("article", "p")), ("seen", ("article", "noscript")), ("end", ("article", "p"))]
+
+
 def test_network_gradient():
     rng = np.random.default_rng(1)
     net = html_extract.Network.new(3, 1)
