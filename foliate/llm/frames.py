@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from foliate.session import ensure_checkpoint_dir
+
 #: Bytes of text that one step of numpy work takes at a time; a longer text is a step of its own.
 STEP_BYTES = 2 << 20
 
@@ -66,6 +69,14 @@ def filter_texts(df: DataFrame, make: Callable[[], Callable[[list[str | None]],
     return df.mapInArrow(run, df.schema)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` as a Parquet table of its own in the shared folder, of which later steps read the columns they need."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns the operators read, so that no other column can clash with a result."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

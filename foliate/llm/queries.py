@@ -1,6 +1,6 @@
 """The named queries of this subpackage: thin wrappers that give each operator its whole table.
 
-Three have SQL. A compressor, a trained model, a hash of shingles, a tokenizer or an
+Six have SQL. A compressor, a trained model, a hash of shingles, a tokenizer or an
 HTML parser is part of each of the others; they are tested against brute force, exact
 round trips and held-out rows in ``tests/llm``.
 """
@@ -11,13 +11,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliate.llm import bpe, chat, decontaminate, html_extract, language_id, line_dedup, quality, simhash, sql, token_counts, toxicity
+from foliate.llm import bpe, centroids, chat, decontaminate, html_extract, language_id, line_dedup, prefix_trie, quality, simhash, sql, token_counts, toxicity, url_filters
 
 QUERIES = {}
 ORACLES = {
     "op6_line_dedup": sql.LINE_DEDUP,
     "op7_chat_formatting": sql.CHAT_FORMATTING,
     "op10_decontamination": sql.DECONTAMINATION,
+    "op11_centroids": sql.CENTROIDS,
+    "op12_prefix_trie": sql.PREFIX_TRIE,
+    "op13_url_filters": sql.URL_FILTERS,
 }
 
 
@@ -86,3 +89,20 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_history(turns))
+
+
+@query
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filters.judge_urls(pages, url_filters.RULES).select("page_id", "host", "path", "rule", "verdict", "pattern")
