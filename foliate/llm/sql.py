@@ -149,7 +149,7 @@ _CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(x
 #: Nodes as lists of turns; a subtree is what the members of a node pass through below it.
 PREFIX_TRIE = f"""
 WITH turns AS (
-  SELECT CAST(conv_id AS BIGINT) AS conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n,
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS n,
     struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS turn
   FROM conversations WHERE conv_id IS NOT NULL
 ), convs AS (

@@ -25,6 +25,9 @@ COLUMNS = {
     "op8_language_id": "doc_id held_out lang_pred score",
     "op9_html_extraction": "page_id url text n_chars",
     "op10_decontamination": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op11_centroids": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    "op12_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13_url_filters": "page_id host path rule verdict",
 }
 
 
@@ -36,8 +39,11 @@ def test_a_query_covers_its_whole_table(spark, name):
     rows = df.collect()
     if want[0] == "context_limit":
         assert sum(r["docs"] for r in rows) == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    elif name == "op12_prefix_trie":
+        ids = spark.read.parquet(f"{SF_DIR}/conversations.parquet").select("conv_id").distinct().count()
+        assert [r["n_convs"] for r in rows if r["depth"] == 0] == [ids]
     else:
-        source, key = {"doc_id": ("documents", "doc_id"), "page_id": ("pages", "page_id"), "conv_id": ("conversations", "conv_id")}[want[0]]
+        source, key = {"vec_id": ("embeddings", "vec_id"), "doc_id": ("documents", "doc_id"), "page_id": ("pages", "page_id"), "conv_id": ("conversations", "conv_id")}[want[0]]
         ids = {r[0] for r in spark.read.parquet(f"{SF_DIR}/{source}.parquet").select(key).distinct().collect()}
         assert {r[0] for r in rows} == ids | ({-1} if key == "conv_id" else set())
 
@@ -49,7 +55,7 @@ def in_order(rows):
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_a_query_agrees_with_its_sql(spark, name):
     con = duckdb.connect()
-    for source in ("documents", "benchmark", "conversations"):
+    for source in ("documents", "benchmark", "conversations", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {source} AS SELECT * FROM '{SF_DIR}/{source}.parquet'")
     want = con.execute(ORACLES[name])
     columns = [d[0] for d in want.description]
@@ -69,8 +75,12 @@ def test_a_query_agrees_with_its_sql_on_odd_rows(spark, tmp_path, name):
     turns = [(1, i, ("user", "assistant", None)[i % 3], t) for i, t in enumerate(texts)]
     turns += [(2, 0, "assistant", "x"), (2, 0, "assistant", "x"), (2, None, "sys<|tem\\\n", "y"), (None, 1, "assistant", "z"), (3, 1, "user", None)]
     spark.createDataFrame(turns, "conv_id bigint, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    vectors = [(i, [((i * k) % 7 - 3) / 100 for k in range(64)]) for i in range(30)] + [(3, [0.5] * 64), (3, [0.25] * 64), (None, [0.125] * 64), (40, None), (41, [1.0]), (42, [float("nan")] * 64), (43, [None] * 64)]
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    urls = [None, "", "net/", "http://net", "http://a.NET/?x", "http://x.org/fr/#y", "http://b.com/Login?x", "http://ads.x/", "http://c.com/f.zip", "http://c.com/f\n.zip", "http://docs.a/search", "a://b://net/", "http://é.example.net/en/"]
+    spark.createDataFrame([*enumerate(urls), (None, urls[4]), (4, urls[4])], "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
     con = duckdb.connect()
-    for source in ("documents", "benchmark", "conversations"):
+    for source in ("documents", "benchmark", "conversations", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {source} AS SELECT * FROM '{tmp_path}/{source}.parquet/*.parquet'")
     want = con.execute(ORACLES[name])
     columns = [d[0] for d in want.description]
