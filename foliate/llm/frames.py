@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -69,12 +69,22 @@ def filter_texts(df: DataFrame, make: Callable[[], Callable[[list[str | None]],
     return df.mapInArrow(run, df.schema)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df`` as a Parquet table of its own in the shared folder, of which later steps read the columns they need."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def store(df: DataFrame, name: str) -> str:
+    """Write the rows of ``df`` as a Parquet table of its own in the shared folder; its path."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, read from a table in the shared folder, of which later steps read the columns they need."""
+    return df.sparkSession.read.parquet(store(df, name))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a stored table that nothing reads any more: what was computed from it is stored itself."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

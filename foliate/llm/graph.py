@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliate.session import materialize
+from foliate.llm.frames import remove, store
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -22,22 +22,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of the edges ``(u, v)``; the root is the smallest node of the component.
 
     Alternates large-star and small-star steps (Kiveris et al. 2014, "Connected
-    Components in MapReduce and Beyond") until the edges are stars. Every step is a
-    minimum with a map-side half and a join; the driver gets one count per round. The
-    edges of each round are written to the checkpoint folder.
+    Components in MapReduce and Beyond") until the edges are stars, which takes a number
+    of rounds that grows with the logarithm of the edges. Every step is a minimum with a
+    map-side half and a join; the driver gets one count per round. Each round is stored in
+    the shared folder and takes the place of the one before.
     """
+    spark = edges.sparkSession
     oriented = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct()
-    current, seen = materialize(oriented), None
-    for _ in range(max_rounds):
-        current = materialize(_small_star(_large_star(current)))
-        mark = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            break
-        seen = mark
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(current.select("v", "v").distinct())
+    path, seen, mark = store(oriented, "edges"), None, ()
+    while mark != seen:
+        seen, last = mark, path
+        path = store(_small_star(_large_star(spark.read.parquet(last))), "edges")
+        mark = spark.read.parquet(path).agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        remove(spark, last)
+    stars = spark.read.parquet(path)
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(stars.select("v", "v").distinct())

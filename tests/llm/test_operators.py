@@ -294,10 +294,8 @@ def test_pipeline_links_similar_texts_of_distant_fingerprints(spark):
     assert kept == brute_kept(texts) == list(range(0, 40, 2))
 
 
-@pytest.mark.parametrize("paired", [2, 16])
-def test_shingle_components_against_all_pairs(spark, monkeypatch, odd_texts, paired):
-    monkeypatch.setattr(near_dup, "PAIRED", paired)
-    monkeypatch.setattr(near_dup, "PIVOTS", 2)
+@pytest.mark.parametrize("block_hashes", [700, 4 << 20])
+def test_shingle_components_against_all_pairs(spark, odd_texts, block_hashes):
     rng = random.Random(5)
     base = prose(rng, 150)
     # Copies of copies of one text: many meet, and not all are linked.
@@ -305,10 +303,25 @@ def test_shingle_components_against_all_pairs(spark, monkeypatch, odd_texts, pai
     for _ in range(60):
         texts.append(edited(rng, rng.choice(texts), rng.randint(1, 6)))
     texts += [*odd_texts, "One TWO three", "one two three", "one two", *(edited(rng, prose(rng, 40), 0) for _ in range(5))]
-    kept = near_dup.keep_one_per_component(table(spark, texts))
+    kept = near_dup.keep_one_per_component(table(spark, texts), block_hashes=block_hashes)
     assert sorted(r["doc_id"] for r in kept.collect()) == brute_kept(texts)
 
 
+def test_a_large_group_is_compared_within_its_components(monkeypatch):
+    rng = random.Random(9)
+    base = prose(rng, 120)
+    sets = [near_dup.shingles(edited(rng, base, rng.randint(1, 8))) for _ in range(800)]
+    compared = []
+    exact = near_dup.shared
+    monkeypatch.setattr(near_dup, "shared", lambda one, others: compared.append(len(others)) or exact(one, others))
+    links = near_dup.forest_links(sets, np.zeros(800, bool), 0.8)
+    forest = near_dup.Forest(800)
+    assert all(forest.link(a, b) for a, b in links)
+    near = [(a, b) for a in range(800) for b in range(a) if len(np.intersect1d(sets[a], sets[b], assume_unique=True)) >= 0.8 * len(np.union1d(sets[a], sets[b]))]
+    assert near and all(forest.label[a] == forest.label[b] for a, b in near)
+    assert sum(compared) < 60 * 800
+
+
 def test_one_document_of_similar_ones_stays(spark):
     rng = random.Random(2)
     a, b = prose(rng, 80), prose(rng, 80)
