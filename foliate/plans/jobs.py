@@ -21,8 +21,8 @@ from foliate.plans import api, landing, specs
 from foliate.plans.articles import articles_checks, normalize_articles
 from foliate.plans.reviews import normalize_reviews
 from foliate.schema import TableSpec
-from foliate.session import small_frame
-from foliate.sources import store
+from foliate.session import remove_path, small_frame
+from foliate.sources import store, timeline
 from foliate.sources.records import read_datasets
 from foliate.sources.reports import accepted_reports, latest_snapshot, read_report_csv
 from foliate.sources.sinks import schema_docs, write_schema_docs, write_tables
@@ -154,8 +154,8 @@ def append_manifest(spark: SparkSession, path: str, records: DataFrame) -> DataF
 class _Run:
     """The datasets of one sync run and what it counted."""
 
-    def __init__(self, spark: SparkSession, target: str, incremental: bool, buckets: int) -> None:
-        self.spark, self.target, self.incremental, self.buckets = spark, target, incremental, buckets
+    def __init__(self, spark: SparkSession, target: str, incremental: bool, buckets: int | None, landed_rows: Mapping[str, int]) -> None:
+        self.spark, self.target, self.incremental, self.buckets, self.landed_rows = spark, target, incremental, buckets, landed_rows
         self.metrics = RunMetrics()
 
     def load(self, name: str, records: DataFrame, merge: bool | None = None) -> tuple[DataFrame, DataFrame]:
@@ -167,18 +167,30 @@ class _Run:
         path = f"{self.target}/{name}"
         keys = landing.MERGE_KEYS.get(name, ())
         if not (self.incremental if merge is None else merge):
-            saved = store.replace_dataset(records.drop("_seq"), path, keys, self.buckets)
-            # Of written Parquet: read from the footers, not the rows.
-            rows = saved.count()
-            self.metrics.add(name, "fetched", rows)
-            self.metrics.add(name, "total", rows)
-            return saved, saved
-        delta = store.replace_dataset(records, f"{self.target}/delta/{name}")
-        order = order_of(delta)
-        merged = store.merge_dataset(self.spark, path, delta, keys, order, self.buckets)
+            delta = saved = store.replace_dataset(records.drop("_seq"), path, keys, self.buckets or store.buckets_for(self.landed_rows.get(name, 0)))
+        else:
+            delta = store.replace_dataset(records, f"{self.target}/delta/{name}")
+            merged = store.merge_counted(self.spark, path, delta, keys, order_of(delta), self.buckets)
+            saved = merged.rows
+            for metric in ("added", "changed", "equal"):
+                self.metrics.add(name, metric, getattr(merged, metric))
+        # Of written Parquet: read from the footers, not the rows.
         self.metrics.add(name, "fetched", delta.count())
-        self.metrics.add(name, "total", merged.count())
-        return delta, merged
+        self.metrics.add(name, "total", saved.count())
+        store.vacuum(self.spark, path)
+        return delta, saved
+
+    def load_points(self, name: str, points: DataFrame) -> None:
+        """Merge or replace a timeline, which is kept by granularity and day."""
+        path = f"{self.target}/{name}"
+        if self.incremental:
+            delta = store.replace_dataset(points, f"{self.target}/delta/{name}")
+            saved = timeline.merge_points(self.spark, path, delta, landing.MERGE_KEYS[name], order_of(delta))
+            self.metrics.add(name, "fetched", delta.count())
+        else:
+            saved = timeline.replace_points(points.drop("_seq"), path)
+            self.metrics.add(name, "fetched", saved.count())
+        self.metrics.add(name, "total", saved.count())
 
 
 def sync(
@@ -198,7 +210,9 @@ def sync(
     user_details: bool = False,
     user_roles: Sequence[int] | None = None,
     multiline: bool = True,
-    buckets: int = store.BUCKETS,
+    buckets: int | None = None,
+    batch: int | None = None,
+    before_commit: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Bring the datasets under ``target`` up to date from a landing folder.
 
@@ -206,7 +220,14 @@ def sync(
     merges what changed after the stored mark; without a mark it is a full load. A
     ``full`` run replaces everything and resets the marks. Marks are written last,
     and only by incremental and full runs. ``run_ts`` (``Y-m-d H:i:s``) is the one
-    time stamp of the run; ``buckets`` must be the same on every run. Returns ``dataset, metric, value`` rows.
+    time stamp of the run. ``buckets`` is the number every dataset is kept in; without it, it
+    follows the rows of the first load. The last two versions of a dataset are kept.
+
+    ``batch`` is the number of a streamed batch: its run is incremental, datasets that did not land
+    with it are left alone, users merge, and a number that is committed already changes nothing.
+    ``before_commit`` is called when everything but the state is written. Returns ``dataset, metric,
+    value`` rows: records ``fetched``, of these ``added``, ``changed`` and ``equal`` to what was
+    stored, submissions whose details were ``skipped`` as unchanged, and the ``total``.
     """
     if full and (incremental or since):
         raise OptionError("full cannot be combined with incremental/since")
@@ -216,57 +237,83 @@ def sync(
         require_iso_date(option, value)
     if stats:
         require_interval(stats_interval)
-    incremental = incremental or since is not None
+    incremental = incremental or since is not None or batch is not None
+    if batch is not None and full:
+        raise OptionError("a streamed batch cannot be a full run")
 
     if isinstance(landed, str):
         landed = read_datasets(spark, landed, landing.required_schemas(), landing.optional_schemas(), multiline)
     missing = [name for name in landing.REQUIRED if landed.get(name) is None]
-    if missing:
+    if missing and batch is None:
         raise MissingDataError(f"dataset {missing[0]} has not landed")
 
     state_dir = f"{target}/state"
     state = load_state(spark, state_dir)
     if not incremental:
         state = {name: frame.limit(0) for name, frame in state.items()}
+    if batch is not None and int(mark_of(state["marks"], "batch") or -1) >= batch:
+        repeated = RunMetrics()
+        repeated.add("run", "repeated_batch", batch)
+        return repeated.to_df(spark)
+    # Parsed once: most datasets are read several times.
+    landed = {name: None if df is None else store.replace_dataset(df, f"{target}/landed/{name}") for name, df in landed.items()}
+    rows = {name: df.count() for name, df in landed.items() if df is not None}
     seen = seen_of(state["seen"], "submissions")
     mark = since or (high_water_mark(seen, "last_activity") if incremental else None)
-    run = _Run(spark, target, incremental and mark is not None, buckets)
+    run = _Run(spark, target, batch is not None or (incremental and mark is not None), buckets, rows)
+
+    def landed_now(name: str) -> bool:
+        return landed.get(name) is not None
 
     def newer(name: str) -> DataFrame:
         return changed_since(landed[name], mark, "dateLastActivity") if run.incremental else landed[name]
 
-    brought, merged = run.load("submissions", newer("submissions"))
-    changed = brought
-    run.load("_submissions", newer("_submissions"))
+    brought = merged = None
+    if landed_now("submissions"):
+        brought, merged = run.load("submissions", newer("submissions"))
+    if landed_now("_submissions"):
+        run.load("_submissions", newer("_submissions"))
 
-    if run.incremental:
-        changed = skip_unchanged(changed, seen, "id", "dateLastActivity")
-    run.load("publications", rows_of_ids(landed["publications"], "_submission_id", changed, "id"))
+    if brought is not None:
+        changed = brought
+        if run.incremental:
+            changed = skip_unchanged(brought, seen, "id", "dateLastActivity")
+            run.metrics.add("submissions", "skipped", brought.count() - changed.count())
+        if landed_now("publications"):
+            run.load("publications", rows_of_ids(landed["publications"], "_submission_id", changed, "id"))
 
-    if files and landed.get("submission_files") is not None:
+    if files and merged is not None and landed_now("submission_files"):
         due = merged
         if run.incremental:
             due = skip_unchanged(merged, seen_of(state["seen"], "files"), "id", "dateLastActivity")
+            run.metrics.add("submission_files", "skipped", merged.count() - due.count())
         run.load("submission_files", rows_of_ids(landed["submission_files"], "_submission_id", due, "id"))
 
-    users, _ = run.load("users", landed["users"], merge=False)
+    users = None
+    if landed_now("users"):
+        _, users = run.load("users", landed["users"], merge=batch is not None)
 
-    if user_details and landed.get("user_details") is not None:
+    if user_details and users is not None and landed_now("user_details"):
         chosen = users.where(any_child_in(F.col("groups"), "roleId", user_roles or []))
         records = rows_of_ids(landed["user_details"], "id", chosen, "id")
         run.load("user_details", records.withColumn("_fetched_at", F.lit(run_ts)), merge=True)
 
     stats_ok = False
-    if stats and landed.get("publication_stats") is not None:
+    if stats and landed_now("publication_stats"):
         start = stats_since
         if start is None and run.incremental:
             start = window_start(state["marks"], "stats", fallback="all")
         _sync_stats(run, landed, stats_interval, start, stats_until)
         stats_ok = True
 
+    if before_commit is not None:
+        before_commit()
     if incremental or full:
-        _commit(spark, state_dir, state, brought, merged, run_ts, stats_ok, files, run.incremental)
-        run.metrics.add("submissions", "tracked", merged.count())
+        _commit(spark, state_dir, state, brought, merged, run_ts, stats_ok, files, run.incremental, batch)
+        if merged is not None:
+            run.metrics.add("submissions", "tracked", merged.count())
+    for done in ("landed", "delta"):
+        remove_path(spark, f"{target}/{done}")
     run.metrics.add("run", "incremental", run.incremental)
     run.metrics.add("run", "stats_ok", stats_ok)
     run.metrics.add("run", "sync_state_written", incremental or full)
@@ -286,28 +333,35 @@ def _sync_stats(
         points = date_window(of_interval(points, interval), "date", start, end)
         if name == "views_timeline":
             points = rows_of_ids(points, "_submission_id", published, "id")
-        run.load(name, points)
+        run.load_points(name, points)
 
 
 def _commit(
     spark: SparkSession,
     state_dir: str,
     state: Mapping[str, DataFrame],
-    brought: DataFrame,
-    merged: DataFrame,
+    brought: DataFrame | None,
+    merged: DataFrame | None,
     run_ts: str,
     stats_ok: bool,
     files: bool,
     merge: bool,
+    batch: int | None,
 ) -> None:
     """Advance what this run loaded; carry over what it did not."""
     marks = {"all": run_ts, "stats": run_ts if stats_ok else mark_of(state["marks"], "stats")}
-    seen = seen_from(brought if merge else merged, "submissions")
-    if files:
-        seen = seen.unionByName(seen_from(merged, "files"))
-    elif not merge:
+    marks["batch"] = mark_of(state["marks"], "batch") if batch is None else str(batch)
+    if merged is None:
+        seen = state["seen"].limit(0)
+    else:
+        seen = seen_from(brought if merge else merged, "submissions")
+        if files:
+            seen = seen.unionByName(seen_from(merged, "files"))
+    if not merge and not files:
         seen = seen.unionByName(state["seen"].where(F.col("dataset") == "files"))
     commit_state(spark, state_dir, marks, seen, merge)
+    for name in ("marks", "seen"):
+        store.vacuum(spark, f"{state_dir}/{name}")
 
 
 def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -65,6 +65,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def list_folder(spark: SparkSession, path: str) -> dict[str, int]:
+    """The names in a folder of any file system Spark can reach, with when each was changed (milliseconds); empty if it isn't there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {f.getPath().getName(): f.getModificationTime() for f in system.listStatus(folder)} if system.exists(folder) else {}
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder or file, wherever Spark keeps it; nothing happens if it isn't there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def spread(df: DataFrame, partitions: int) -> DataFrame:
     """Deal rows that come in few pieces over ``partitions``, before work that takes long for each row.
 

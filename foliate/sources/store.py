@@ -4,11 +4,15 @@
 ``<path>/pointer/v=<n>`` names the directory of each bucket and the keys that bucket by;
 it is written last, so a run that dies leaves readers on the previous state. A
 pointer is never overwritten: of two writers that start from one version the second is
-refused. A merge rewrites only the buckets that keys of its delta fall into.
+refused, on file systems where making a folder that exists fails. A merge rewrites only the
+buckets that hold a row it adds or changes; rows of the delta that are stored as they come
+rewrite nothing. ``vacuum`` removes what only older versions name.
 """
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
@@ -20,11 +24,13 @@ from pyspark.sql import functions as F
 from foliate.errors import DataError, OptionError
 from foliate.operators.merge import ARRIVAL, Key, last_wins_of, upsert
 from foliate.schema import quoted
-from foliate.session import small_frame
+from foliate.session import list_folder, remove_path, small_frame
 
 POINTER_SCHEMA = "bucket int, dir string, keys string"
 #: A merge rewrites one bucket at least: give a large dataset as many as make one a task's work.
 BUCKETS = 16
+#: A dataset whose number of rows is known gets a bucket for each of so many.
+ROWS_PER_BUCKET = 1 << 20
 #: The one directory of a dataset that has no keys, or no rows.
 WHOLE = -1
 
@@ -97,35 +103,130 @@ def _write(df: DataFrame, before: Layout, keys: Sequence[Key], buckets: int, rep
     return after.read(spark)
 
 
+def buckets_for(rows: int) -> int:
+    """How many buckets a dataset of so many rows is written in: a power of two, 16 at least."""
+    return max(BUCKETS, 1 << max(0, (-(-rows // ROWS_PER_BUCKET) - 1)).bit_length())
+
+
+def recorded_buckets(at: Layout) -> int | None:
+    """The number of buckets a dataset is kept in; ``None`` for one without keys."""
+    found = re.match(r"(\d+) buckets of ", at.keys)
+    return int(found[1]) if found else None
+
+
 def replace_dataset(df: DataFrame, path: str, keys: Sequence[Key] = (), buckets: int = BUCKETS) -> DataFrame:
     """Make ``df`` the whole dataset and return it as written. ``keys``: those later merges go by, if there are any."""
     return _write(df, layout(df.sparkSession, path), keys, buckets, None)
 
 
+@dataclass(frozen=True)
+class Merged:
+    """The rows after a merge, and how many rows of the delta were added, changed a stored row, or were stored already."""
+
+    rows: DataFrame
+    added: int
+    changed: int
+    equal: int
+
+
 def merge_dataset(
-    spark: SparkSession, path: str, new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str], buckets: int = BUCKETS
+    spark: SparkSession, path: str, new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str], buckets: int | None = None
 ) -> DataFrame:
-    """Upsert ``new`` into the dataset and return the merged rows as written.
+    """``merge_counted`` without the counts."""
+    return merge_counted(spark, path, new, keys, order_cols, buckets).rows
+
+
+def merge_counted(
+    spark: SparkSession, path: str, new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str], buckets: int | None = None
+) -> Merged:
+    """Upsert ``new`` into the dataset.
 
     ``new`` is read several times: stage what is costly to compute. Order columns that
-    only say what arrived last (``ARRIVAL``) aren't stored in a new dataset.
+    only say what arrived last (``ARRIVAL``) aren't stored in a new dataset. Without
+    ``buckets`` the recorded number stays, or a new dataset gets ``BUCKETS``.
 
     Raises:
         OptionError: when the dataset is kept in other buckets; a key would then be looked for in the wrong one.
     """
     before = layout(spark, path)
+    buckets = buckets or recorded_buckets(before) or BUCKETS
     if not before.dirs:
         target = [c for c in new.columns if c not in order_cols or c not in ARRIVAL]
-        return _write(last_wins_of(new, keys, order_cols).select(*[quoted(c) for c in target]), before, keys, buckets, None)
+        rows = _write(last_wins_of(new, keys, order_cols).select(*[quoted(c) for c in target]), before, keys, buckets, None)
+        return Merged(rows, rows.count(), 0, 0)
     if before.keys != _named(keys, buckets):
         raise OptionError(f"{path} is kept in {before.keys or 'one piece'}, not in {_named(keys, buckets)}")
-    touched = [r[0] for r in new.select(_bucket(keys, buckets)).distinct().collect()]
-    if not touched:
-        return before.read(spark)
-    existing = before.read(spark, touched)
+    met = [r[0] for r in new.select(_bucket(keys, buckets)).distinct().collect()]
+    if not met:
+        return Merged(before.read(spark), 0, 0, 0)
+    existing = before.read(spark, met)
     if existing is None:
         # Only new buckets: the stored rows say nothing but the columns.
         existing = before.read(spark).limit(0)
-    merged = upsert(existing, new, keys, order_cols)
+    counts = {(r["bucket"], r["change"]): r["n"] for r in _compared(existing, new, keys, order_cols, buckets).groupBy("bucket", "change").agg(F.count("*").alias("n")).collect()}
+    sums = {kind: sum(n for (_, k), n in counts.items() if k == kind) for kind in ("added", "changed", "equal")}
+    touched = sorted({b for b, kind in counts if kind != "equal"})
+    if not touched:
+        return Merged(before.read(spark), **sums)
+    kept = before.read(spark, touched)
+    merged = upsert(existing.limit(0) if kept is None else kept, new.where(_bucket(keys, buckets).isin(touched)), keys, order_cols)
     # All buckets keep the stored types.
-    return _write(merged.withColumns({f.name: quoted(f.name).cast(f.dataType) for f in existing.schema}), before, keys, buckets, touched)
+    rows = _write(merged.withColumns({f.name: quoted(f.name).cast(f.dataType) for f in existing.schema}), before, keys, buckets, touched)
+    return Merged(rows, **sums)
+
+
+def _compared(existing: DataFrame, new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str], buckets: int) -> DataFrame:
+    """``bucket`` and ``change`` of each key of the delta: ``added``, ``changed`` or ``equal``, by digests of the rows."""
+    stored = existing.schema
+    latest = last_wins_of(new, keys, order_cols)
+    more = [c for c in latest.columns if c not in stored.names and c not in order_cols]
+    names = [f"__k{i}" for i in range(len(keys))]
+
+    def digested(df: DataFrame, digest: str) -> DataFrame:
+        # The text of a row names its fields, so a null can't be taken for another column's.
+        cells = [(quoted(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in stored]
+        row = F.sha2(F.to_json(F.struct(*cells)), 256)
+        return df.select(*[(k if isinstance(k, Column) else quoted(k)).alias(n) for k, n in zip(keys, names, strict=True)], _bucket(keys, buckets).alias("bucket"), row.alias(digest))
+
+    arrived = digested(latest, "__new")
+    present = digested(existing, "__old").withColumnRenamed("bucket", "__bucket").groupBy(*names).agg(F.min("__old").alias("__old"), F.count("*").alias("__copies"))
+    same = None
+    for n in names:
+        test = arrived[n].eqNullSafe(present[n])
+        same = test if same is None else same & test
+    change = F.when(F.col("__copies").isNull(), "added").when((F.col("__old") == F.col("__new")) & (F.col("__copies") == 1) & F.lit(not more), "equal").otherwise("changed")
+    return arrived.join(present, same, "left").select("bucket", change.alias("change"))
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 2, lost_after_hours: float = 24) -> int:
+    """Remove the directories that none of the last ``keep`` versions names, and the pointers before them; how many directories went.
+
+    Readers of the kept versions are not disturbed. A directory that no version names, left by
+    a run that died or made by one that is still writing, goes once it is that old.
+    """
+    if keep < 1:
+        raise OptionError("keep one version at least")
+    try:
+        pointers = spark.read.schema(POINTER_SCHEMA).json(f"{path}/pointer")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    named = {(r["v"], r["dir"]) for r in pointers.select("v", "dir").collect()}
+    versions = sorted({v for v, _ in named})
+    live = {d for v, d in named if v in versions[-keep:]}
+    gone = {d for _, d in named} - live
+    # The pointers go first: a version without its directories must not be readable.
+    for v in versions[:-keep]:
+        remove_path(spark, f"{path}/pointer/v={v}")
+    for d in gone:
+        remove_path(spark, f"{path}/{d}")
+    used = {d.split("/")[1] for d in live}
+    known = {d.split("/")[1] for _, d in named}
+    for name, changed in list_folder(spark, f"{path}/data").items():
+        lost = name not in known and time.time() * 1000 - changed > lost_after_hours * 3_600_000
+        if lost or name in known - used:
+            remove_path(spark, f"{path}/data/{name}")
+        if lost:
+            gone.add(f"data/{name}")
+    return len(gone)

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from foliate.errors import DataError, MissingDataError, OptionError
 from foliate.plans import jobs, landing, specs
-from foliate.sources import state, store
+from foliate.sources import state, store, timeline
 from foliate.streaming.sync_stream import seen_counts, sync_stream
 
 TS = "2024-06-{:02d} 08:30:00"
@@ -107,8 +107,13 @@ def test_sync_merges_what_changed(spark, landing_dir, tmp_path, rows):
     assert rows(store.read(spark, f"{target}/publications"), "_submission_id", "version") == [(1, 1), (2, 1), (3, 2), (4, 2)]
     assert rows(seen_counts(state.load_state(spark, f"{target}/state")["seen"])) == [("submissions", 4, 3)]
 
+    assert (second[("submissions", "added")], second[("submissions", "changed")], second[("submissions", "equal")]) == (1, 0, 2)
+    assert second[("submissions", "skipped")] == 1 and second[("publications", "added")] == 1
+    versions = {n: store.layout(spark, f"{target}/{n}").version for n in ("submissions", "_submissions")}
     third = run(22, since="2024-06-02")
-    assert third[("submissions", "fetched")] == 5
+    assert third[("submissions", "fetched")] == 5 and third[("submissions", "equal")] == 3
+    assert versions == {n: store.layout(spark, f"{target}/{n}").version - (n == "submissions") for n in versions}, "equal rows write nothing"
+    assert not list((tmp_path / "target").glob("delta")) and not list((tmp_path / "target").glob("landed"))
     land(landing_dir, "submissions", [submission(9, 9)])
     fourth = run(23, full=True)
     assert fourth[("submissions", "total")] == 1 and fourth[("submissions", "tracked")] == 1
@@ -165,8 +170,8 @@ def test_stats_window(spark, landing_dir, tmp_path, rows):
     jobs.sync(spark, str(landing_dir), target, TS.format(28), incremental=True, stats=False)
     land(landing_dir, "views_timeline", points(2))
     jobs.sync(spark, str(landing_dir), target, TS.format(29), incremental=True)
-    timeline = store.read(spark, f"{target}/views_timeline")
-    assert rows(timeline, "date", "value") == [("2024-06-10", 1), ("2024-06-15", 2), ("2024-06-16", 2)]
+    kept = timeline.read_points(spark, f"{target}/views_timeline")
+    assert rows(kept, "date", "value") == [("2024-06-10", 1), ("2024-06-15", 2), ("2024-06-16", 2)]
 
 
 def test_a_failed_run_leaves_the_marks(spark, landing_dir, tmp_path):

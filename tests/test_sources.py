@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from foliate.errors import DataError, MissingDataError, OptionError
 from foliate.plans import specs
 from foliate.operators import joins
-from foliate.sources import records, reports, sinks, state, store
+from foliate.sources import records, reports, sinks, state, store, timeline
 
 ITEM = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
 
@@ -207,3 +207,119 @@ def test_a_storage_that_fails_is_not_an_empty_state(spark, tmp_path, monkeypatch
     monkeypatch.setattr(state.store, "read", broken)
     with pytest.raises(state.PySparkException):
         state.load_state(spark, str(tmp_path / "s"))
+
+
+def test_a_merge_counts_and_leaves_equal_rows_alone(spark, tmp_path):
+    path = str(tmp_path / "d")
+    stored = spark.range(64).selectExpr("id", "cast(null as string) as v", "named_struct('a', id, 'b', cast(null as int)) as s")
+    store.replace_dataset(stored, path, ["id"])
+    before = store.layout(spark, path)
+    again = store.merge_counted(spark, path, stored, ["id"], ["id"])
+    assert (again.added, again.changed, again.equal) == (0, 0, 64)
+    assert store.layout(spark, path) == before, "nothing is written"
+    # A null and another column's value are told apart; a narrower number is the same value.
+    delta = stored.where("id < 2").selectExpr("cast(id as int) id", "case when id = 1 then '' end as v", "s").unionByName(spark.createDataFrame([(900, "x", (1, 2))], "id int, v string, s struct<a:bigint,b:int>"))
+    merged = store.merge_counted(spark, path, delta, ["id"], ["v"])
+    assert (merged.added, merged.changed, merged.equal) == (1, 1, 1)
+    after = store.layout(spark, path)
+    assert 1 <= sum(before.dirs.get(b) != d for b, d in after.dirs.items()) <= 2
+    assert merged.rows.count() == 65 and merged.rows.schema["id"].dataType.typeName() == "long"
+    wider = stored.where("id = 5").withColumn("more", F.lit(None).cast("int"))
+    assert store.merge_counted(spark, path, wider, ["id"], ["v"]).changed == 1
+
+
+def test_copies_of_a_stored_key_collapse_and_count_as_a_change(spark, tmp_path):
+    path = str(tmp_path / "d")
+    store.replace_dataset(spark.createDataFrame([(1, "a"), (1, "a"), (None, "n")], "id int, v string"), path, ["id"])
+    merged = store.merge_counted(spark, path, spark.createDataFrame([(1, "a"), (None, "n")], "id int, v string"), ["id"], ["v"])
+    assert (merged.changed, merged.equal, merged.rows.count()) == (1, 1, 2)
+
+
+def test_buckets_follow_the_rows_and_are_recorded(spark, tmp_path):
+    assert [store.buckets_for(n) for n in (0, 1 << 20, 17 << 20, 1 << 30)] == [16, 16, 32, 1024]
+    path = str(tmp_path / "d")
+    store.replace_dataset(spark.range(100), path, ["id"], buckets=32)
+    assert store.recorded_buckets(store.layout(spark, path)) == 32
+    assert store.merge_dataset(spark, path, spark.range(90, 110), ["id"], ["id"]).count() == 110
+
+
+def test_vacuum_keeps_the_last_versions(spark, rows, tmp_path):
+    path = str(tmp_path / "d")
+    assert store.vacuum(spark, path) == 0
+    store.replace_dataset(spark.range(40).selectExpr("id", "0 as v"), path, ["id"], buckets=4)
+    for v in (1, 2, 3):
+        store.merge_dataset(spark, path, spark.createDataFrame([(7, v)], "id bigint, v int"), ["id"], ["v"])
+    previous = {d for d in spark.read.schema(store.POINTER_SCHEMA).json(f"{path}/pointer/v=3").select("dir").toPandas()["dir"]}
+    (tmp_path / "d" / "data" / "lost").mkdir()
+    assert store.vacuum(spark, path, keep=2) == 2
+    assert all((tmp_path / "d" / d).is_dir() for d in previous), "the version before is still whole"
+    assert sorted(p.name for p in (tmp_path / "d" / "pointer").iterdir()) == ["v=3", "v=4"]
+    assert (tmp_path / "d" / "data" / "lost").is_dir(), "it may be a writer's"
+    assert store.vacuum(spark, path, keep=1, lost_after_hours=-1) == 2
+    assert not (tmp_path / "d" / "data" / "lost").exists()
+    assert rows(store.read(spark, path).where("v > 0")) == [(7, 3)] and store.read(spark, path).count() == 40
+    with pytest.raises(OptionError):
+        store.vacuum(spark, path, keep=0)
+
+
+KEYS = ["_submission_id", "interval", "date", "kind"]
+
+
+def point_rows(spark, values):
+    return spark.createDataFrame([(i, d, v, k, n) for i, d, v, k, n in values], "_submission_id bigint, date string, value bigint, kind string, interval string")
+
+
+def files_of(folder):
+    return {str(p.relative_to(folder)) for p in folder.rglob("*.parquet") if timeline.PENDING not in str(p)}
+
+
+def test_a_window_leaves_the_files_of_other_days(spark, rows, tmp_path):
+    path, folder = str(tmp_path / "t"), tmp_path / "t"
+    assert timeline.read_points(spark, path) is None
+    first = point_rows(spark, [(i, f"2024-06-{d:02d}", 1, "a", "day") for i in (1, 2) for d in range(1, 11)] + [(1, "2024-06", 9, "a", "month"), (3, None, 4, "a", "day")])
+    assert timeline.merge_points(spark, path, first, KEYS, ["value"]).count() == 22
+    before = files_of(folder)
+    late = point_rows(spark, [(1, "2024-06-10", 5, "a", "day"), (1, "2024-06-10", 6, "a", "day"), (9, "2024-06-11", 7, "a", "day"), (3, None, 8, "a", "day")])
+    merged = timeline.merge_points(spark, path, late, KEYS, ["value"])
+    assert rows(merged.where("value > 1"), "_submission_id", "date", "value") == [(1, "2024-06", 9), (1, "2024-06-10", 6), (3, None, 8), (9, "2024-06-11", 7)]
+    assert merged.count() == 23 and merged.schema["date"].dataType.typeName() == "string"
+    gone = before - files_of(folder)
+    assert gone and all("date=2024-06-10" in f or "date=__HIVE" in f for f in gone)
+    assert timeline.merge_points(spark, path, late.limit(0), KEYS, ["value"]).count() == 23
+
+
+def test_a_read_of_days_reads_only_their_folders(spark, tmp_path):
+    path = str(tmp_path / "t")
+    timeline.replace_points(point_rows(spark, [(1, f"2024-06-{d:02d}", 1, "a", "day") for d in range(1, 11)]), path)
+    few = timeline.read_points(spark, path).where(timeline.in_periods([("day", "2024-06-03"), ("day", "2024-06-04")]))
+    assert few.count() == 2 and len(few.inputFiles()) >= 2
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert few.select(F.input_file_name()).distinct().count() == 2
+
+
+def test_an_interrupted_exchange_of_days_is_finished(spark, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    timeline.replace_points(point_rows(spark, [(1, "2024-06-01", 1, "a", "day"), (1, "2024-06-02", 1, "a", "day")]), path)
+    exchange = timeline._exchange
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    late = point_rows(spark, [(1, "2024-06-02", 5, "a", "day")])
+    monkeypatch.setattr(timeline, "_exchange", dies)
+    with pytest.raises(RuntimeError):
+        timeline.merge_points(spark, path, late, KEYS, ["value"])
+    assert rows(timeline.read_points(spark, path), "date", "value") == [("2024-06-01", 1), ("2024-06-02", 1)]
+    monkeypatch.setattr(timeline, "_exchange", exchange)
+    assert timeline.recover(spark, path) and not timeline.recover(spark, path)
+    assert rows(timeline.read_points(spark, path), "date", "value") == [("2024-06-01", 1), ("2024-06-02", 5)]
+
+
+def test_a_timeline_needs_its_periods(spark, tmp_path):
+    points = point_rows(spark, [(1, "2024-06-01", 1, "a", "day")])
+    with pytest.raises(OptionError):
+        timeline.merge_points(spark, str(tmp_path / "t"), points, ["_submission_id"], ["value"])
+    with pytest.raises(OptionError):
+        timeline.replace_points(points.drop("date"), str(tmp_path / "t"))
+    assert timeline.replace_points(points.limit(0), str(tmp_path / "e")).count() == 0
