@@ -56,15 +56,16 @@ def _by_name(tables: Sequence[TableSpec]) -> dict[str, TableSpec]:
 
 
 def run_normalize_api(
-    spark: SparkSession, api_dir: str, out_dir: str, fmt: str = "parquet", multiline: bool = True
+    spark: SparkSession, api_dir: str, out_dir: str, fmt: str = "parquet", multiline: bool = True, pages: bool = False
 ) -> DataFrame:
     """Normalize a landing folder into its tables; returns the run's metrics.
 
     JSON is parsed once: each dataset is first written as Parquet, and every table
     reads only its columns from there. Submissions is written before publications
-    is built on it, so the HTML of the abstracts is cleaned once.
+    is built on it, so the HTML of the abstracts is cleaned once. With ``pages`` the folder
+    holds response pages.
     """
-    landed = read_datasets(spark, api_dir, landing.required_schemas(), landing.optional_schemas(), multiline)
+    landed = read_datasets(spark, api_dir, landing.required_schemas(), landing.optional_schemas(), multiline, pages)
     datasets = {
         name: None if df is None else store.replace_dataset(df, f"{out_dir}/staging/landed/{name}")
         for name, df in landed.items()
@@ -210,6 +211,7 @@ def sync(
     user_details: bool = False,
     user_roles: Sequence[int] | None = None,
     multiline: bool = True,
+    pages: bool = False,
     buckets: int | None = None,
     batch: int | None = None,
     before_commit: Callable[[], None] | None = None,
@@ -220,7 +222,7 @@ def sync(
     merges what changed after the stored mark; without a mark it is a full load. A
     ``full`` run replaces everything and resets the marks. Marks are written last,
     and only by incremental and full runs. ``run_ts`` (``Y-m-d H:i:s``) is the one
-    time stamp of the run. ``buckets`` is the number every dataset is kept in; without it, it
+    time stamp of the run. With ``pages`` the folder holds response pages. ``buckets`` is the number every dataset is kept in; without it, it
     follows the rows of the first load. The last two versions of a dataset are kept.
 
     ``batch`` is the number of a streamed batch: its run is incremental, datasets that did not land
@@ -242,7 +244,7 @@ def sync(
         raise OptionError("a streamed batch cannot be a full run")
 
     if isinstance(landed, str):
-        landed = read_datasets(spark, landed, landing.required_schemas(), landing.optional_schemas(), multiline)
+        landed = read_datasets(spark, landed, landing.required_schemas(), landing.optional_schemas(), multiline, pages)
     missing = [name for name in landing.REQUIRED if landed.get(name) is None]
     if missing and batch is None:
         raise MissingDataError(f"dataset {missing[0]} has not landed")
@@ -299,12 +301,12 @@ def sync(
         run.load("user_details", records.withColumn("_fetched_at", F.lit(run_ts)), merge=True)
 
     stats_ok = False
-    if stats and landed_now("publication_stats"):
+    if stats and (landed_now("publication_stats") or (batch is not None and any(map(landed_now, TIMELINES)))):
         start = stats_since
         if start is None and run.incremental:
-            start = window_start(state["marks"], "stats", fallback="all")
-        _sync_stats(run, landed, stats_interval, start, stats_until)
-        stats_ok = True
+            # A stream's general mark moves with every batch, so only its own mark says from where points are missing.
+            start = window_start(state["marks"], "stats", fallback=None if batch is not None else "all")
+        stats_ok = _sync_stats(run, landed, stats_interval, start, stats_until)
 
     if before_commit is not None:
         before_commit()
@@ -320,13 +322,22 @@ def sync(
     return run.metrics.to_df(spark)
 
 
+#: The period series; the cumulative totals beside them are no series.
+TIMELINES = ("views_timeline", "views_timeline_totals")
+
+
 def _sync_stats(
     run: _Run, landed: Mapping[str, DataFrame | None], interval: str, start: str | None, end: str | None
-) -> None:
-    """Cumulative totals are replaced whole; only the period series are windowed and merged."""
-    totals, _ = run.load("publication_stats", landed["publication_stats"], merge=False)
+) -> bool:
+    """Cumulative totals are replaced whole; only the period series are windowed and merged. False if no totals are known."""
+    if landed.get("publication_stats") is not None:
+        totals, _ = run.load("publication_stats", landed["publication_stats"], merge=False)
+    else:
+        totals = store.read(run.spark, f"{run.target}/publication_stats")
+        if totals is None:
+            return False
     published = totals.select(F.col("publication.id").alias("id"))
-    for name in ("views_timeline", "views_timeline_totals"):
+    for name in TIMELINES:
         points = landed.get(name)
         if points is None:
             continue
@@ -334,6 +345,7 @@ def _sync_stats(
         if name == "views_timeline":
             points = rows_of_ids(points, "_submission_id", published, "id")
         run.load_points(name, points)
+    return True
 
 
 def _commit(

@@ -62,6 +62,7 @@ MERGE_KEYS = {
     "_submissions": ("id",),
     "publications": ("_submission_id",),
     "submission_files": ("id",),
+    "users": ("id",),
     "user_details": ("id",),
     "views_timeline": ("_submission_id", "interval", "date", "kind"),
     "views_timeline_totals": ("interval", "date", "kind"),

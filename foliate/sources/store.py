@@ -49,17 +49,19 @@ class Layout:
         return spark.read.parquet(*(f"{self.path}/{self.dirs[b]}" for b in sorted(wanted))) if wanted else None
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions that were written to their end, by a listing: of a table with many versions only one pointer is read."""
+    numbers = sorted(int(name[2:]) for name in list_folder(spark, f"{path}/pointer") if name.startswith("v="))
+    return [v for v in numbers if "_SUCCESS" in list_folder(spark, f"{path}/pointer/v={v}")]
+
+
 def layout(spark: SparkSession, path: str) -> Layout:
     """The layout of the last completed write; no directories for a dataset never written."""
-    try:
-        pointers = spark.read.schema(POINTER_SCHEMA).json(f"{path}/pointer")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    versions = _versions(spark, path)
+    if not versions:
         return Layout(path, {}, "", 0)
-    version = pointers.agg(F.max("v")).first()[0]
-    rows = pointers.where(F.col("v") == version).collect()
-    return Layout(path, {r["bucket"]: r["dir"] for r in rows}, rows[0]["keys"], version)
+    rows = spark.read.schema(POINTER_SCHEMA).json(f"{path}/pointer/v={versions[-1]}").collect()
+    return Layout(path, {r["bucket"]: r["dir"] for r in rows}, rows[0]["keys"], versions[-1])
 
 
 def read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -206,14 +208,12 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2, lost_after_hours: floa
     """
     if keep < 1:
         raise OptionError("keep one version at least")
-    try:
-        pointers = spark.read.schema(POINTER_SCHEMA).json(f"{path}/pointer")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    versions = _versions(spark, path)
+    folders = list_folder(spark, f"{path}/data")
+    if len(versions) <= keep and all(time.time() * 1000 - changed <= lost_after_hours * 3_600_000 for changed in folders.values()):
         return 0
-    named = {(r["v"], r["dir"]) for r in pointers.select("v", "dir").collect()}
-    versions = sorted({v for v, _ in named})
+    pointers = spark.read.schema(POINTER_SCHEMA).option("basePath", f"{path}/pointer").json([f"{path}/pointer/v={v}" for v in versions]) if versions else None
+    named = {(r["v"], r["dir"]) for r in pointers.select("v", "dir").collect()} if versions else set()
     live = {d for v, d in named if v in versions[-keep:]}
     gone = {d for _, d in named} - live
     # The pointers go first: a version without its directories must not be readable.
@@ -223,7 +223,7 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2, lost_after_hours: floa
         remove_path(spark, f"{path}/{d}")
     used = {d.split("/")[1] for d in live}
     known = {d.split("/")[1] for _, d in named}
-    for name, changed in list_folder(spark, f"{path}/data").items():
+    for name, changed in folders.items():
         lost = name not in known and time.time() * 1000 - changed > lost_after_hours * 3_600_000
         if lost or name in known - used:
             remove_path(spark, f"{path}/data/{name}")
