@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,10 +12,11 @@ from foliate.operators.filters import changed_since
 from foliate.operators.merge import high_water, high_water_mark, upsert, upsert_positions
 from foliate.plans import landing
 from foliate.plans.jobs import sync
-from foliate.session import ensure_checkpoint_dir
-from foliate.sources import store
-from foliate.sources.state import load_state
-from foliate.streaming.sync_stream import sync_stream
+from foliate.session import ensure_checkpoint_dir, small_frame
+from foliate.sources import store, timeline
+from foliate.sources.records import unwrap_pages
+from foliate.sources.state import load_state, mark_of
+from foliate.streaming.sync_stream import sync_landing, sync_stream
 from foliate.workloads import records
 from foliate.workloads.registry import query, table
 from foliate.workloads.tables import POINTS_SQL
@@ -149,15 +151,22 @@ def sync_incremental(spark, sf_dir):
     return merged.select("id", F.col("dateLastActivity").alias("last_activity"), F.col("statusLabel").alias("loaded_by"))
 
 
-def _synced_twice(spark, sf_dir):
-    """The folder of a full load up to a cut and an incremental run over everything."""
+STATS_RUNS = ("2024-01-20 00:00:00", "2024-01-31 00:00:00")
+
+
+def _synced_twice(spark, sf_dir, stats=False):
+    """The folder of a full load up to a cut and an incremental run over everything, in which recent points have other values."""
     target = work_dir(spark, "sync")
-    landed = _landed(spark, sf_dir)
+    names = (*landing.REQUIRED, "publication_stats", "views_timeline") if stats else landing.REQUIRED
+    # Landed once: both runs read the same Parquet.
+    landed = {name: store.replace_dataset(df, f"{target}-landed/{name}") for name, df in _landed(spark, sf_dir).items() if name in names}
     everything, activity = landed["submissions"], F.col("dateLastActivity")
-    first = everything.where(activity.isNull() | (activity <= SYNC_CUT)).withColumn("statusLabel", F.lit("first"))
-    sync(spark, {**landed, "submissions": first}, target, "2024-06-01 00:00:00", full=True, stats=False)
-    second = everything.withColumn("statusLabel", F.lit("second"))
-    sync(spark, {**landed, "submissions": second}, target, "2024-06-02 00:00:00", incremental=True)
+    landed["submissions"] = everything.where(activity.isNull() | (activity <= SYNC_CUT)).withColumn("statusLabel", F.lit("first"))
+    sync(spark, landed, target, STATS_RUNS[0], full=True, stats=stats)
+    landed["submissions"] = everything.withColumn("statusLabel", F.lit("second"))
+    if stats:
+        landed["views_timeline"] = landed["views_timeline"].withColumn("value", F.col("value") * 10)
+    sync(spark, landed, target, STATS_RUNS[1], incremental=True, stats=stats)
     return target
 
 
@@ -183,6 +192,7 @@ def sync_user_details(spark, sf_dir):
     """Details fetched for one role in a full run and for another later: the first ones stay as they were, each stamped with its run."""
     target = work_dir(spark, "details")
     landed = {**_landed(spark, sf_dir), "user_details": records.user_details(spark, sf_dir)}
+    landed = {name: store.replace_dataset(landed[name], f"{target}-landed/{name}") for name in (*landing.REQUIRED, "user_details")}
     sync(spark, landed, target, "2024-06-01 00:00:00", full=True, stats=False, user_details=True, user_roles=[4096])
     sync(spark, landed, target, "2024-06-02 00:00:00", incremental=True, stats=False, user_details=True, user_roles=[16])
     return store.read(spark, f"{target}/user_details").select("id", F.col("_fetched_at").alias("fetched_at")).distinct()
@@ -223,3 +233,128 @@ def stream_upsert(spark, sf_dir):
     land_and_merge(events.where("ts < '2024-01-20'"))
     land_and_merge(events.where("ts >= '2024-01-10'").withColumn("value", F.col("value") + 1))
     return store.read(spark, f"{root}/events")
+
+
+@query(
+    "sync_datasets",
+    f"""
+WITH {POINTS_SQL}
+SELECT 'publications' AS dataset, l_orderkey AS id, '' AS part, CAST(max(l_linenumber) AS BIGINT) AS value FROM lineitem GROUP BY l_orderkey
+UNION ALL SELECT 'users', c_custkey, '', 1 FROM customer
+UNION ALL SELECT 'publication_stats', CASE WHEN p_type <> 'PROMO' THEN p_partkey END, '', CAST(p_size AS BIGINT) FROM part
+UNION ALL SELECT 'views_timeline', submission_id, date || ' ' || kind, CASE WHEN date >= '2024-01-19' THEN views * 10 ELSE views END FROM points
+  WHERE submission_id IN (SELECT p_partkey FROM part WHERE p_type <> 'PROMO')
+""",
+)
+def sync_datasets(spark, sf_dir):
+    """What the two runs leave of the other datasets: the last detail of each submission, all users, totals, and points of published submissions.
+
+    The second run takes the points of its window, from a day before the first run on.
+    """
+    target = _synced_twice(spark, sf_dir, stats=True)
+
+    def rows(df, dataset, key, part, value):
+        return df.select(F.lit(dataset).alias("dataset"), F.expr(key).cast("bigint").alias("id"), F.expr(part).alias("part"), F.expr(value).cast("bigint").alias("value"))
+
+    points = timeline.read_points(spark, f"{target}/views_timeline").where("value > 0")
+    # A full load keeps all rows that landed; only a merge leaves one per submission.
+    details = store.read(spark, f"{target}/publications").groupBy("_submission_id").agg(F.max("version").alias("version"))
+    return (
+        rows(details, "publications", "_submission_id", "''", "version")
+        .unionByName(rows(store.read(spark, f"{target}/users"), "users", "id", "''", "1"))
+        .unionByName(rows(store.read(spark, f"{target}/publication_stats"), "publication_stats", "publication.id", "''", "abstractViews"))
+        .unionByName(rows(points, "views_timeline", "_submission_id", "concat(date, ' ', kind)", "value"))
+    )
+
+
+@query(
+    "timeline_window",
+    f"""
+WITH {POINTS_SQL}
+SELECT submission_id AS _submission_id, date, interval, kind, CASE WHEN date >= '2024-01-20' THEN views * 10 ELSE views END AS value,
+       date >= '2024-01-20' AS rewritten FROM points""",
+)
+def timeline_window(spark, sf_dir):
+    """A window of days merged into a timeline kept by day: ``rewritten`` says whether a row's file is a new one."""
+    path, keys = work_dir(spark, "timeline"), landing.MERGE_KEYS["views_timeline"]
+    points = records.views_timeline(spark, sf_dir).where("value > 0")
+    stored = timeline.replace_points(points.where("date < '2024-01-25'"), path)
+    file = F.col("_metadata.file_path")
+    # A few files per day.
+    before = [r[0] for r in stored.select(file).distinct().collect()]
+    late = store.replace_dataset(points.where("date >= '2024-01-20'").withColumn("value", F.col("value") * 10), f"{path}-delta")
+    merged = timeline.merge_points(spark, path, late, keys, ["value"])
+    return merged.select("_submission_id", "date", "interval", "kind", "value", (~file.isin(before)).alias("rewritten"))
+
+
+@query(
+    "merge_counts",
+    f"""
+SELECT metric, CAST(count(*) AS BIGINT) AS value FROM (
+  SELECT CASE WHEN ts > TIMESTAMP '{CUT}' THEN 'added' WHEN event_type = 'view' THEN 'changed' ELSE 'equal' END AS metric
+  FROM events WHERE ts > TIMESTAMP '{CUT}' - INTERVAL 1 DAY) GROUP BY metric""",
+)
+def merge_counts(spark, sf_dir):
+    """What a merge found in its delta: rows that are new, that change a stored row, and that are stored already."""
+    path = work_dir(spark, "counts")
+    old, _ = _old_and_new(spark, sf_dir)
+    store.replace_dataset(old, path, ["event_id"])
+    recent = table(spark, sf_dir, "events").select(*old.columns).where(F.col("ts") > F.lit(CUT).cast("timestamp_ntz") - F.expr("INTERVAL 1 DAY"))
+    came = recent.withColumn("value", F.when(F.col("event_type") == "view", F.col("value") + 1).otherwise(F.col("value")))
+    merged = store.merge_counted(spark, path, came, ["event_id"], ["ts"])
+    return small_frame(spark, [(k, getattr(merged, k)) for k in ("added", "changed", "equal")], "metric string, value bigint").where("value > 0")
+
+
+@query(
+    "landed_pages",
+    """
+SELECT c_custkey AS id, c_name AS user_name, CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN CAST(2 AS BIGINT) END AS n_groups, c_acctbal < 0 AS disabled FROM customer""",
+)
+def landed_pages(spark, sf_dir):
+    """Accounts out of response pages of at most a hundred, in both forms, each page landed twice."""
+    accounts = records.users(spark, sf_dir)
+    page = F.floor(F.col("id") / 100)
+    listed = accounts.groupBy(page.alias("page")).agg(F.to_json(F.collect_list(F.struct(*accounts.columns))).alias("items"), F.count("*").alias("n"))
+    text = F.when(F.col("page") % 2 == 0, F.col("items")).otherwise(F.format_string('{"itemsMax": %d, "items": %s}', "n", "items"))
+    pages = listed.select(text.alias("payload"), F.format_string("page %d", "page").alias("source"))
+    read = unwrap_pages(pages.unionAll(pages), "payload", landing.schema_of("users"), "source")
+    return read.select("id", F.col("userName").alias("user_name"), F.size("groups").cast("bigint").alias("n_groups"), "disabled")
+
+
+@query(
+    "sync_streamed",
+    f"""
+WITH dated AS (SELECT o_orderkey AS id, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate END AS ts FROM orders),
+mark AS (SELECT max(ts) - INTERVAL 1 DAY AS m FROM dated WHERE ts <= TIMESTAMP '{SYNC_CUT}')
+SELECT id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS last_activity,
+       CASE WHEN ts <= (SELECT m FROM mark) THEN 'first' ELSE 'second' END AS loaded_by, '1' AS committed
+FROM dated""",
+)
+def sync_streamed(spark, sf_dir):
+    """The same two loads as files that land, through one stream: its second batch dies before its commit and is repeated by the next start."""
+    root = work_dir(spark, "landing")
+    everything, activity = records.submissions(spark, sf_dir), F.col("dateLastActivity")
+    accounts = records.users(spark, sf_dir)
+
+    def run(batch_of, label, fails=False):
+        def before_commit(batch):
+            if fails:
+                raise RuntimeError(f"batch {batch} is lost")
+
+        if batch_of is not None:
+            batch_of.withColumn("statusLabel", F.lit(label)).write.mode("append").json(f"{root}/landing/submissions")
+        clock = "2024-06-0{} 00:00:00".format
+        stream = sync_landing(spark, f"{root}/landing", f"{root}/data", f"{root}/checkpoint", clock=lambda batch: clock(batch + 1), before_commit=before_commit, stats=False)
+        try:
+            stream.awaitTermination()
+        except StreamingQueryException:
+            if not fails:
+                raise
+
+    accounts.write.json(f"{root}/landing/users")
+    run(everything.where(activity.isNull() | (activity <= SYNC_CUT)), "first")
+    run(everything, "second", fails=True)
+    run(None, "second")
+    committed = mark_of(load_state(spark, f"{root}/data/state")["marks"], "batch")
+    kept = store.read(spark, f"{root}/data/submissions")
+    return kept.select("id", activity.alias("last_activity"), F.col("statusLabel").alias("loaded_by"), F.lit(committed).alias("committed"))

@@ -1,6 +1,8 @@
 """Reshape, filter, join, merge and numbering operators on small frames."""
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from foliate.errors import MissingDataError, OptionError
@@ -13,40 +15,34 @@ AUTHOR_FIELDS = {"Family Name": "family_name", "Given Name": "given_name"}
 # -- reshape ----------------------------------------------------------------
 
 
-def test_entity_numbers_follow_mapped_headers():
-    columns = [
-        "Submission ID",
-        "Given Name (Author 21)",
-        "Family Name (Author 4)",
-        "Family Name (Author 21)",
-        "Given Name (Editor 8)",
-        "Hat Size (Author 33)",
-        "Date decided 7  (Editor 6)",
-    ]
-    assert reshape.entity_numbers(columns, AUTHOR_FIELDS, "Author") == [4, 21]
-    assert reshape.entity_numbers(columns, AUTHOR_FIELDS, "Editor") == [8]
-    decision = "Editor Decision 6  (Editor 4)"
-    assert reshape.entity_numbers([decision], {"Editor Decision 6 ": "x"}, "Editor") == []
+NUMBERS = st.lists(st.integers(1, 999), unique=True, max_size=5)
 
 
-def test_decision_slots_pair_both_headers():
-    slots = reshape.two_index_slots(
-        [
-            "Editor Decision 14  (Editor 3)",
-            "Given Name (Editor 3)",
-            "Date decided 14  (Editor 3)",
-            "Editor Decision 2  (Editor 3)",
-            "Editor Decision 5  (Editor 2)",
-        ],
-        reshape.DECISION_HEADER,
-        ("editor_number", "decision_number"),
-        reshape.DECISION_FIELDS,
-    )
-    assert list(slots) == [(2, 5), (3, 2), (3, 14)]
-    assert slots[(3, 14)] == {
-        "date_decided": "Date decided 14  (Editor 3)",
-        "decision": "Editor Decision 14  (Editor 3)",
-    }
+@given(st.data())
+def test_numbers_are_those_of_mapped_fields(data):
+    """Headers are made from a field, an entity and a number; which numbers count follows from how they were made."""
+    fields = dict(zip("Harbour Mast Keel".split(), "harbour mast keel".split(), strict=True))
+    made = [(field, entity, n) for field in [*fields, "Ballast"] for entity in ("Ship", "Buoy") for n in data.draw(NUMBERS)]
+    headers = data.draw(st.permutations([f"{field} ({entity} {n})" for field, entity, n in made] + ["Log", "Harbour", "Harbour (Ship)", "Keel (Ship x)"]))
+    for entity in ("Ship", "Buoy"):
+        assert reshape.entity_numbers(headers, fields, entity) == sorted({n for field, e, n in made if e == entity and field in fields})
+
+
+@given(NUMBERS, NUMBERS)
+def test_a_header_with_two_numbers_is_no_entity(editors, decisions):
+    headers = [f"{kind} {d}  (Editor {e})" for kind in reshape.DECISION_FIELDS for e in editors for d in decisions]
+    mapped = {f"{kind} {d} ": "x" for kind in reshape.DECISION_FIELDS for d in decisions}
+    assert reshape.entity_numbers(headers, mapped, "Editor") == []
+
+
+@given(st.dictionaries(st.tuples(st.integers(1, 40), st.integers(1, 40)), st.sets(st.sampled_from(sorted(reshape.DECISION_FIELDS)), min_size=1), max_size=8), st.randoms())
+def test_slots_pair_the_headers_of_two_numbers(wanted, order):
+    headers = [f"{kind} {d}  (Editor {e})" for (e, d), kinds in wanted.items() for kind in kinds] + ["Given Name (Editor 2)"]
+    order.shuffle(headers)
+    slots = reshape.two_index_slots(headers, reshape.DECISION_HEADER, ("editor_number", "decision_number"), reshape.DECISION_FIELDS)
+    assert list(slots) == sorted(wanted)
+    for (e, d), kinds in wanted.items():
+        assert slots[e, d] == {reshape.DECISION_FIELDS[kind]: f"{kind} {d}  (Editor {e})" for kind in kinds}
 
 
 def test_unpivot_then_pivot_is_identity(spark, rows):

@@ -4,7 +4,8 @@ import datetime as dt
 import logging
 
 import pytest
-from pyspark.sql import types as T
+from hypothesis import given
+from hypothesis import strategies as st
 
 from foliate.plans import articles, specs
 from foliate.schema import (
@@ -21,38 +22,46 @@ from foliate.schema import (
 )
 from foliate.sources.sinks import column_counts, doc_rows, schema_docs, write_schema_docs
 
-SAMPLE = TableSpec(
-    "sample",
-    "A sample.",
+#: Readings of moored buoys: what came from the logger, what was worked out, and what isn't published.
+BUOYS = TableSpec(
+    "buoys",
+    "Hourly readings.",
     {
-        "submission_id": ColumnSpec(LONG, "Key.", "Submission ID"),
-        "given_name": ColumnSpec(STRING, "Name.", "Given Name (Author N)"),
-        "author_number": ColumnSpec(LONG, "Order."),
-        "when": ColumnSpec(DATETIME, "Time.", "When"),
-        "dropped_col": ColumnSpec(STRING, "Not in output.", "Dropped", dropped=True),
+        "serial": ColumnSpec(STRING, "Maker's number.", "Serial", dropped=True),
+        "read_at": ColumnSpec(DATETIME, "Local time of the reading.", "Clock"),
+        "tide": ColumnSpec(LONG, "Millimetres above datum."),
+        "sensor": ColumnSpec(STRING, "What was read.", "Probe (Mast N)"),
+        "serviced": ColumnSpec(DATE, "Last visit.", "Visit"),
     },
 )
 
+COLUMNS = st.lists(
+    st.tuples(st.text("abcdef", min_size=1, max_size=5), st.sampled_from([LONG, STRING, DATETIME, DATE]), st.sampled_from([None, "plain", "Mast N", "Buoy N"]), st.booleans()),
+    unique_by=lambda c: c[0], max_size=7,
+)
 
-def test_names_sources_and_maps():
-    assert SAMPLE.names() == ["submission_id", "given_name", "author_number", "when", "dropped_col"]
-    assert SAMPLE.output_names() == ["submission_id", "given_name", "author_number", "when"]
-    assert SAMPLE.rename_map() == {
-        "Submission ID": "submission_id",
-        "Given Name (Author N)": "given_name",
-        "When": "when",
-        "Dropped": "dropped_col",
-    }
-    assert SAMPLE.field_map("Author N") == {"Given Name": "given_name"}
-    assert SAMPLE.dropped_columns() == ["dropped_col"]
-    assert SAMPLE.source_columns() == ["Submission ID", "Given Name (Author N)", "When", "Dropped"]
-    assert "Bio Statement (e.g., department and rank)" in specs.ARTICLE_AUTHORS.field_map("Author N")
 
+@given(COLUMNS)
+def test_a_table_lists_its_columns(columns):
+    """Names, sources and maps follow from the columns a table is declared with, in their order."""
+    def source(name, form):
+        return None if form is None else f"From {name}" if form == "plain" else f"From {name} ({form})"
 
-def test_struct_type_carries_documentation():
-    field = SAMPLE.struct_type()["when"]
-    assert field.dataType == T.TimestampNTZType()
-    assert field.metadata == {"comment": "Time.", "source": "When", "dropped": False}
+    spec = TableSpec("t", "d", {n: ColumnSpec(kind, "x", source(n, form), dropped=gone) for n, kind, form, gone in columns})
+    assert spec.names() == [n for n, *_ in columns]
+    assert spec.output_names() == [n for n, _, _, gone in columns if not gone]
+    assert spec.dropped_columns() == [n for n, _, _, gone in columns if gone]
+    assert spec.source_columns() == [source(n, form) for n, _, form, _ in columns if form]
+    assert spec.rename_map() == {source(n, form): n for n, _, form, _ in columns if form}
+    for label in ("Mast N", "Buoy N"):
+        assert spec.field_map(label) == {f"From {n}": n for n, _, form, _ in columns if form == label}
+    fields = spec.struct_type()
+    assert [(f.name, f.dataType, f.metadata["dropped"]) for f in fields] == [(n, kind, gone) for n, kind, _, gone in columns]
+
+
+def test_documentation_travels_with_the_type():
+    assert BUOYS.struct_type()["serviced"].metadata == {"comment": "Last visit.", "source": "Visit", "dropped": False}
+    assert "Bio Statement (e.g., department and rank)" in specs.ARTICLE_AUTHORS.field_map("Author N")
 
 
 def test_reserved_names():
@@ -64,33 +73,32 @@ def test_reserved_names():
 
 
 def test_conform_casts_parses_and_orders(spark):
+    # The second clock reading falls into the hour that summer time skips in the session's zone.
     raw = spark.createDataFrame(
-        [("2024-01-02 03:04:05", "10", "A", 1), ("bad", "11", "B", 2), ("2024-03-10 02:30:00", "x", None, None)],
-        "when string, submission_id string, given_name string, author_number int",
+        [("-340", None, "2021-12-31 23:59:59"), ("12 mm", "wave", "2022-03-13 02:15:00"), ("2500", "salt", "noon")], "tide string, sensor string, read_at string"
+    )
+    out = conform(raw, BUOYS)
+    assert out.dtypes == [("read_at", "timestamp_ntz"), ("tide", "bigint"), ("sensor", "string")]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(
+        [(dt.datetime(2021, 12, 31, 23, 59, 59), -340, None), (dt.datetime(2022, 3, 13, 2, 15), None, "wave"), (None, 2500, "salt")], key=repr
     )
-    out = conform(raw, SAMPLE)
-    assert out.columns == ["submission_id", "given_name", "author_number", "when"]
-    assert out.schema["submission_id"].dataType == LONG and out.schema["when"].dataType == DATETIME
-    rows = out.collect()
-    assert [r["submission_id"] for r in rows] == [10, 11, None]
-    assert [r["when"] for r in rows] == [dt.datetime(2024, 1, 2, 3, 4, 5), None, dt.datetime(2024, 3, 10, 2, 30)]
-    assert out.schema["when"].metadata["comment"] == "Time."
+    assert out.schema["tide"].metadata["comment"] == "Millimetres above datum."
 
 
 def test_conform_reports_unknown_and_hides_dropped(spark, caplog):
-    raw = spark.createDataFrame([(1, "x", "y", "z")], "submission_id int, given_name string, dropped_col string, surprise string")
+    raw = spark.createDataFrame([("n", 4, "kelp", "calm")], "serial string, tide int, fouling string, sensor string")
     with caplog.at_level(logging.WARNING, logger="foliate"):
-        out = conform(raw, SAMPLE)
-    assert out.columns == ["submission_id", "given_name"]
-    assert "surprise" in caplog.text and "dropped_col" not in caplog.text
+        out = conform(raw, BUOYS)
+    assert out.columns == ["tide", "sensor"]
+    assert "fouling" in caplog.text and "serial" not in caplog.text
 
 
 def test_conform_can_fill_missing(spark, caplog):
-    raw = spark.createDataFrame([(1,)], "submission_id int")
-    assert conform(raw, SAMPLE).columns == ["submission_id"]
-    filled = conform(raw, SAMPLE, fill_missing=True)
-    assert filled.schema == SAMPLE.struct_type(include_dropped=False)
-    assert filled.first()["when"] is None
+    raw = spark.createDataFrame([(4,)], "tide int")
+    assert conform(raw, BUOYS).columns == ["tide"]
+    filled = conform(raw, BUOYS, fill_missing=True)
+    assert filled.schema == BUOYS.struct_type(include_dropped=False)
+    assert filled.first()["serviced"] is None
     assert "WARNING" not in caplog.text
 
 
@@ -106,33 +114,27 @@ def test_numbers_and_dates_are_lenient_but_exact(spark):
 
 
 def test_rename_and_empty(spark):
-    raw = spark.createDataFrame([(1, 2)], "`Submission ID` int, other int")
-    assert rename_from_source(raw, SAMPLE).columns == ["submission_id", "other"]
-    empty = empty_table(spark, SAMPLE)
-    assert empty.count() == 0 and empty.columns == SAMPLE.names()
-
-
-def test_unmapped_columns():
-    columns = [
-        "Title",
-        "Email (Author 99)",
-        "ORCID iD (Editor 7)",
-        "Date decided 9  (Editor 3)",
-        "Editor Decision 9  (Editor 3)",
-        "Shelf Mark",
-        "Hat Size (Author 6)",
-        "Homepage URL (Editor 1)",
-    ]
-    assert articles.unmapped_report_columns(columns) == ["Shelf Mark", "Hat Size (Author 6)", "Homepage URL (Editor 1)"]
-    assert unmapped_columns(["When", "Given Name (Author 3)", "x"], [SAMPLE]) == ["x"]
+    raw = spark.createDataFrame([(1, "x", 2)], "Depth int, Clock string, tide int")
+    assert rename_from_source(raw, BUOYS).columns == ["Depth", "read_at", "tide"]
+    empty = empty_table(spark, BUOYS)
+    assert empty.count() == 0 and empty.columns == BUOYS.names()
+
+
+@given(st.lists(st.integers(1, 500), unique=True, min_size=1, max_size=4), st.randoms())
+def test_headers_no_table_accounts_for(numbers, order):
+    known = [f"{base} (Author {n})" for base in specs.ARTICLE_AUTHORS.field_map("Author N") for n in numbers]
+    known += [f"{kind} {n}  (Editor {n + 1})" for kind in ("Editor Decision", "Date decided") for n in numbers]
+    unknown = [f"Keel ({label} {n})" for label in ("Author", "Editor", "Ship") for n in numbers] + ["Tonnage"]
+    headers = known + unknown
+    order.shuffle(headers)
+    assert articles.unmapped_report_columns(headers) == [h for h in headers if h in unknown]
+    assert unmapped_columns([*headers, "Visit", *(f"Probe (Mast {n})" for n in numbers)], [BUOYS]) == headers
 
 
 def test_schema_docs(spark, rows, tmp_path):
-    by_column = {r[1]: r for r in doc_rows([SAMPLE])}
-    assert by_column["submission_id"][2:5] == ("Int64", "true", "Submission ID")
-    assert by_column["when"][2] == "Datetime"
-    assert by_column["dropped_col"][3] == "false"
-    assert by_column["author_number"][4] == "N/A"
+    documented = {r[1]: r[2:5] for r in doc_rows([BUOYS])}
+    assert documented["tide"] == ("Int64", "true", "N/A") and documented["read_at"] == ("Datetime", "true", "Clock")
+    assert documented["serial"][1] == "false"
     docs = schema_docs(spark, specs.ARTICLE_TABLES)
     counts = write_schema_docs(docs, str(tmp_path / "docs"))
     assert rows(counts) == [("authors", 10), ("decisions", 5), ("editors", 6), ("submissions", 21)]
