@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from foliate.errors import MissingDataError, OptionError
 from foliate.functions.text import literal_map
 from foliate.schema import quoted
+from foliate.session import small_frame
 
 
 def arrival_order() -> Column:
@@ -202,15 +203,51 @@ def rows_of_ids(df: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFra
     return df.join(wanted, quoted(key) == F.col("__id"), "left_semi")
 
 
-def files_with_rounds(files: DataFrame, assignments: DataFrame) -> DataFrame:
-    """Submission files beside the review assignments of the same round."""
+#: A key with more rows than this on the split side is dealt over several tasks.
+HOT_ROWS = 1 << 20
+
+
+def hot_slices(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``__hot`` and ``__slices``: the keys with more than ``hot_rows`` rows, and over how many tasks to deal each.
+
+    The counts have a map-side half, and there are at most as many hot keys as ``hot_rows`` goes
+    into the rows, so they pass through the driver and come back as a frame of known size.
+    """
+    counted = df.where(quoted(key).isNotNull()).groupBy(quoted(key).alias("__hot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+    rows = [(r["__hot"], -(-r["n"] // hot_rows)) for r in counted.collect()]
+    return small_frame(df.sparkSession, rows, f"__hot {df.schema[key].dataType.simpleString()}, __slices bigint")
+
+
+def split_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner join whose hot keys may be hot on both sides.
+
+    The rows of a hot key on the left are dealt over slices by a hash of themselves, and the rows
+    of that key on the right are repeated for each slice, so a task holds one slice of the left and
+    what the key has on the right. All other rows are joined as they are. Columns of both sides
+    must differ by name.
+    """
+    hot = hot_slices(left, left_key, hot_rows)
+    whole = F.xxhash64(*[quoted(n) for n, t in left.dtypes if "map<" not in t and "variant" not in t])
+    dealt = left.join(hot, quoted(left_key) == F.col("__hot"), "left")
+    dealt = dealt.withColumn("__slice", F.coalesce(F.pmod(whole, "__slices"), F.lit(0))).drop("__hot", "__slices")
+    repeated = right.join(hot, quoted(right_key) == F.col("__hot"), "left")
+    repeated = repeated.withColumn("__of", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("__slices", F.lit(1)) - 1))).drop("__hot", "__slices")
+    same = (quoted(left_key) == quoted(right_key)) & (F.col("__slice") == F.col("__of"))
+    return dealt.join(repeated, same, "inner").drop("__slice", "__of")
+
+
+def files_with_rounds(files: DataFrame, assignments: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Submission files beside the review assignments of the same round.
+
+    A round can have many files and many assignments; the files of a hot one are split.
+    """
     rounds = assignments.select(
         F.col("round_id").alias("__round_id"),
         F.col("assignment_id"),
         F.col("round"),
         F.col("status").alias("assignment_status"),
     )
-    return files.join(rounds, F.col("review_round_id") == F.col("__round_id"), "inner").drop("__round_id")
+    return split_join(files, rounds, "review_round_id", "__round_id", hot_rows).drop("__round_id")
 
 
 def pick_current(

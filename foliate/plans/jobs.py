@@ -90,10 +90,12 @@ def run_normalize_report(
     downloads_dir: str | None = None,
     input_file: str | None = None,
     fmt: str = "parquet",
+    by_blocks: bool = False,
 ) -> DataFrame:
     """Normalize the newest export of a report (or the given file); returns the run's metrics.
 
-    The export is parsed once into Parquet and every table is built from that.
+    The export is parsed once into Parquet and every table is built from that. ``by_blocks``
+    parses it in many tasks.
     """
     spec = report_spec(report)
     if input_file is None and downloads_dir is None:
@@ -102,7 +104,7 @@ def run_normalize_report(
     accepted, pages = accepted_reports(spark, [source])
     if pages:
         raise DataError(f"{source} is a web page, not a CSV export")
-    raw = read_report_csv(spark, accepted)
+    raw = read_report_csv(spark, accepted, by_blocks)
     # Parquet field names may not hold every character a header does, so the staged
     # table has plain names and the headers are put back on top of it.
     plain = raw.toDF(*[f"c{i}" for i in range(len(raw.columns))])

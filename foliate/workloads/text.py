@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from foliate.functions import dates
@@ -10,6 +12,8 @@ from foliate.functions.multilingual import join_list, localized
 from foliate.functions.text import blank_to_null, mask_token, review_round_id, safe_name, stage_label
 from foliate.operators.joins import dimension_label
 from foliate.schema import DATE, DATETIME, LONG, STRING, ColumnSpec, TableSpec, conform
+from foliate.session import ensure_checkpoint_dir
+from foliate.sources.reports import read_report_csv
 from foliate.workloads.registry import query, spread_table, table
 
 HTML_STEPS = r"""
@@ -230,3 +234,12 @@ def iso_dates(spark, sf_dir):
         dates.window_text(F.col("o_orderdate")).alias("window_start"),
         F.lit("2024-06-15 08:30:00").alias("fetched_at"),
     )
+
+
+@query("report_by_blocks", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, source FROM documents")
+def report_by_blocks(spark, sf_dir):
+    """Whole texts, with their quotes and line breaks, out of an export that is read by blocks."""
+    folder = f"{ensure_checkpoint_dir(spark)}/export-{uuid.uuid4()}"
+    form = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    table(spark, sf_dir, "documents").select("doc_id", "text", "source").write.csv(folder, **form)
+    return read_report_csv(spark, folder, by_blocks=True)

@@ -334,3 +334,15 @@ def test_paths_that_leave_the_folder_fail_the_job(spark):
     assert contained == [False, False, True, False, True]
     with pytest.raises(Exception, match="refusing path"):
         downloads.guard_paths(paths).collect()
+
+
+@pytest.mark.parametrize("hot_rows", [1, 7, 1 << 20])
+def test_a_round_with_half_of_all_files(spark, rows, hot_rows):
+    files = spark.createDataFrame([(i, 5 if i % 2 else (None if i % 10 == 0 else i)) for i in range(60)], "id bigint, review_round_id bigint")
+    assignments = spark.createDataFrame([(5, a, 1, "s") for a in range(9)] + [(8, 70, 2, "t"), (None, 71, 2, "t"), (99, 72, 1, "u")], "round_id bigint, assignment_id bigint, round int, status string")
+    got = joins.files_with_rounds(files, assignments, hot_rows)
+    want = [(i, 5, a, 1, "s") for i in range(1, 60, 2) for a in range(9)] + [(8, 8, 70, 2, "t")]
+    assert got.columns == ["id", "review_round_id", "assignment_id", "round", "assignment_status"]
+    assert rows(got) == sorted(want)
+    slices = {r["__hot"]: r["__slices"] for r in joins.hot_slices(files, "review_round_id", hot_rows).collect()}
+    assert slices == ({} if hot_rows > 30 else {5: -(-30 // hot_rows)})

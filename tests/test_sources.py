@@ -323,3 +323,40 @@ def test_a_timeline_needs_its_periods(spark, tmp_path):
     with pytest.raises(OptionError):
         timeline.replace_points(points.drop("date"), str(tmp_path / "t"))
     assert timeline.replace_points(points.limit(0), str(tmp_path / "e")).count() == 0
+
+
+def csv_cell(rng):
+    return "".join(rng.choice(['"', "\n", "\r\n", ",", "a", "é", " ", "x y", ""]) for _ in range(rng.randint(0, 5)))
+
+
+def quoted_cell(text):
+    return '"' + text.replace('"', '""') + '"' if any(c in text for c in '",\n\r') else text
+
+
+@pytest.mark.parametrize("block, ends", [(3, "\n"), (7, "\r\n"), (16, "\n"), (41, "\n"), (1 << 20, "\r\n")])
+def test_csv_by_blocks_equals_the_read_of_whole_files(spark, tmp_path, block, ends):
+    import random
+
+    rng = random.Random(block)
+    for name in ("a", "b"):
+        # The read of whole files guesses the line ends from the first one it meets.
+        body = [["id", "two\nlines" if ends == "\n" else "one line", 'with "quotes"'], *([f"{name}{i}", csv_cell(rng), csv_cell(rng)] for i in range(25))]
+        text = ends.join(",".join(map(quoted_cell, cells)) for cells in body)
+        (tmp_path / f"r-{name}.csv").write_bytes((b"\xef\xbb\xbf" if name == "a" else b"") + text.encode() + (ends.encode() * (2 if ends == "\n" else 1) if name == "b" else b"") + (b"z,\xff\xfe,q" if name == "b" else b""))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        want = reports.read_report_csv(spark, f"{tmp_path}/r-*.csv")
+        got = reports.read_report_csv(spark, f"{tmp_path}/r-*.csv", by_blocks=True)
+        assert got.columns == want.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_an_empty_export_by_blocks(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("id,name\n")
+    got = reports.read_report_csv(spark, str(tmp_path / "r.csv"), by_blocks=True)
+    assert got.columns == ["id", "name"] and got.collect() == []
