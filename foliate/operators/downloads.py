@@ -76,14 +76,17 @@ def download_plan(
     manifest: DataFrame | None,
     include_revisions: bool = True,
     on_disk: DataFrame | None = None,
+    guard: bool = True,
 ) -> DataFrame:
     """Targets that are not yet recorded under the path they resolve to now.
 
     A renamed file is planned again and brings the recorded path as ``stale_path``.
     With ``on_disk``, a listing with a ``path`` column, a recorded file that is
-    missing from it is planned again as well.
+    missing from it is planned again as well. Without ``guard`` the caller sees to paths
+    that leave the download folder.
     """
-    targets = guard_paths(download_targets(files, include_revisions))
+    targets = download_targets(files, include_revisions)
+    targets = guard_paths(targets) if guard else targets
     if manifest is None:
         return targets.withColumn("stale_path", F.lit(None).cast("string"))
     recorded = manifest.select(F.col("file_id").alias("__file_id"), F.col("path").alias("__path"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from foliate.errors import DataError, MissingDataError, OptionError
 from foliate.functions.dates import require_iso_date
 from foliate.functions.nested import any_child_in
-from foliate.operators.downloads import download_plan
+from foliate.operators.downloads import download_plan, is_contained
 from foliate.operators.filters import changed_since, date_window, of_interval, require_interval, select_files, stage_ids
 from foliate.operators.joins import ambiguous_keys, order_of, require_some_keys, rows_of_ids, skip_unchanged
 from foliate.operators.merge import high_water_mark, window_start
@@ -132,6 +132,7 @@ def run_download_plan(
     file_stages: Sequence[int] | None = None,
     revisions: bool = True,
     on_disk: DataFrame | None = None,
+    guard: bool = True,
 ) -> DataFrame:
     """What is still to be downloaded for the chosen submissions and stages.
 
@@ -146,7 +147,43 @@ def run_download_plan(
     elif submissions is not None:
         ids = submissions.select("id")
     chosen = select_files(files, ids, file_type, file_stages)
-    return download_plan(chosen, manifest, revisions, on_disk)
+    return download_plan(chosen, manifest, revisions, on_disk, guard)
+
+
+UNSAFE_PATH = "path outside the download folder"
+
+
+def plan_downloads(spark: SparkSession, files: DataFrame, target: str, **options) -> DataFrame:
+    """Write what is due under ``target`` to ``plan`` and return it.
+
+    What ``record_downloads`` wrote down before is left out. A path that would leave the download
+    folder is no reason to stop: its file goes to ``refused`` and not into the plan.
+    """
+    manifest = store.read(spark, f"{target}/manifest")
+    due = run_download_plan(spark, files, manifest, guard=False, **options)
+    planned = store.replace_dataset(due.withColumn("__safe", F.coalesce(is_contained(F.col("path")), F.lit(True))), f"{target}/plan")
+    unsafe = planned.where(~F.col("__safe")).select("file_id", "path", F.lit(UNSAFE_PATH).alias("reason"))
+    if not unsafe.isEmpty():
+        append_manifest(spark, f"{target}/refused", unsafe)
+    store.vacuum(spark, f"{target}/plan")
+    return planned.where("__safe").drop("__safe")
+
+
+def record_downloads(spark: SparkSession, target: str, outcomes: DataFrame) -> DataFrame:
+    """Write down what came of a plan; returns ``outcome, files``.
+
+    ``outcomes`` has ``file_id``, ``path`` and ``reason``, which is null for a file that was
+    stored. Stored files go to ``manifest`` and are not planned again; the others go to
+    ``refused`` with their reason, and stay due. A file recorded before is replaced in either.
+    """
+    staged = store.replace_dataset(outcomes.select("file_id", "path", "reason"), f"{target}/outcomes")
+    stored, refused = staged.where("reason IS NULL").drop("reason"), staged.where("reason IS NOT NULL")
+    for name, rows in (("manifest", stored), ("refused", refused)):
+        if not rows.isEmpty():
+            append_manifest(spark, f"{target}/{name}", rows)
+        store.vacuum(spark, f"{target}/{name}")
+    store.vacuum(spark, f"{target}/outcomes")
+    return staged.groupBy(F.when(F.col("reason").isNull(), "stored").otherwise("refused").alias("outcome")).agg(F.count("*").alias("files"))
 
 
 def append_manifest(spark: SparkSession, path: str, records: DataFrame) -> DataFrame:

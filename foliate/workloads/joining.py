@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from foliate.operators.downloads import download_plan, download_targets
@@ -19,7 +21,9 @@ from foliate.operators.joins import (
 from foliate.operators.quality import always_null_report, constant_report, preview, profile
 from foliate.operators.ranking import number_rows
 from foliate.plans import api, articles, specs
-from foliate.plans.jobs import profile_tables
+from foliate.plans.jobs import plan_downloads, profile_tables, record_downloads
+from foliate.session import ensure_checkpoint_dir
+from foliate.sources import store
 from foliate.sources.sinks import DOC_SCHEMA, doc_rows, schema_docs
 from foliate.workloads import records
 from foliate.workloads.registry import ORACLES, query, table
@@ -206,6 +210,26 @@ def manifest_plan(spark, sf_dir):
     return download_plan(files, manifest)
 
 
+@query(
+    "download_rounds",
+    f"""
+WITH {TARGETS_SQL},
+manifest AS (SELECT file_id, max(path) AS path FROM targets WHERE file_id % 2 = 0 GROUP BY file_id)
+SELECT t.submission_id, t.file_id, t.path, CASE WHEN m.path <> t.path THEN m.path END AS stale_path, CASE WHEN t.file_id % 2 = 1 THEN 'web page' END AS reason
+FROM targets t LEFT JOIN manifest m ON m.file_id = t.file_id WHERE m.file_id IS NULL OR m.path <> t.path""",
+)
+def download_rounds(spark, sf_dir):
+    """A plan, what came of it written down, and the plan after that, with the reason why a file is still due."""
+    folder = f"{ensure_checkpoint_dir(spark)}/downloads-{uuid.uuid4()}"
+    files = store.replace_dataset(records.submission_files(spark, sf_dir), f"{folder}/landed")
+    first = plan_downloads(spark, files, folder)
+    record_downloads(spark, folder, first.select("file_id", "path", F.when(F.col("file_id") % 2 == 1, "web page").alias("reason")))
+    refused = store.read(spark, f"{folder}/refused").select(F.col("file_id").alias("__refused"), "reason")
+    second = plan_downloads(spark, files, folder)
+    due = second.join(refused, F.col("file_id") == F.col("__refused"), "left")
+    return due.select("submission_id", "file_id", "path", "stale_path", "reason")
+
+
 @query(
     "newest_first",
     """

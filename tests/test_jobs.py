@@ -244,3 +244,23 @@ def test_stream_takes_each_file_once(spark, rows, tmp_path):
     versions = store.layout(spark, target).version
     assert run() == [(1, "A"), (2, "B"), (3, "c")]
     assert store.layout(spark, target).version == versions
+
+
+def test_downloads_are_recorded_and_planned_again(spark, rows, tmp_path):
+    target = str(tmp_path / "target")
+    files = spark.createDataFrame(
+        [(1, 1, 10, 2, "a", "u"), (1, 2, 11, 11, "b", "u"), (2, 3, 12, 4, "c", "u")],
+        "_submission_id bigint, id bigint, fileId bigint, fileStage bigint, name string, url string",
+    ).withColumns(
+        {"assocType": F.lit(None).cast("bigint"), "assocId": F.lit(None).cast("bigint"), "revisions": F.lit(None).cast("array<struct<fileId:bigint,url:string>>")}
+    )
+    first = jobs.plan_downloads(spark, files, target)
+    assert rows(first, "file_id") == [(10,), (11,), (12,)]
+    outcomes = first.select("file_id", "path", F.when(F.col("file_id") == 11, "web page").alias("reason"))
+    assert rows(jobs.record_downloads(spark, target, outcomes)) == [("refused", 1), ("stored", 2)]
+    again = jobs.plan_downloads(spark, files, target)
+    assert rows(again, "file_id") == [(11,)], "a refused file stays due"
+    assert rows(store.read(spark, f"{target}/refused"), "file_id", "reason") == [(11, "web page")]
+    jobs.record_downloads(spark, target, again.select("file_id", "path", F.lit(None).cast("string").alias("reason")))
+    assert jobs.plan_downloads(spark, files, target).isEmpty()
+    assert store.read(spark, f"{target}/manifest").count() == 3
