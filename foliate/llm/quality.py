@@ -95,10 +95,11 @@ def compression_check(rules: CompressionRules) -> Callable[[bytes], tuple[float,
             return 0.0, 0, 0, None
         ratio = len(compress(raw)) / size
         band = next(b for b in rules.bands if size < b.below)
-        if size < 2 * rules.chunk_bytes:
-            n = bad = 0
+        # A last piece of less than half a chunk belongs to the one before; a text of one chunk is its document.
+        n, bad = (size + rules.chunk_bytes // 2) // rules.chunk_bytes, 0
+        if n < 2:
+            n = 0
         else:
-            n = (size + rules.chunk_bytes // 2) // rules.chunk_bytes
             cuts = [i * rules.chunk_bytes for i in range(n)] + [size]
             of = [len(compress(raw[a:b])) / (b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
             bad = sum(not rules.chunk_low <= r <= rules.chunk_high for r in of)
