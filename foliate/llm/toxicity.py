@@ -177,10 +177,11 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, params: PuParameters = Pu
     order = F.xxhash64(F.col("doc_id").cast("string"))
     ids = docs.select("doc_id").where(learning(F.col("doc_id")))
     positive = known.where("toxic = 1").select("doc_id").join(ids.distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(params.max_positive)
-    unlabelled = ids.orderBy(order, "doc_id").limit(params.max_unlabelled).distinct()
+    unlabelled = ids.distinct().orderBy(order, "doc_id").limit(params.max_unlabelled)
     picked = positive.withColumn("p", F.lit(1)).unionByName(unlabelled.withColumn("p", F.lit(0))).groupBy("doc_id").agg(F.max("p").alias("p"), F.min("p").alias("all_p"))
-    # At most max_positive + max_unlabelled ids, whatever the input: a bounded broadcast.
-    sample = map_texts(docs.join(F.broadcast(picked), "doc_id"), lambda: document_features, "grams binary, sketches array<bigint>")
+    # At most max_positive + max_unlabelled ids, whatever the input: a bounded broadcast. Of repeated ids one row is taken.
+    texts = docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "p", "all_p").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = map_texts(texts, lambda: document_features, "grams binary, sketches array<bigint>")
     rows = sorted(sample.select("p", "all_p", "grams", "sketches").toLocalIterator(), key=lambda r: (r["sketches"], bytes(r["grams"])))
 
     def once(wanted: list) -> list[np.ndarray]:
