@@ -23,6 +23,8 @@ from foliate.llm.frames import held_out, id_and_text, joined_bytes, learning, ma
 
 BITS = 14
 LENGTHS = (1, 2, 3)
+#: Slices a language is dealt over when its first ids are looked for.
+SLICES = 64
 ROWS = 256
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -104,11 +106,14 @@ def train_language_model(docs: DataFrame, params: KernelParameters = KernelParam
     known = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang")).where(learning(F.col("doc_id")) & F.col("lang").isNotNull())
     if known.agg(F.count_distinct("lang")).first()[0] > params.max_languages:
         raise OptionError(f"more than {params.max_languages} languages are labelled")
-    # Spark takes the first rows of each language before it shuffles, so a common language is no hot key.
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id"))
-    picked = known.select("doc_id", "lang", place.alias("place")).where(f"place <= {params.per_language}")
-    # At most per_language ids per language: a bounded broadcast.
-    sample = id_and_text(docs, id_col, text_col).where(F.col("text").rlike(r"\p{L}")).join(F.broadcast(picked), "doc_id")
+    # The first ids of each language, first inside slices of it, so that a common language is no hot key.
+    order = [F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id")]
+    sliced = Window.partitionBy("lang", F.pmod(F.xxhash64("doc_id"), F.lit(SLICES))).orderBy(*order)
+    first = known.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(sliced)).where(f"place <= {params.per_language}")
+    picked = first.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(f"place <= {params.per_language}")
+    # At most per_language ids per language: a bounded broadcast. Of repeated ids one row with a letter is taken.
+    lettered = id_and_text(docs, id_col, text_col).where(F.col("text").rlike(r"\p{L}")).join(F.broadcast(picked), "doc_id")
+    sample = lettered.groupBy("doc_id", "lang", "place").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = sorted(map_texts(sample, lambda: _packed, "grams binary").toLocalIterator(), key=lambda r: (r["lang"], r["place"], bytes(r["grams"])))
     if not rows:
         return LanguageModel([], np.zeros((0, 1 << BITS), np.float32), np.zeros((0, 0), np.float32))
