@@ -38,12 +38,23 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 FOREIGN = ("svg", "math")
 BREAKOUT = frozenset("blockquote body center dd div dl dt h1 h2 h3 h4 h5 h6 head hr li menu ol p pre table ul".split())
 
-_TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?P<open>(?:(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>)(?P<body>.*?)(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>"
-    r"|<[!?][^>]*>|[^<]+|<",
-    re.DOTALL | re.IGNORECASE,
-)
+_QUOTED = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+
+
+def _tokens(attributes: str) -> re.Pattern:
+    return re.compile(
+        r"<!--(?:.*?-->|.*)|<(?P<raw>" + "|".join(RAW) + rf")(?=[\s/>])(?P<open>(?:{attributes})>)(?P<body>.*?)(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
+        rf"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>{attributes})>"
+        r"|<[!?][^>]*>|[^<]+|<",
+        re.DOTALL | re.IGNORECASE,
+    )
+
+
+#: A tag ends at the first ``>`` outside quotes, or where there is none at the first of all.
+_TOKEN = _tokens(_QUOTED + r"|[^>]*+")
+#: For the rest of a page that has no ``>`` outside quotes: looking for one at every tag would take the square of its length.
+_UNQUOTED = _tokens(r"[^>]*+")
+_WELL_QUOTED = re.compile(_QUOTED)
 _NAMED = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _PIECES = re.compile(r"[a-z]+|[0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -77,19 +88,31 @@ def blocks_of(html: str | None) -> list[BlockOfText]:
         foreign -= sum(name in FOREIGN for name, _ in stack[depth:])
         del stack[depth:]
 
+    def say(text: str) -> None:
+        nonlocal path, linked
+        if not parts:
+            path = tuple(dict.fromkeys(p for _, names in stack for p in names))
+        said = unescape(text)
+        parts.append(said)
+        linked += len(said.strip()) if links else 0
+
     html = html or ""
-    while m := _TOKEN.match(html, at):
+    last, pattern = html.rfind(">"), _TOKEN
+    while at < len(html):
+        if at > last:
+            # No tag can end any more; only a comment may still begin.
+            say(html[at:].partition("<!--")[0])
+            break
+        m = pattern.match(html, at)
         token, name, at = m.group(), m["name"], m.end()
+        within = m["open"] or m["attributes"] or ""
+        if pattern is _TOKEN and (within.count('"') % 2 or within.count("'") % 2) and not _WELL_QUOTED.fullmatch(within.removesuffix(">") if m["open"] else within):
+            pattern = _UNQUOTED
         if name is None:
             if m["raw"] is not None and foreign and m["open"].endswith("/>"):
                 at = m.end("open")
-            if m["raw"] is not None or token[0] == "<" and len(token) > 1:
-                continue
-            if not parts:
-                path = tuple(dict.fromkeys(p for _, names in stack for p in names))
-            said = unescape(token)
-            parts.append(said)
-            linked += len(said.strip()) if links else 0
+            if m["raw"] is None and (token[0] != "<" or len(token) == 1):
+                say(token)
             continue
         name = name.lower()
         if name in ("br", "wbr"):
@@ -390,15 +413,17 @@ class ExtractParameters:
     composed_pages: int = 900
     seed: int = 7
     threshold: float = 0.5
+    #: Pages of more blocks are extracted like all others, but not fitted on.
+    fitted_blocks: int = 400
 
 
 def train_extractor(pages: DataFrame, params: ExtractParameters = ExtractParameters(), id_col: str = "page_id", html_col: str = "html") -> Network:
     """Fit on a bounded sample of the pages; every page is extracted by the result."""
-    order = F.xxhash64(F.col(id_col).cast("string"))
     ids = pages.select(F.col(id_col).alias("id")).where("id is not null").distinct().withColumn("h", F.xxhash64(F.col("id").cast("string"))).orderBy("h", "id").limit(params.sample_pages)
-    # At most sample_pages ids: a bounded broadcast.
-    rows = pages.join(F.broadcast(ids), F.col(id_col) == F.col("id")).select(order.alias("h"), F.col(html_col).alias("html")).toLocalIterator()
-    parsed = [blocks_of(r["html"]) for r in sorted(rows, key=lambda r: (r["h"], r["html"] or ""))[: params.sample_pages]]
+    # At most sample_pages ids: a bounded broadcast. Of repeated ids one row is taken.
+    sample = pages.select(F.col(id_col).alias("__id"), F.col(html_col).alias("html")).join(F.broadcast(ids), F.col("__id") == F.col("id"))
+    rows = sample.groupBy("h", "id").agg(F.min_by("html", F.xxhash64("html")).alias("html")).toLocalIterator()
+    parsed = [blocks_of(r["html"]) for r in sorted(rows, key=lambda r: (r["h"], r["html"] or ""))]
     return train_on_blocks(parsed, params)
 
 
@@ -407,7 +432,7 @@ def train_on_blocks(parsed: Sequence[Sequence[BlockOfText]], params: ExtractPara
     every = [b.text for blocks in parsed for b in blocks]
     texts = [t for t in every if len(t.split()) >= 8] or ["words of an article that nobody has written yet, all in one sentence."]
     short = [" ".join(t.split()[:8]) for t in every if t.split()] or ["some words"]
-    train = [(reader.vectors(blocks), marked_labels(blocks)) for blocks in parsed if len(blocks) <= 400]
+    train = [(reader.vectors(blocks), marked_labels(blocks)) for blocks in parsed if len(blocks) <= params.fitted_blocks]
     for _ in range(params.composed_pages):
         blocks, labels = compose(texts, short, rng)
         train.append((reader.vectors(blocks), labels))
