@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import corpus_pipeline
@@ -84,6 +85,14 @@ def test_compression_bands():
     assert check(b"") == (0.0, 0, 0, None)
 
 
+@pytest.mark.parametrize("size, chunks", [(3071, 0), (3072, 2), (4095, 2), (4096, 2)])
+def test_chunks_are_tested_wherever_there_are_two(size, chunks):
+    rng = np.random.default_rng(1)
+    raw = rng.bytes(size // 2) + b"ab" * size
+    ratio, n, bad, why = quality.compression_check(quality.CompressionRules())(raw[:size])
+    assert n == chunks and (bad > 0, why) == ((True, "chunks") if chunks else (False, None))
+
+
 def test_keep_good_keeps_all_columns(spark, odd_texts):
     docs = table(spark, odd_texts)
     kept = quality.keep_good(docs)
@@ -575,6 +584,30 @@ def test_formulas_and_fallbacks_are_text():
     assert [(b.text, b.path[:2]) for b in html_extract.blocks_of(html)] == [("so x=1 holds", ("article", "p")), ("seen", ("article", "noscript")), ("end", ("article", "p"))]
 
 
+@pytest.mark.parametrize("bad", ["<script ", '<a b="', '<a x=">"', "<!-- ", "<a b='\">", "<p ", "<textarea "])
+def test_broken_markup_takes_linear_time(bad):
+    start = time.perf_counter()
+    html_extract.blocks_of("<p>first</p>" + bad * (1_000_000 // len(bad)))
+    assert time.perf_counter() - start < 5
+
+
+def test_samples_are_bounded_in_rows(spark, monkeypatch):
+    """One id in a third of all rows must not bring all of them to the driver."""
+    fitted = {}
+    monkeypatch.setattr(language_id, "fit_kernel_ridge", lambda grams, langs, *_: fitted.setdefault("languages", len(langs)))
+    monkeypatch.setattr(toxicity, "fit_nnpu", lambda toxic, others, *_: fitted.setdefault("toxic", len(toxic) + len(others)))
+    monkeypatch.setattr(html_extract, "train_on_blocks", lambda parsed, _: fitted.setdefault("pages", len(parsed)))
+    rng = random.Random(4)
+    rows = [(i, prose(rng, 20), "en") for i in range(40)]
+    rows += [(0, prose(rng, 20), "en") for _ in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    language_id.train_language_model(docs, language_id.KernelParameters(per_language=8))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, toxic int")
+    toxicity.train_toxicity(docs.select("doc_id", "text"), labels, toxicity.PuParameters(max_positive=5, max_unlabelled=9))
+    html_extract.train_extractor(docs.selectExpr("doc_id as page_id", "text as html"), html_extract.ExtractParameters(sample_pages=6))
+    assert fitted["languages"] <= 8 and fitted["toxic"] <= 14 and fitted["pages"] == 6
+
+
 def test_network_gradient():
     rng = np.random.default_rng(1)
     net = html_extract.Network.new(3, 1)
