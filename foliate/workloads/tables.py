@@ -97,7 +97,7 @@ def users_table(spark, sf_dir):
     "user_groups_table",
     """
 SELECT c_custkey AS user_id, CAST(c_nationkey AS BIGINT) AS group_id,
-       CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Evaluateur' ELSE 'Group ' || c_nationkey END AS group_name, 'G' AS group_abbrev,
+       CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Groupe des lecteurs' ELSE 'Group ' || c_nationkey END AS group_name, 'G' AS group_abbrev,
        CAST(CASE c_mktsegment WHEN 'BUILDING' THEN 4096 WHEN 'MACHINERY' THEN 16 ELSE 65536 END AS BIGINT) AS role_id
 FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'
 UNION ALL SELECT c_custkey, 99, 'Readers', NULL, 1048576 FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'""",
