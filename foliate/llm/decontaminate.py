@@ -5,7 +5,8 @@ the benchmark, and all its suffixes that could match are sorted into a suffix ar
 Every suffix of every benchmark item is then looked up by binary search, all at once,
 one word deeper each time. The depth at which its range in the array gets empty is the
 length of its longest verbatim match in the shard; the range at the depth of a window
-holds every place where the window occurs.
+holds every place where the window occurs. Equal windows share a range, and occurrences
+are never paired with windows.
 
 A text word outside the benchmark's vocabulary can be in no match. A suffix that
 meets one within the length of the shortest window is left out of the array before it is
@@ -51,6 +52,7 @@ class Block:
     item: np.ndarray
     window: np.ndarray
     left: np.ndarray
+    by_name: np.ndarray
 
     @property
     def shortest(self) -> int:
@@ -58,7 +60,10 @@ class Block:
 
 
 def make_block(rows: list[tuple[str, list[bytes]]]) -> Block:
-    """``suffixes``: the starts of all windows; of each its text, its window's length and the words left in the text. Texts go by their smallest id."""
+    """``suffixes``: the starts of all windows; of each its text, its window's length and the words left in the text. Texts go by their smallest id.
+
+    ``by_name``: the windows by that id, then by their place in the text.
+    """
     same: dict[tuple[bytes, ...], set[str]] = {}
     for name, words in rows:
         same.setdefault(tuple(words), set()).add(name)
@@ -76,8 +81,10 @@ def make_block(rows: list[tuple[str, list[bytes]]]) -> Block:
             left.append(n - j)
         flat += [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words]
         flat.append(0)
-    arrays = [np.array(x, np.int64) for x in (flat or [0], starts, item, window, left)]
-    return Block([names for names, _ in texts], vocabulary, *arrays)
+    words, suffixes, item, window, left = (np.array(x, np.int64) for x in (flat or [0], starts, item, window, left))
+    names = np.unique([names[0] for names, _ in texts], return_inverse=True)[1]
+    by_name = np.lexsort((suffixes - suffixes[np.searchsorted(item, item)], names[item])) if len(item) else item
+    return Block([names for names, _ in texts], vocabulary, words, suffixes, item, window, left, by_name)
 
 
 def suffix_array(words: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
@@ -94,13 +101,36 @@ def suffix_array(words: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarra
     return starts[np.argsort(rank[starts], kind="stable")]
 
 
-def search(text: np.ndarray, array: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every window start of the block: the range of the array where its window occurs, and its longest match in words."""
+@dataclass(frozen=True)
+class Found:
+    """For every window start of a block: the range of the array where its window occurs, and its longest match in words.
+
+    For every place of the array: its longest match with the block, of a whole window at
+    least, and the first window start that has it; 0 and -1 without one.
+    """
+
+    low: np.ndarray
+    high: np.ndarray
+    longest: np.ndarray
+    length: np.ndarray
+    source: np.ndarray
+
+
+def spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every number of the ranges, and the index of the range it comes from."""
+    size = high - low
+    which = np.repeat(np.arange(len(low)), size)
+    return np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + low[which], which
+
+
+def search(text: np.ndarray, array: np.ndarray, block: Block) -> Found:
+    """All suffixes of the block at once. At one depth ranges are equal or apart, so a place is visited once per word that it matches."""
     n = len(block.suffixes)
     low, high = np.zeros(n, np.int64), np.full(n, len(array), np.int64)
     longest = np.zeros(n, np.int64)
     found_low, found_high = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    live = np.arange(n) if len(array) else np.zeros(0, np.int64)
+    length, source = np.zeros(len(array), np.int64), np.full(len(array), -1, np.int64)
+    live = block.by_name if len(array) else np.zeros(0, np.int64)
     depth = 0
     while len(live):
         wanted = block.words[block.suffixes[live] + depth]
@@ -120,8 +150,14 @@ def search(text: np.ndarray, array: np.ndarray, block: Block) -> tuple[np.ndarra
         longest[live] = depth
         whole = live[block.window[live] == depth]
         found_low[whole], found_high[whole] = low[whole], high[whole]
+        # ``live`` goes by name and place, so the first of equal ranges is the one to report.
+        matched = live[block.window[live] <= depth]
+        if len(matched):
+            begins, first = np.unique(low[matched], return_index=True)
+            places, which = spread(begins, high[matched[first]])
+            length[places], source[places] = depth, matched[first][which]
         live = live[block.left[live] > depth]
-    return found_low, found_high, longest
+    return Found(found_low, found_high, longest, length, source)
 
 
 @dataclass
@@ -163,33 +199,31 @@ def match_shard(texts: list[str | None], block: Block) -> Hits:
         depth = int(block.left.max())
         text = np.concatenate([short, np.zeros(depth + 1, np.int64)])
         array = suffix_array(text, np.flatnonzero(near[place]), depth)
-        low, high, _ = search(text, array, block)
-        which = np.repeat(np.arange(len(low)), high - low)
-        ranks = np.arange(len(which)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[which]
-        at_short = array[ranks]
-        at = place[at_short]
-        window = block.window[which]
-        np.add.at(hit, at, 1)
-        np.add.at(hit, at + window, -1)
+        found = search(text, array, block)
+        at = place[array]
         owner = np.searchsorted(starts, at, side="right") - 1
-        for doc, item in np.unique(np.stack([owner, block.item[which]]), axis=1).T.tolist():
+        # Equal windows have one range: its places are marked once, and its texts meet its items once.
+        occurs = np.flatnonzero(found.low < found.high)
+        keys = np.stack([found.low[occurs], block.window[occurs]])
+        _, first, group = np.unique(keys, axis=1, return_index=True, return_inverse=True)
+        places, of = spread(found.low[occurs[first]], found.high[occurs[first]])
+        np.add.at(hit, at[places], 1)
+        np.add.at(hit, at[places] + block.window[occurs[first]][of], -1)
+        group_doc = np.unique(np.stack([of, owner[places]]), axis=1)
+        group_item = np.unique(np.stack([group.reshape(-1), block.item[occurs]]), axis=1)
+        bounds = np.searchsorted(group_item[0], np.stack([group_doc[0], group_doc[0] + 1]))
+        items, row = spread(bounds[0], bounds[1])
+        for doc, item in np.unique(np.stack([group_doc[1][row], group_item[1][items]]), axis=1).T.tolist():
             hits.items[doc].update(block.items[item])
-        length = window.copy()
-        more = np.flatnonzero(length < block.left[which])
-        while len(more):
-            same = text[at_short[more] + length[more]] == block.words[block.suffixes[which[more]] + length[more]]
-            more = more[same]
-            length[more] += 1
-            more = more[length[more] < block.left[which[more]]]
         # The longest match of each text; among equals the first place, the smallest item id, the first place in the item.
-        offset = block.suffixes[which] - block.suffixes[np.searchsorted(block.item, block.item[which])]
-        names = np.unique([names[0] for names in block.items], return_inverse=True)[1]
-        order = np.lexsort((offset, names[block.item[which]], at, -length, owner))
-        first = order[np.flatnonzero(np.r_[True, np.diff(owner[order]) != 0])] if len(order) else order
-        for i in first.tolist():
-            doc = int(owner[i])
-            hits.longest[doc], hits.at[doc] = length[i], at[i] - starts[doc]
-            hits.item[doc], hits.item_at[doc] = block.items[int(block.item[which[i]])][0], offset[i]
+        best = np.flatnonzero(found.length)
+        best = best[np.lexsort((at[best], -found.length[best], owner[best]))]
+        best = best[np.flatnonzero(np.r_[True, np.diff(owner[best]) != 0])] if len(best) else best
+        for i in best.tolist():
+            doc, source = int(owner[i]), int(found.source[i])
+            hits.longest[doc], hits.at[doc] = found.length[i], at[i] - starts[doc]
+            item = int(block.item[source])
+            hits.item[doc], hits.item_at[doc] = block.items[item][0], block.suffixes[source] - block.suffixes[np.searchsorted(block.item, item)]
     covered = np.cumsum(hit[:-1]) > 0
     hits.hit = [np.flatnonzero(covered[a : a + n]) for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
     return hits
@@ -254,8 +288,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ``match_item_at`` of ``match_item``; 0, -1 and null without a match. Items of fewer
     than ten words are one window; a null or wordless item or document has none. An item
     id that is null reads as an empty string; several rows with one id are one item.
-    Repeated documents give repeated results. An empty benchmark hits nothing. Only the
-    ids and texts are read.
+    Repeated documents give repeated results; an empty table of documents gives no row. An
+    empty benchmark hits nothing. A text of any length is one row's work, in proportion to
+    its length and to that of its matches, periodic texts included. Only the ids and texts
+    are read.
     """
     state = id_and_text(docs, id_col, text_col).select(
         "doc_id",

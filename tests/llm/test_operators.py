@@ -694,6 +694,15 @@ def test_equal_longest_matches_go_by_place_and_item_id(spark, block_words):
     assert (r["n_items"], r["longest_match"], r["match_at"], r["match_item"], r["match_item_at"]) == (4, 12, 1, "b", 1)
 
 
+def test_periodic_texts_are_matched_without_listing_pairs(spark):
+    # 39,991 places times 391 windows would be 15 million pairs of one window.
+    benchmark = spark.createDataFrame([("one", "a " * 400), ("two", "b a " * 50)], "item_id string, text string")
+    texts = ["a " * 40_000, "x " + "a b " * 300, "a " * 9 + "b", ""]
+    got = by_id(decontaminate.contamination(table(spark, texts), benchmark))
+    found = [tuple(got[i][c] for c in ("n_hit", "n_items", "longest_match", "match_at", "match_item", "match_item_at")) for i in range(4)]
+    assert found == [(40_000, 1, 400, 0, "one", 0), (600, 1, 100, 2, "two", 0), (0, 0, 0, -1, None, -1), (0, 0, 0, -1, None, -1)]
+
+
 def test_pretokens_follow_the_unicode_of_the_library(coder):
     encoder, _, reference = coder
     for text in ("a\u0558b!\u0558", "x\u1c8a y\u1c8a1", "\U00011de3\U00011de3 7\U00016130", "\U0001917a!b", "\U00010d75-\U000105c0", "\u01c4\u212a\u03a3 \u5582"):
