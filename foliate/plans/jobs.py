@@ -22,7 +22,7 @@ from foliate.plans.articles import articles_checks, normalize_articles
 from foliate.plans.reviews import normalize_reviews
 from foliate.schema import TableSpec
 from foliate.session import remove_path, small_frame
-from foliate.sources import store, timeline
+from foliate.sources import profiles, store, timeline
 from foliate.sources.records import read_datasets
 from foliate.sources.reports import accepted_reports, latest_snapshot, read_report_csv
 from foliate.sources.sinks import schema_docs, write_schema_docs, write_tables
@@ -427,6 +427,26 @@ def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     return united
 
 
+def profile_datasets(spark: SparkSession, target: str, names: Sequence[str]) -> DataFrame:
+    """``dataset, column, rows, nulls, lowest, highest, distinct_values`` of the stored datasets a sync keeps in ``target``.
+
+    Reads only what syncs have written since the last profile; distinct counts are estimates
+    (``sources.profiles``). Timelines, kept by day, and datasets never written are left out.
+    """
+    found = None
+    for name in names:
+        path = f"{target}/{name}"
+        if store.read(spark, path) is None:
+            continue
+        profiles.refresh(spark, path)
+        profiles.vacuum(spark, path)
+        part = profiles.dataset_profile(spark, path).select(F.lit(name).alias("dataset"), "*")
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        raise MissingDataError(f"none of {', '.join(names)} was ever written to {target}")
+    return found
+
+
 def run_schema_catalog(
     spark: SparkSession, out_dir: str, group: str, tables: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:

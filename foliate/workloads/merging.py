@@ -13,7 +13,7 @@ from foliate.operators.merge import high_water, high_water_mark, upsert, upsert_
 from foliate.plans import landing
 from foliate.plans.jobs import sync
 from foliate.session import ensure_checkpoint_dir, small_frame
-from foliate.sources import store, timeline
+from foliate.sources import profiles, store, timeline
 from foliate.sources.records import unwrap_pages
 from foliate.sources.state import load_state, mark_of
 from foliate.streaming.sync_stream import sync_landing, sync_stream
@@ -305,6 +305,63 @@ def merge_counts(spark, sf_dir):
     return small_frame(spark, [(k, getattr(merged, k)) for k in ("added", "changed", "equal")], "metric string, value bigint").where("value > 0")
 
 
+PROFILED_SQL = f"""
+stored AS (
+  SELECT event_id, user_id, CASE WHEN late AND event_type = 'click' THEN 'tap' ELSE event_type END AS event_type, props, 'web' AS channel,
+         CASE WHEN late AND event_type = 'error' THEN 'late' END AS remark
+  FROM (SELECT *, ts > TIMESTAMP '{CUT}' - INTERVAL 1 DAY AS late FROM events)
+)"""
+PROFILED = ("event_id", "user_id", "event_type", "props", "channel", "remark")
+
+
+def _profiled(spark, sf_dir):
+    """The folder of events that were stored and profiled up to a cut, then merged with what came later or says otherwise."""
+    path = work_dir(spark, "profiled")
+    events = table(spark, sf_dir, "events").withColumn("channel", F.lit("web")).withColumn("remark", F.lit(None).cast("string"))
+    cut, kind = F.lit(CUT).cast("timestamp_ntz"), F.col("event_type")
+    store.replace_dataset(events.where(F.col("ts") <= cut).select(*PROFILED), path, ["event_id"])
+    profiles.refresh(spark, path)
+    late = events.where(F.col("ts") > cut - F.expr("INTERVAL 1 DAY")).withColumn("remark", F.when(kind == "error", "late"))
+    late = late.withColumn("event_type", F.when(kind == "click", "tap").otherwise(kind))
+    store.merge_dataset(spark, path, late.select(*PROFILED, "ts"), ["event_id"], ["ts"])
+    return path
+
+
+def _profile_sql(column):
+    text = f"CAST({column} AS VARCHAR)"
+    return (
+        f"SELECT '{column}' AS \"column\", count(*) AS \"rows\", count(*) - count({column}) AS nulls, min({text}) AS lowest, max({text}) AS highest, "
+        f"count(DISTINCT {column}) AS distinct_values, true AS near FROM stored"
+    )
+
+
+@query("profile_over_runs", f"WITH {PROFILED_SQL} " + " UNION ALL ".join(_profile_sql(c) for c in PROFILED))
+def profile_over_runs(spark, sf_dir):
+    """A profile united from what two runs wrote, with exact distinct counts; ``near``: the sketches agree with them within their error."""
+    path = _profiled(spark, sf_dir)
+    sketched = profiles.dataset_profile(spark, path).select("column", F.col("distinct_values").alias("estimate"))
+    exact = profiles.dataset_profile(spark, path, exact=True)
+    near = F.abs(F.col("estimate") - F.col("distinct_values")) <= F.lit(profiles.DISTINCT_ERROR) * F.col("distinct_values")
+    return exact.join(sketched, "column").withColumn("near", near).drop("estimate")
+
+
+def _expected_sql(column, expected):
+    value = "NULL" if expected is None else f"'{expected}'"
+    return (
+        f"SELECT '{column}' AS \"column\", CAST({value} AS VARCHAR) AS expected, count({column}) AS non_null, min({column}) AS lowest, max({column}) AS highest, "
+        f"count({column}) FILTER (WHERE {column} IS DISTINCT FROM CAST({value} AS VARCHAR)) = 0 AS holds FROM stored"
+    )
+
+
+EXPECTED = {"channel": "web", "event_type": "view"}
+
+
+@query("stored_expectations", f"WITH {PROFILED_SQL} " + " UNION ALL ".join(_expected_sql(c, v) for c, v in [("remark", None), *EXPECTED.items()]))
+def stored_expectations(spark, sf_dir):
+    """Columns that should be empty or constant, judged by the kept profile of a dataset that two runs wrote."""
+    return profiles.expected_values(profiles.dataset_profile(spark, _profiled(spark, sf_dir)), ["remark"], EXPECTED)
+
+
 @query(
     "landed_pages",
     """

@@ -174,6 +174,18 @@ def test_stats_window(spark, landing_dir, tmp_path, rows):
     assert rows(kept, "date", "value") == [("2024-06-10", 1), ("2024-06-15", 2), ("2024-06-16", 2)]
 
 
+def test_stored_datasets_are_profiled(spark, landing_dir, tmp_path):
+    target = str(tmp_path / "target")
+    jobs.sync(spark, str(landing_dir), target, TS.format(16), incremental=True, stats=False)
+    stored = store.read(spark, f"{target}/submissions")
+    found = {(r["dataset"], r["column"]): r for r in jobs.profile_datasets(spark, target, ["submissions", "users", "user_details"]).collect()}
+    assert {d for d, _ in found} == {"submissions", "users"}
+    assert {c for d, c in found if d == "submissions"} == set(stored.columns)
+    assert found["submissions", "id"]["distinct_values"] == found["submissions", "id"]["rows"] == stored.count()
+    with pytest.raises(MissingDataError):
+        jobs.profile_datasets(spark, target, ["user_details"])
+
+
 def test_a_failed_run_leaves_the_marks(spark, landing_dir, tmp_path):
     target = str(tmp_path / "target")
     jobs.sync(spark, str(landing_dir), target, TS.format(16), incremental=True, stats=False)
