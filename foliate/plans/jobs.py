@@ -194,20 +194,29 @@ def append_manifest(spark: SparkSession, path: str, records: DataFrame) -> DataF
 class _Run:
     """The datasets of one sync run and what it counted."""
 
-    def __init__(self, spark: SparkSession, target: str, incremental: bool, buckets: int | None, landed_rows: Mapping[str, int]) -> None:
+    def __init__(self, spark: SparkSession, target: str, incremental: bool, buckets: int | None, landed_rows: Mapping[str, int], dealt: bool = False) -> None:
         self.spark, self.target, self.incremental, self.buckets, self.landed_rows = spark, target, incremental, buckets, landed_rows
+        self.dealt = dealt
         self.metrics = RunMetrics()
 
-    def load(self, name: str, records: DataFrame, merge: bool | None = None) -> tuple[DataFrame, DataFrame]:
+    def load(self, name: str, records: DataFrame, merge: bool | None = None, of: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
         """Merge or replace a dataset; returns what this run brought and the whole dataset.
 
         A replaced dataset is written once, straight from the records. A delta is
-        staged first, because it is read for its keys, its rows and its count.
+        staged first, because it is read for its keys, its rows and its count. ``of``: only
+        records whose key is the ``id`` of one of these rows.
         """
         path = f"{self.target}/{name}"
         keys = landing.MERGE_KEYS.get(name, ())
-        if not (self.incremental if merge is None else merge):
-            delta = saved = store.replace_dataset(records.drop("_seq"), path, keys, self.buckets or store.buckets_for(self.landed_rows.get(name, 0)))
+        buckets = self.buckets or store.buckets_for(self.landed_rows.get(name, 0))
+        # Files are kept by their own ids, but looked up by their submissions'.
+        dealt = self.dealt and bool(keys) and name != "submission_files"
+        replaced = not (self.incremental if merge is None else merge)
+        if of is not None:
+            # The rows of a full load are looked up where they are written, so they move once.
+            records = store.of_ids(records, keys[0], of, "id", buckets, dealt) if replaced or dealt else rows_of_ids(records, keys[0], of, "id")
+        if replaced:
+            delta = saved = store.replace_dataset(records.drop("_seq"), path, keys, buckets, dealt=dealt or of is not None)
         else:
             delta = store.replace_dataset(records, f"{self.target}/delta/{name}")
             merged = store.merge_counted(self.spark, path, delta, keys, order_of(delta), self.buckets)
@@ -254,6 +263,8 @@ def sync(
     buckets: int | None = None,
     batch: int | None = None,
     before_commit: Callable[[], None] | None = None,
+    staged: bool = False,
+    dealt: bool = False,
 ) -> DataFrame:
     """Bring the datasets under ``target`` up to date from a landing folder.
 
@@ -262,7 +273,9 @@ def sync(
     ``full`` run replaces everything and resets the marks. Marks are written last,
     and only by incremental and full runs. ``run_ts`` (``Y-m-d H:i:s``) is the one
     time stamp of the run. With ``pages`` the folder holds response pages. ``buckets`` is the number every dataset is kept in; without it, it
-    follows the rows of the first load. The last two versions of a dataset are kept.
+    follows the rows of the first load. ``staged`` says that the landed frames are projections of stored
+    tables, cheap to read again; others are first written to Parquet. ``dealt`` says that they come from
+    ``store.deal`` by their merge keys and ``buckets``, so that none is dealt out again. The last two versions of a dataset are kept.
 
     ``batch`` is the number of a streamed batch: its run is incremental, datasets that did not land
     with it are left alone, users merge, and a number that is committed already changes nothing.
@@ -279,6 +292,8 @@ def sync(
     if stats:
         require_interval(stats_interval)
     incremental = incremental or since is not None or batch is not None
+    if dealt and not (staged and buckets):
+        raise OptionError("dealt frames need staged and buckets")
     if batch is not None and full:
         raise OptionError("a streamed batch cannot be a full run")
 
@@ -297,11 +312,11 @@ def sync(
         repeated.add("run", "repeated_batch", batch)
         return repeated.to_df(spark)
     # Parsed once: most datasets are read several times.
-    landed = {name: None if df is None else store.replace_dataset(df, f"{target}/landed/{name}") for name, df in landed.items()}
+    landed = {name: df if df is None or staged else store.replace_dataset(df, f"{target}/landed/{name}") for name, df in landed.items()}
     rows = {name: df.count() for name, df in landed.items() if df is not None}
     seen = seen_of(state["seen"], "submissions")
     mark = since or (high_water_mark(seen, "last_activity") if incremental else None)
-    run = _Run(spark, target, batch is not None or (incremental and mark is not None), buckets, rows)
+    run = _Run(spark, target, batch is not None or (incremental and mark is not None), buckets, rows, dealt)
 
     def landed_now(name: str) -> bool:
         return landed.get(name) is not None
@@ -321,7 +336,7 @@ def sync(
             changed = skip_unchanged(brought, seen, "id", "dateLastActivity")
             run.metrics.add("submissions", "skipped", brought.count() - changed.count())
         if landed_now("publications"):
-            run.load("publications", rows_of_ids(landed["publications"], "_submission_id", changed, "id"))
+            run.load("publications", landed["publications"], of=changed)
 
     if files and merged is not None and landed_now("submission_files"):
         due = merged
@@ -336,8 +351,7 @@ def sync(
 
     if user_details and users is not None and landed_now("user_details"):
         chosen = users.where(any_child_in(F.col("groups"), "roleId", user_roles or []))
-        records = rows_of_ids(landed["user_details"], "id", chosen, "id")
-        run.load("user_details", records.withColumn("_fetched_at", F.lit(run_ts)), merge=True)
+        run.load("user_details", landed["user_details"].withColumn("_fetched_at", F.lit(run_ts)), merge=True, of=chosen)
 
     stats_ok = False
     if stats and (landed_now("publication_stats") or (batch is not None and any(map(landed_now, TIMELINES)))):

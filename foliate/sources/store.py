@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliate.errors import DataError, OptionError
-from foliate.operators.merge import ARRIVAL, Key, last_wins_of, upsert
+from foliate.operators.merge import ARRIVAL, Key, last_wins_of
 from foliate.schema import quoted
 from foliate.session import list_folder, remove_path, small_frame
 
@@ -31,6 +31,8 @@ POINTER_SCHEMA = "bucket int, dir string, keys string"
 BUCKETS = 16
 #: A dataset whose number of rows is known gets a bucket for each of so many.
 ROWS_PER_BUCKET = 1 << 20
+#: A version is written once and kept beside another one: half as large as by Spark's default for text.
+COMPRESSION = "zstd"
 #: The one directory of a dataset that has no keys, or no rows.
 WHOLE = -1
 
@@ -70,29 +72,61 @@ def read(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def _named(keys: Sequence[Key], buckets: int) -> str:
-    return f"{buckets} buckets of {', '.join(str(k) for k in keys)}" if keys else ""
+    # The function is named too: other ones deal the same keys out otherwise.
+    return f"{buckets} buckets of {', '.join(str(k) for k in keys)} by hash" if keys else ""
+
+
+def _texts(keys: Sequence[Key]) -> list[Column]:
+    """Keys count as text, so that one key has one bucket whatever its width as a number; a null is no key's text."""
+    return [F.coalesce(F.concat(F.lit("="), (k if isinstance(k, Column) else quoted(k)).cast("string")), F.lit("")) for k in keys]
 
 
 def _bucket(keys: Sequence[Key], buckets: int) -> Column:
-    """The bucket of a row. Keys count as text, so that one key has one bucket whatever its width as a number."""
-    texts = [F.coalesce((k if isinstance(k, Column) else quoted(k)).cast("string"), F.lit("\0")) for k in keys]
-    return F.pmod(F.xxhash64(*texts), F.lit(buckets)).cast("int")
+    """The bucket of a row: the partition that ``repartition`` by the texts of its keys deals it to."""
+    return F.pmod(F.hash(*_texts(keys)), F.lit(buckets)).cast("int")
+
+
+def deal(df: DataFrame, keys: Sequence[Key], buckets: int) -> DataFrame:
+    """``df`` with a partition for each bucket of its keys. Projections that keep the keys stay dealt, so narrow rows can move before wide ones are made of them."""
+    return df.repartition(buckets, *_texts(keys))
+
+
+def _met(rows: DataFrame, keys: Sequence[Key], others: DataFrame, other_keys: Sequence[Key], buckets: int, how: str, dealt: bool = False) -> DataFrame:
+    """The rows whose keys are (``left_semi``) or are not (``left_anti``) among those of ``others``, dealt out by bucket: whole rows move once, or not if ``dealt``."""
+    names = [f"__mine{i}" for i in range(len(keys))]
+    mine = rows.withColumns(dict(zip(names, _texts(keys), strict=True)))
+    mine = mine if dealt else mine.repartition(buckets, *names)
+    theirs = [f"__their{i}" for i in range(len(names))]
+    met = others.select(*[t.alias(n) for t, n in zip(_texts(other_keys), theirs, strict=True)]).distinct().repartition(buckets, *theirs)
+    same = None
+    for a, b in zip(names, theirs, strict=True):
+        test = F.col(a) == F.col(b)
+        same = test if same is None else same & test
+    return mine.join(met, same, how).drop(*names)
+
+
+def of_ids(df: DataFrame, key: str, ids: DataFrame, id_col: str, buckets: int, dealt: bool = False) -> DataFrame:
+    """The rows whose key is among ``ids``, dealt out by buckets of the key; null ids are ignored. ``dealt``: they are already."""
+    wanted = ids.select(quoted(id_col).alias("__id")).where(F.col("__id").isNotNull())
+    return _met(df, [key], wanted, ["__id"], buckets, "left_semi", dealt)
 
 
-def _write(df: DataFrame, before: Layout, keys: Sequence[Key], buckets: int, replaced: Iterable[int] | None) -> DataFrame:
-    """Write ``df`` in place of some buckets, or of all, then the pointer; returns the rows of the new state."""
+def _write(df: DataFrame, before: Layout, keys: Sequence[Key], buckets: int, replaced: Iterable[int] | None, dealt: bool = False) -> DataFrame:
+    """Write ``df`` in place of some buckets, or of all, then the pointer; returns the rows of the new state. ``dealt``: a partition of ``df`` is a bucket."""
     spark, path = df.sparkSession, before.path
     dirs = {} if replaced is None else {b: d for b, d in before.dirs.items() if b not in set(replaced) and b != WHOLE}
     target = f"data/{uuid.uuid4().hex}"
     if keys:
+        placed = df.withColumn("__bucket", _bucket(keys, buckets))
         # Rebalance by bucket: few files per bucket, and a large one is split over several tasks.
-        df.withColumn("__bucket", _bucket(keys, buckets)).hint("rebalance", "__bucket").write.partitionBy("__bucket").parquet(f"{path}/{target}")
+        placed = placed if dealt else placed.hint("rebalance", "__bucket")
+        placed.write.option("compression", COMPRESSION).partitionBy("__bucket").parquet(f"{path}/{target}")
         # As many names as there are buckets at most.
         written = spark.read.schema("__bucket int").parquet(f"{path}/{target}").select("__bucket").distinct().collect()
         dirs |= {r[0]: f"{target}/__bucket={r[0]}" for r in written}
     if not dirs:
         target = f"data/{uuid.uuid4().hex}"
-        df.write.parquet(f"{path}/{target}")
+        df.write.option("compression", COMPRESSION).parquet(f"{path}/{target}")
         dirs = {WHOLE: target}
     after = Layout(path, dirs, _named(keys, buckets), before.version + 1)
     pointer = small_frame(spark, [(b, d, after.keys) for b, d in sorted(dirs.items())], POINTER_SCHEMA)
@@ -116,9 +150,9 @@ def recorded_buckets(at: Layout) -> int | None:
     return int(found[1]) if found else None
 
 
-def replace_dataset(df: DataFrame, path: str, keys: Sequence[Key] = (), buckets: int = BUCKETS) -> DataFrame:
-    """Make ``df`` the whole dataset and return it as written. ``keys``: those later merges go by, if there are any."""
-    return _write(df, layout(df.sparkSession, path), keys, buckets, None)
+def replace_dataset(df: DataFrame, path: str, keys: Sequence[Key] = (), buckets: int = BUCKETS, dealt: bool = False) -> DataFrame:
+    """Make ``df`` the whole dataset and return it as written. ``keys``: those later merges go by, if there are any. ``dealt``: ``df`` comes from ``deal`` or ``of_ids``."""
+    return _write(df, layout(df.sparkSession, path), keys, buckets, None, dealt)
 
 
 @dataclass(frozen=True)
@@ -171,27 +205,31 @@ def merge_counted(
     if not touched:
         return Merged(before.read(spark), **sums)
     kept = before.read(spark, touched)
-    merged = upsert(existing.limit(0) if kept is None else kept, new.where(_bucket(keys, buckets).isin(touched)), keys, order_cols)
+    kept = existing.limit(0) if kept is None else kept
+    came = new.where(_bucket(keys, buckets).isin(touched))
+    latest = last_wins_of(came, keys, order_cols).drop(*[c for c in order_cols if c not in existing.columns])
+    merged = _met(kept, keys, came, keys, buckets, "left_anti").unionByName(deal(latest, keys, buckets), allowMissingColumns=True)
     # All buckets keep the stored types.
-    rows = _write(merged.withColumns({f.name: quoted(f.name).cast(f.dataType) for f in existing.schema}), before, keys, buckets, touched)
+    rows = _write(merged.withColumns({f.name: quoted(f.name).cast(f.dataType) for f in existing.schema}), before, keys, buckets, touched, dealt=True)
     return Merged(rows, **sums)
 
 
 def _compared(existing: DataFrame, new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str], buckets: int) -> DataFrame:
     """``bucket`` and ``change`` of each key of the delta: ``added``, ``changed`` or ``equal``, by digests of the rows."""
     stored = existing.schema
-    latest = last_wins_of(new, keys, order_cols)
-    more = [c for c in latest.columns if c not in stored.names and c not in order_cols]
+    more = [c for c in new.columns if c not in stored.names and c not in order_cols]
     names = [f"__k{i}" for i in range(len(keys))]
 
-    def digested(df: DataFrame, digest: str) -> DataFrame:
+    def digested(df: DataFrame, digest: str, *others: Column) -> DataFrame:
         # The text of a row names its fields, so a null can't be taken for another column's.
         cells = [(quoted(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in stored]
-        row = F.sha2(F.to_json(F.struct(*cells)), 256)
-        return df.select(*[(k if isinstance(k, Column) else quoted(k)).alias(n) for k, n in zip(keys, names, strict=True)], _bucket(keys, buckets).alias("bucket"), row.alias(digest))
+        row = F.unhex(F.sha2(F.to_json(F.struct(*cells)), 256))
+        return df.select(*[(k if isinstance(k, Column) else quoted(k)).alias(n) for k, n in zip(keys, names, strict=True)], _bucket(keys, buckets).alias("bucket"), row.alias(digest), *others)
 
-    arrived = digested(latest, "__new")
-    present = digested(existing, "__old").withColumnRenamed("bucket", "__bucket").groupBy(*names).agg(F.min("__old").alias("__old"), F.count("*").alias("__copies"))
+    # Only digests move, of the delta's last rows too.
+    ordered = digested(new, "__new", F.struct(*[quoted(c) for c in order_cols]).alias("__order"))
+    arrived = ordered.groupBy(*names).agg(F.max_by("__new", "__order").alias("__new"), F.min("bucket").alias("bucket"))
+    present = digested(existing, "__old").groupBy(*names).agg(F.min("__old").alias("__old"), F.count("*").alias("__copies"))
     same = None
     for n in names:
         test = arrived[n].eqNullSafe(present[n])

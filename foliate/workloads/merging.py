@@ -121,17 +121,23 @@ def work_dir(spark, name):
 SYNC_CUT = "2000-01-01 00:00:00"
 
 
-def _landed(spark, sf_dir):
+def _landed(spark, sf_dir, buckets):
+    """The datasets as projections of tables that are dealt out by key."""
     return {
-        "submissions": records.submissions(spark, sf_dir),
-        "_submissions": records.submissions_ext(spark, sf_dir),
-        "publications": records.publications(spark, sf_dir).withColumn("_seq", F.col("_seq.l_linenumber")),
-        "users": records.users(spark, sf_dir),
+        "submissions": records.submissions(spark, sf_dir, buckets),
+        "_submissions": records.submissions_ext(spark, sf_dir, buckets),
+        "publications": records.publications(spark, sf_dir, buckets).withColumn("_seq", F.col("_seq.l_linenumber")),
+        "users": records.users(spark, sf_dir, buckets),
         "publication_stats": records.publication_stats(spark, sf_dir),
         "views_timeline": records.views_timeline(spark, sf_dir),
     }
 
 
+def _buckets(spark, sf_dir):
+    """As many as the largest dataset takes, by the footers of its table."""
+    return store.buckets_for(table(spark, sf_dir, "lineitem").count())
+
+
 @query(
     "sync_incremental",
     f"""
@@ -158,15 +164,18 @@ def _synced_twice(spark, sf_dir, stats=False):
     """The folder of a full load up to a cut and an incremental run over everything, in which recent points have other values."""
     target = work_dir(spark, "sync")
     names = (*landing.REQUIRED, "publication_stats", "views_timeline") if stats else landing.REQUIRED
-    # Landed once: both runs read the same Parquet.
-    landed = {name: store.replace_dataset(df, f"{target}-landed/{name}") for name, df in _landed(spark, sf_dir).items() if name in names}
+    # Projections of stored tables: the runs read those, and nothing is written twice.
+    options = {"staged": True, "dealt": True, "buckets": _buckets(spark, sf_dir), "stats": stats}
+    landed = {name: df for name, df in _landed(spark, sf_dir, options["buckets"]).items() if name in names}
+    # An aggregate is worth a copy.
+    landed |= {name: store.replace_dataset(landed[name], f"{target}-landed/{name}") for name in names if name == "views_timeline"}
     everything, activity = landed["submissions"], F.col("dateLastActivity")
     landed["submissions"] = everything.where(activity.isNull() | (activity <= SYNC_CUT)).withColumn("statusLabel", F.lit("first"))
-    sync(spark, landed, target, STATS_RUNS[0], full=True, stats=stats)
+    sync(spark, landed, target, STATS_RUNS[0], full=True, **options)
     landed["submissions"] = everything.withColumn("statusLabel", F.lit("second"))
     if stats:
         landed["views_timeline"] = landed["views_timeline"].withColumn("value", F.col("value") * 10)
-    sync(spark, landed, target, STATS_RUNS[1], incremental=True, stats=stats)
+    sync(spark, landed, target, STATS_RUNS[1], incremental=True, **options)
     return target
 
 
@@ -191,10 +200,11 @@ FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment IN ('BUILD
 def sync_user_details(spark, sf_dir):
     """Details fetched for one role in a full run and for another later: the first ones stay as they were, each stamped with its run."""
     target = work_dir(spark, "details")
-    landed = {**_landed(spark, sf_dir), "user_details": records.user_details(spark, sf_dir)}
-    landed = {name: store.replace_dataset(landed[name], f"{target}-landed/{name}") for name in (*landing.REQUIRED, "user_details")}
-    sync(spark, landed, target, "2024-06-01 00:00:00", full=True, stats=False, user_details=True, user_roles=[4096])
-    sync(spark, landed, target, "2024-06-02 00:00:00", incremental=True, stats=False, user_details=True, user_roles=[16])
+    options = {"staged": True, "dealt": True, "buckets": _buckets(spark, sf_dir), "stats": False, "user_details": True}
+    landed = {**_landed(spark, sf_dir, options["buckets"]), "user_details": records.user_details(spark, sf_dir, options["buckets"])}
+    landed = {name: landed[name] for name in (*landing.REQUIRED, "user_details")}
+    sync(spark, landed, target, "2024-06-01 00:00:00", full=True, user_roles=[4096], **options)
+    sync(spark, landed, target, "2024-06-02 00:00:00", incremental=True, user_roles=[16], **options)
     return store.read(spark, f"{target}/user_details").select("id", F.col("_fetched_at").alias("fetched_at")).distinct()
 
 

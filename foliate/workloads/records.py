@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from foliate.workloads.registry import spread_table, table
+from foliate.workloads.registry import dealt_table, spread_table, table
 
 TEXT_TS = "yyyy-MM-dd HH:mm:ss"
 
@@ -23,7 +23,7 @@ def _en(*parts):
     return F.concat(F.lit('{"en_US":"'), *parts, F.lit('"}'))
 
 
-def submissions(spark, sf_dir):
+def submissions(spark, sf_dir, buckets=None):
     """Orders as submissions with a draft and a current version."""
     key, status, date = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderdate")
     priority = F.substring("o_orderpriority", 1, 1).cast("bigint")
@@ -44,7 +44,8 @@ def submissions(spark, sf_dir):
         F.concat(F.lit("10.1/"), _s(key)).alias("pub-id::doi"),
         F.date_format(date, "yyyy-MM-dd").alias("datePublished"),
     )
-    return spread_table(spark, sf_dir, "orders").select(
+    rows = dealt_table(spark, sf_dir, "orders", "o_orderkey", buckets) if buckets else spread_table(spark, sf_dir, "orders")
+    return rows.select(
         key.alias("id"),
         F.when(status == "F", "Published").when(status == "O", "Submission").otherwise("Review").alias("statusLabel"),
         F.date_format(date, TEXT_TS).alias("dateSubmitted"),
@@ -56,7 +57,7 @@ def submissions(spark, sf_dir):
     )
 
 
-def publications(spark, sf_dir):
+def publications(spark, sf_dir, buckets=None):
     """Order lines as version details; the last line of an order is its detail."""
     order, number = F.col("l_orderkey"), F.col("l_linenumber").cast("bigint")
     part, supplier, flag = _s(F.col("l_partkey")), _s(F.col("l_suppkey")), F.col("l_returnflag")
@@ -83,7 +84,8 @@ def publications(spark, sf_dir):
         F.when(flag == "R", "").when(flag == "A", F.concat(F.lit("desk"), F.pmod(F.col("l_suppkey"), F.lit(25)).cast("string"), F.lit("@example.org"))).alias("email"),
     )
     ties = ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_extendedprice"]
-    return spread_table(spark, sf_dir, "lineitem").select(
+    rows = dealt_table(spark, sf_dir, "lineitem", "l_orderkey", buckets) if buckets else spread_table(spark, sf_dir, "lineitem")
+    return rows.select(
         order.alias("_submission_id"),
         (order * 10 + number).alias("id"),
         F.when(F.col("l_linestatus") == "F", 3).otherwise(1).cast("bigint").alias("status"),
@@ -149,7 +151,7 @@ submissions AS (
 )"""
 
 
-def submissions_ext(spark, sf_dir):
+def submissions_ext(spark, sf_dir, buckets=None):
     """Events as extended records: two review rounds and two assignments each."""
     kind, ts = F.col("event_type"), F.col("ts")
     hour, minute = F.hour(ts).cast("bigint"), F.minute(ts).cast("bigint")
@@ -172,7 +174,8 @@ def submissions_ext(spark, sf_dir):
 
     two = F.lit(2).cast("bigint")
     later = F.when(kind == "purchase", F.lit(3)).otherwise(F.lit(2)).cast("bigint")
-    return table(spark, sf_dir, "events").select(
+    rows = dealt_table(spark, sf_dir, "events", "event_id", buckets) if buckets else table(spark, sf_dir, "events")
+    return rows.select(
         F.col("event_id").alias("id"),
         F.date_format(ts, TEXT_TS).alias("dateLastActivity"),
         F.when(kind != "error", F.array(rnd(hour, two, "Internal"), rnd(minute, later, "External"))).alias("reviewRounds"),
@@ -189,7 +192,7 @@ assignments AS (
 )"""
 
 
-def users(spark, sf_dir):
+def users(spark, sf_dir, buckets=None):
     """Customers as accounts; those of one market segment share the email of their nation."""
     key, segment, nation = F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_nationkey")
     role = F.when(segment == "BUILDING", 4096).when(segment == "MACHINERY", 16).otherwise(65536).cast("bigint")
@@ -202,7 +205,8 @@ def users(spark, sf_dir):
     reader = F.struct(
         F.lit(99).cast("bigint").alias("id"), F.lit("Readers").alias("name"), F.lit("").alias("abbrev"), F.lit(1048576).cast("bigint").alias("roleId")
     )
-    return table(spark, sf_dir, "customer").select(
+    rows = dealt_table(spark, sf_dir, "customer", "c_custkey", buckets) if buckets else table(spark, sf_dir, "customer")
+    return rows.select(
         key.alias("id"),
         F.col("c_name").alias("userName"),
         F.when(segment == "BUILDING", F.concat(F.lit("desk"), _s(nation), F.lit("@example.org")))
@@ -225,10 +229,11 @@ accounts AS (
 )"""
 
 
-def user_details(spark, sf_dir):
+def user_details(spark, sf_dir, buckets=None):
     """Orders as account details; the newest order of a customer is the valid one."""
     status, date = F.col("o_orderstatus"), F.col("o_orderdate")
-    return spread_table(spark, sf_dir, "orders").select(
+    rows = dealt_table(spark, sf_dir, "orders", "o_custkey", buckets) if buckets else spread_table(spark, sf_dir, "orders")
+    return rows.select(
         F.col("o_custkey").alias("id"),
         F.when(status == "F", "").otherwise(status).alias("country"),
         F.when(status == "P", F.to_json(F.struct(F.lit("").alias("en_US"), F.col("o_orderpriority").alias("de_DE"))))

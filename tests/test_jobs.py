@@ -1,6 +1,7 @@
 """The jobs end to end, on landed files in a temporary folder."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -202,6 +203,22 @@ def test_a_failed_run_leaves_the_marks(spark, landing_dir, tmp_path):
     assert state.seen_of(loaded["seen"], "submissions").count() == 3
 
 
+def test_staged_frames_are_not_written_again(spark, rows, tmp_path):
+    def frames(n):
+        ids = store.deal(spark.range(n), ["id"], 16)
+        found = {name: ids.select(*[(F.col("id") if f.name in ("id", "_submission_id") else F.lit(None)).cast(f.dataType).alias(f.name) for f in landing.schema_of(name)]) for name in landing.REQUIRED}
+        return {**found, "submissions": found["submissions"].withColumn("dateLastActivity", F.lit(TS.format(n // 10)))}
+
+    target, seen = str(tmp_path / "data"), []
+    options = {"stats": False, "staged": True, "dealt": True, "buckets": 16, "before_commit": lambda: seen.append(os.path.exists(f"{target}/landed"))}
+    jobs.sync(spark, frames(20), target, TS.format(3), full=True, **options)
+    got = counts(jobs.sync(spark, frames(30), target, TS.format(4), incremental=True, **options))
+    assert seen == [False, False] and got[("publications", "added")] == 10
+    assert rows(store.read(spark, f"{target}/publications"), "_submission_id") == [(i,) for i in range(30)]
+    with pytest.raises(OptionError, match="dealt frames need"):
+        jobs.sync(spark, frames(20), target, TS.format(5), dealt=True)
+
+
 def test_download_plan_job(spark, rows, tmp_path):
     files = spark.createDataFrame(
         [(1, 1, 10, 2, "a", "u"), (1, 2, 11, 11, "b", "u"), (2, 3, 12, 4, "c", "u")],

@@ -142,6 +142,30 @@ def test_a_merge_rewrites_only_the_buckets_of_its_keys(spark, tmp_path):
         store.merge_dataset(spark, path, wide, ["id"], ["v"], buckets=8)
 
 
+def test_rows_dealt_by_bucket_move_once(spark, rows, tmp_path):
+    path, plain = str(tmp_path / "d"), spark.range(40_000).selectExpr("id as k", "if(id % 3 = 0, null, id) as n", "cast(id as string) as wide")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = spark.range(0, 50_000, 2).withColumnRenamed("id", "i")
+        dealt = store.deal(plain.select("k", "n"), ["k"], 16).withColumn("wide", F.repeat("k", 3)).withColumnRenamed("k", "key")
+        found = store.of_ids(dealt, "key", ids, "i", 16, dealt=True)
+        stored = store.replace_dataset(found, path, ["key"], 16, dealt=True)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One exchange of the rows, before they are wide; the others are of ids.
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "__mine" in line]
+    # Every bucket is written by the one task that its rows were dealt to.
+    assert stored.select("_metadata.file_path").distinct().count() == 16 == len(store.layout(spark, path).dirs)
+    assert rows(stored.select("key")) == [(i,) for i in range(0, 40_000, 2)]
+    # A null and text keys are looked for in the buckets they are in.
+    nulls = str(tmp_path / "n")
+    store.replace_dataset(plain.select("n", "k").where("k < 9"), nulls, ["n"])
+    merged = store.merge_counted(spark, nulls, spark.createDataFrame([(None, 70), (4, 70), (50, 70)], "n int, k int"), ["n"], ["k"])
+    assert (merged.added, merged.changed, merged.equal) == (1, 2, 0)
+    assert rows(merged.rows) == [(None, 70), (1, 1), (2, 2), (4, 70), (5, 5), (7, 7), (8, 8), (50, 70)]
+
+
 def test_state(spark, rows, tmp_path):
     directory = str(tmp_path / "state")
     empty = state.load_state(spark, directory)
