@@ -38,7 +38,10 @@ def line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near-duplicates stays, the one with the smallest id: five-word shingles, similarity 0.8 or more.
+
+    SimHash fingerprints within four bits are candidates, MinHash adds those that 64 bits can't tell; whole sets decide.
+    """
     return near_dup.keep_one_per_component(docs)
 
 

@@ -1,8 +1,9 @@
 """Near-duplicates by shared word shingles: two texts link at a Jaccard similarity of 0.8 or more.
 
-A text stands for the set of its windows of five words. Candidates come from MinHash:
-of 200 minima of a set, five make a band, and texts meet where a band of theirs is
-equal. Two sets of similarity 0.8 have no band in common with a probability of
+A text stands for the set of its windows of five words. Texts meet where their SimHash
+fingerprints differ in four bits or fewer, found by the anchors of ``simhash``. At a similarity of 0.8
+64 bits differ in ten on average, so the fingerprints' candidates are joined by those of MinHash:
+of 200 minima of a set, five make a band, and texts meet where a band of theirs is equal. Two sets of similarity 0.8 have no band in common with a probability of
 (1 - 0.8^5)^40, one in eight million, and closer ones more seldom. What meets is
 compared by its whole sets before it is linked, so no link is below the threshold.
 
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 
 from foliate.llm.frames import map_texts, remove, store, written
 from foliate.llm.graph import components
-from foliate.llm.simhash import keep_rows, row_key
+from foliate.llm.simhash import THRESHOLD as BITS
+from foliate.llm.simhash import fingerprint_links, fingerprints, keep_rows, row_key
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -91,7 +93,7 @@ def _sketch_task() -> Callable[[list[str | None]], dict[str, Sequence]]:
         if full:
             for i, keys in zip(full, band_keys(minima([sets[i] for i in full])).view(np.int64), strict=True):
                 bands[i] = keys
-        return {"node": nodes, "bands": bands}
+        return {"node": nodes, "bands": bands, "fp": fingerprints(texts).view(np.int64)}
 
     return sketch
 
@@ -126,67 +128,86 @@ def shared(one: np.ndarray, others: Sequence[np.ndarray]) -> np.ndarray:
     return np.add.reduceat(found, np.cumsum(lengths) - lengths, dtype=np.int64)
 
 
-def forest_links(sets: Sequence[np.ndarray], block: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+def forest_links(sets: Sequence[np.ndarray], block: np.ndarray, threshold: float, fps: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that connect all sets that meet and are similar enough; of two blocks only sets of different ones are compared.
 
-    A pair is looked at where its first common band is. Sizes and minima rule most pairs out
+    Pairs of near fingerprints come first: their sizes can rule them out, then the sets decide. Any
+    other pair is looked at where its first common band is. Sizes and minima rule most pairs out
     before the sets are compared, and pairs inside a component are left out.
     """
     of = minima(sets)
     bands = band_keys(of)
     sizes = np.array([len(s) for s in sets])
     two, forest, links = block.any() and not block.all(), Forest(len(sets)), []
+
+    def open_to(a: int, rest: np.ndarray) -> np.ndarray:
+        rest = rest[forest.label[rest] != forest.label[a]]
+        if two:
+            rest = rest[block[rest] != block[a]]
+        return rest[np.minimum(sizes[rest], sizes[a]) >= threshold * np.maximum(sizes[rest], sizes[a])]
+
+    def compare(a: int, rest: np.ndarray) -> None:
+        if len(rest):
+            common = shared(sets[a], [sets[i] for i in rest])
+            near = common / (sizes[rest] + sizes[a] - common) >= threshold
+            links.extend((int(a), int(i)) for i in rest[near] if forest.link(a, i))
+
+    for a in range(len(sets) - 1 if fps is not None else 0):
+        compare(a, open_to(a, a + 1 + np.flatnonzero(np.bitwise_count(fps[a + 1 :] ^ fps[a]) <= BITS)))
     for b in range(BANDS):
         order = np.argsort(bands[:, b], kind="stable")
         ends = np.flatnonzero(np.diff(bands[order, b])) + 1
         for place in np.split(order, ends):
             for k, a in enumerate(place[:-1]):
-                rest = place[k + 1 :]
-                rest = rest[forest.label[rest] != forest.label[a]]
-                if two:
-                    rest = rest[block[rest] != block[a]]
-                rest = rest[np.minimum(sizes[rest], sizes[a]) >= threshold * np.maximum(sizes[rest], sizes[a])]
+                rest = open_to(a, place[k + 1 :])
                 rest = rest[~(bands[rest, :b] == bands[a, :b]).any(axis=1)]
-                rest = rest[(of[rest] == of[a]).sum(axis=1) >= AGREEING]
-                if not len(rest):
-                    continue
-                common = shared(sets[a], [sets[i] for i in rest])
-                near = common / (sizes[rest] + sizes[a] - common) >= threshold
-                links += [(int(a), int(i)) for i in rest[near] if forest.link(a, i)]
+                compare(a, rest[(of[rest] == of[a]).sum(axis=1) >= AGREEING])
     return links
 
 
-def _clouds(prints: DataFrame) -> DataFrame:
-    """``node`` and ``root`` of the nodes that meet others; the root is the least node of a cloud."""
+def _nodes(prints: DataFrame) -> DataFrame:
+    """Each node with one of its rows and the fingerprint of that row's text."""
+    return prints.groupBy("node").agg(F.min("key").alias("one"), F.min_by("fp", "key").alias("fp"))
+
+
+def _clouds(prints: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node`` and ``root`` of the nodes that meet others, by fingerprint or band; the root is the least node of a cloud."""
+    at = nodes.groupBy("fp").agg(F.min("node").alias("least"))
+    equal = nodes.join(at, "fp").where("node != least").select(F.col("node").alias("u"), F.col("least").alias("v"))
+    one, other = (at.select(F.col("fp").alias(link), F.col("least").alias(f"node_{link}")) for link in ("u", "v"))
+    near = fingerprint_links(at).join(one, "u").join(other, "v").select(F.col("node_u").alias("u"), F.col("node_v").alias("v"))
     places = prints.select(F.explode("bands").alias("band"), "node")
     met = places.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most")
-    return components(places.join(met, "band").where("node != least").select(F.col("node").alias("u"), F.col("least").alias("v")).distinct())
+    banded = places.join(met, "band").where("node != least").select(F.col("node").alias("u"), F.col("least").alias("v"))
+    return components(equal.unionAll(near).unionAll(banded).distinct())
 
 
-def _sets(keyed: DataFrame, prints: DataFrame, clouds: DataFrame) -> DataFrame:
-    """``root``, ``node`` and the whole set of each node of a cloud, from the text of one of its rows."""
-    nodes = prints.groupBy("node").agg(F.min("key").alias("one")).join(clouds, "node")
+def _sets(keyed: DataFrame, nodes: DataFrame, clouds: DataFrame) -> DataFrame:
+    """``root``, ``node``, fingerprint and the whole set of each node of a cloud, from the text of one of its rows."""
+    nodes = nodes.join(clouds, "node")
     mine, one = F.col("key"), F.col("one")
-    texts = keyed.join(nodes, (mine["row"] == one["row"]) & mine["id"].eqNullSafe(one["id"])).select("node", "root", "text")
-    return map_texts(texts.groupBy("node", "root").agg(F.min("text").alias("text")), _set_task, "hashes array<bigint>")
+    texts = keyed.join(nodes, (mine["row"] == one["row"]) & mine["id"].eqNullSafe(one["id"])).select("node", "root", "fp", "text")
+    return map_texts(texts.groupBy("node", "root", "fp").agg(F.min("text").alias("text")), _set_task, "hashes array<bigint>")
 
 
 def _compare(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, nodes, sets, blocks = None, [], [], []
+        group, nodes, sets, blocks, fps = None, [], [], [], []
 
         def links() -> pa.RecordBatch:
-            found = forest_links(sets, np.array(blocks, bool), threshold) if len(sets) > 1 else []
+            found = forest_links(sets, np.array(blocks, bool), threshold, np.array(fps, np.int64).view(np.uint64)) if len(sets) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([nodes[pair[i]] for pair in found], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
         for batch in batches:
             hashes = batch.column("hashes")
             flat, at = hashes.values.to_numpy().view(np.uint64), hashes.offsets.to_numpy()
             keys = zip(*(batch.column(c).to_pylist() for c in ("root", "low", "high")), strict=True)
-            for i, (key, node, block) in enumerate(zip(keys, batch.column("node").to_pylist(), batch.column("block").to_pylist(), strict=True)):
+            rows = zip(keys, *(batch.column(c).to_pylist() for c in ("node", "block", "fp")), strict=True)
+            for i, (key, node, block, fp) in enumerate(rows):
                 if key != group:
                     yield links()
-                    group, nodes, sets, blocks = key, [], [], []
+                    group, nodes, sets, blocks, fps = key, [], [], [], []
+                fps.append(fp)
                 nodes.append(node)
                 blocks.append(block != key[1])
                 sets.append(flat[at[i] : at[i + 1]].copy())
@@ -197,13 +218,14 @@ def _compare(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
 
 def shingle_links(keyed: DataFrame, prints: DataFrame, threshold: float = THRESHOLD, block_hashes: int = BLOCK_HASHES) -> DataFrame:
     """Links ``(u, v)`` that connect all nodes that meet and are similar enough."""
-    spark, path = keyed.sparkSession, store(_sets(keyed, prints, _clouds(prints)), "sets")
+    nodes = _nodes(prints)
+    spark, path = keyed.sparkSession, store(_sets(keyed, nodes, _clouds(prints, nodes)), "sets")
     sets = spark.read.parquet(path)
     blocks = sets.groupBy("root").agg(F.ceil(F.sum(F.size("hashes").cast("bigint")) / F.lit(block_hashes)).cast("int").alias("blocks")).where("blocks > 1")
     dealt = sets.join(blocks, "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least("block", other).alias("low"), F.greatest("block", other).alias("high")))
-    rows = dealt.select("root", "node", "block", "hashes", F.explode(pairs).alias("pair")).select("root", "pair.low", "pair.high", "block", "node", "hashes")
+    rows = dealt.select("root", "node", "block", "fp", "hashes", F.explode(pairs).alias("pair")).select("root", "pair.low", "pair.high", "block", "node", "fp", "hashes")
     grouped = rows.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "node")
     links = written(grouped.mapInArrow(_compare(threshold), "u bigint, v bigint"), "links")
     remove(spark, path)
@@ -217,7 +239,7 @@ def keep_one_per_component(docs: DataFrame, threshold: float = THRESHOLD, id_col
     stays. Rows without an id come after all others. Null and wordless texts are equal.
     """
     keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    prints = written(map_texts(keyed, _sketch_task, "node bigint, bands array<bigint>"), "prints")
+    prints = written(map_texts(keyed, _sketch_task, "node bigint, bands array<bigint>, fp bigint"), "prints")
     links = shingle_links(keyed, prints, threshold, block_hashes)
     roots = components(links).withColumnRenamed("node", "member")
     nodes = prints.groupBy("node").agg(F.min("key").alias("least"))

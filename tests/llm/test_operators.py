@@ -331,6 +331,23 @@ def test_a_large_group_is_compared_within_its_components(monkeypatch):
     assert sum(compared) < 60 * 800
 
 
+def test_texts_of_near_fingerprints_meet_without_a_band(spark, monkeypatch):
+    rng = random.Random(3)
+    base = prose(rng, 400)
+    texts = [base, edited(rng, base, 1), prose(rng, 400)]
+    fps = simhash.fingerprints(texts)
+    assert np.bitwise_count(fps[0] ^ fps[1]) <= simhash.THRESHOLD < np.bitwise_count(fps[0] ^ fps[2])
+    rows = [((False, i, i), i + 1, [], int(fp)) for i, fp in enumerate(fps.view(np.int64))]
+    prints = spark.createDataFrame(rows, "key struct<none: boolean, id: bigint, row: bigint>, node bigint, bands array<bigint>, fp bigint")
+    assert sorted(map(tuple, near_dup._clouds(prints, near_dup._nodes(prints)).collect())) == [(1, 1), (2, 1)]
+    sets = [near_dup.shingles(t) for t in texts]
+    monkeypatch.setattr(near_dup, "band_keys", lambda of: np.arange(len(of) * near_dup.BANDS, dtype=np.uint64).reshape(len(of), -1))
+    assert near_dup.forest_links(sets, np.zeros(3, bool), 0.8) == []
+    assert near_dup.forest_links(sets, np.zeros(3, bool), 0.8, fps) == [(0, 1)]
+    # Near fingerprints alone don't link.
+    assert near_dup.forest_links(sets, np.zeros(3, bool), 0.8, np.zeros(3, np.uint64)) == [(0, 1)]
+
+
 def test_one_document_of_similar_ones_stays(spark):
     rng = random.Random(2)
     a, b = prose(rng, 80), prose(rng, 80)
