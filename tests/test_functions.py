@@ -1,5 +1,7 @@
 """Column expressions against hand-written values."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +151,14 @@ def test_counts_and_membership(spark):
     assert one(spark, nested.array_len_or_null(F.col("x")), ddl, *values) == [2, 1, None, None]
     assert one(spark, nested.any_child_in(F.col("x"), "roleId", [4096, 1]), ddl, *values) == [True, False, False, False]
     assert one(spark, nested.any_child_in(F.col("x"), "roleId", []), ddl, *values) == [True] * 4
+
+
+def test_safe_names_keep_the_ascii_characters_only(spark):
+    signs = [chr(i) for i in range(1, 0x3100)] + ["\U0001f600", "a \u00e9\u0660b", "__"]
+    found = spark.createDataFrame([(s,) for s in signs], "s string").select("s", text.safe_name(F.concat(F.lit("a"), "s", F.lit("b"))).alias("name")).collect()
+    assert {r["s"]: r["name"] for r in found} == {s: re.sub("[^A-Za-z0-9._-]+", "_", f"a{s}b") for s in signs}
+
+
+def test_unsafe_characters_are_one_class_test():
+    # Ranges are tried one after the other for each character; a predefined class is one look-up.
+    assert "A-Z" not in text.UNSAFE_NAME_CHARS and "a-z" not in text.UNSAFE_NAME_CHARS
