@@ -56,24 +56,27 @@ def normalize_submissions(
 ) -> DataFrame:
     """One row per submission, its version details and its latest review round.
 
-    The detail and extended sides are cut down to the few scalars the table needs
+    The detail and extended sides are cut down to the few values the table needs
     before anything is shuffled; author arrays never travel. All three inputs meet
     on the submission id, so each is exchanged once. ``unique_sides`` skips the
     last-one-wins step for datasets whose keys are known to be unique.
     """
-    authors = F.col("authors")
-    first_author = first_child(authors)
+    first_author = first_child(F.col("authors"))
     details = publications.select(
         F.col("_submission_id"),
-        localized(F.col("abstract")).alias("abstract"),
-        join_list(F.col("keywords")).alias("keywords"),
-        localized(F.col("recommendedReviewers")).alias("recommended_reviewers"),
-        localized(first_author["familyName"]).alias("author_name"),
+        "abstract",
+        "keywords",
+        F.col("recommendedReviewers").alias("recommended_reviewers"),
+        first_author["familyName"].alias("author_name"),
         first_author["email"].alias("author_email"),
-        array_len_or_null(authors).alias("author_count"),
+        array_len_or_null(F.col("authors")).alias("author_count"),
         F.col("issueId").alias("issue_id"),
         *_carry_seq(publications),
     )
+    parsed = {c: localized(F.col(c)) for c in ("abstract", "recommended_reviewers", "author_name")} | {"keywords": join_list(F.col("keywords"))}
+    # Values are parsed once the last record is picked. Without a place of arrival the parsed values say which is the last.
+    late = "_seq" in publications.columns
+    details = details if late else details.withColumns(parsed)
 
     current = current_child(F.col("publications"), "id", F.col("currentPublicationId"))
     base = submissions.withColumn("__current", current).select(
@@ -91,6 +94,7 @@ def normalize_submissions(
     )
     base = dimension_label(base, "__section_id", "submission_type", sections).drop("__section_id")
     joined = left_join_last(base, details, "submission_id", "_submission_id", order_of(details), unique_sides)
+    joined = joined.withColumns(parsed) if late else joined
     # Cleaned once a submission's last record is picked, so no text is cleaned to be dropped.
     joined = clean_html(joined.drop("_seq"), {"abstract": "text", "recommended_reviewers": "lines"})
     if submissions_ext is None:
