@@ -221,7 +221,8 @@ FROM targets t LEFT JOIN manifest m ON m.file_id = t.file_id WHERE m.file_id IS
 def download_rounds(spark, sf_dir):
     """A plan, what came of it written down, and the plan after that, with the reason why a file is still due."""
     folder = f"{ensure_checkpoint_dir(spark)}/downloads-{uuid.uuid4()}"
-    files = store.replace_dataset(records.submission_files(spark, sf_dir), f"{folder}/landed")
+    # A projection of a stored table, which both plans read.
+    files = records.submission_files(spark, sf_dir)
     first = plan_downloads(spark, files, folder)
     record_downloads(spark, folder, first.select("file_id", "path", F.when(F.col("file_id") % 2 == 1, "web page").alias("reason")))
     refused = store.read(spark, f"{folder}/refused").select(F.col("file_id").alias("__refused"), "reason")

@@ -1,5 +1,6 @@
 """Every named query against its SQL, on the smallest tables."""
 
+import glob
 import os
 import sys
 
@@ -31,3 +32,9 @@ def test_entry_points(spark):
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
     assert set(QUERIES) == set(ORACLES)
     assert entry_points.entry(spark).columns[0] == "submission_id"
+
+
+def test_download_rounds_write_no_copy_of_the_files(spark):
+    QUERIES["download_rounds"](spark, SF_DIR)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    assert glob.glob(f"{folder}/downloads-*/plan") and not glob.glob(f"{folder}/downloads-*/landed")
