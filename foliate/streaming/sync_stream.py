@@ -97,7 +97,7 @@ def merge_batch(
     path = f"{folder}/batch={batch_id}"
     if "_SUCCESS" not in list_folder(spark, path):
         staged = batch.withColumns({"row": F.monotonically_increasing_id(), "run_ts": F.lit(clock(batch_id))})
-        staged.write.mode("overwrite").partitionBy("dataset").parquet(path)
+        staged.write.mode("overwrite").option("compression", store.COMPRESSION).partitionBy("dataset").parquet(path)
     schema = T.StructType.fromDDL("value string, landed string, row bigint, run_ts string, dataset string")
     staged = spark.read.schema(schema).parquet(path)
     present = {r["dataset"]: r["run_ts"] for r in staged.groupBy("dataset").agg(F.min("run_ts").alias("run_ts")).collect()}

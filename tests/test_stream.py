@@ -95,3 +95,11 @@ def test_records_come_out_of_pages_one_by_one(spark, rows, tmp_path):
         (folder / "submissions" / "p9.json").write_text(text or " ")
         with pytest.raises(Exception, match="unexpected response shape"):
             records.read_pages(spark, str(folder / "submissions"), landing.schema_of("submissions")).collect()
+
+
+def test_staged_texts_are_packed(spark, rows, tmp_path):
+    target = str(tmp_path / "data")
+    texts = [(json.dumps({"id": i, "dateLastActivity": "2024-06-01 00:00:00"}), "2024-06-01 f", "submissions") for i in range(5)]
+    merge_batch(spark.createDataFrame(texts, "value string, landed string, dataset string"), 0, target, stats=False)
+    assert all(p.name.endswith(f".{store.COMPRESSION}.parquet") for p in (tmp_path / "data" / "staged").rglob("*.parquet") if p.is_file())
+    assert rows(store.read(spark, f"{target}/submissions"), "id") == [(i,) for i in range(5)]
