@@ -203,7 +203,8 @@ class _Run:
         """Merge or replace a dataset; returns what this run brought and the whole dataset.
 
         A replaced dataset is written once, straight from the records. A delta is
-        staged first, because it is read for its keys, its rows and its count. ``of``: only
+        staged first, because it is read for its keys, its rows and its count; of dealt records
+        only the last of each key, and what this run brought are the records themselves. ``of``: only
         records whose key is the ``id`` of one of these rows.
         """
         path = f"{self.target}/{name}"
@@ -212,22 +213,30 @@ class _Run:
         # Files are kept by their own ids, but looked up by their submissions'.
         dealt = self.dealt and bool(keys) and name != "submission_files"
         replaced = not (self.incremental if merge is None else merge)
+        if dealt and not replaced:
+            last = store.last_of(records, keys, order_of(records), buckets, of)
+            last = store.replace_dataset(last, f"{self.target}/delta/{name}", keys, buckets, dealt=True)
+            merged = store.merge_counted(self.spark, path, last.drop(store.RECORDS), keys, order_of(records), buckets, latest=True)
+            fetched = last.agg(F.sum(store.RECORDS)).first()[0] or 0
+            return records, self._counted(name, merged, fetched)
         if of is not None:
             # The rows of a full load are looked up where they are written, so they move once.
-            records = store.of_ids(records, keys[0], of, "id", buckets, dealt) if replaced or dealt else rows_of_ids(records, keys[0], of, "id")
+            records = store.of_ids(records, keys[0], of, "id", buckets, dealt) if replaced else rows_of_ids(records, keys[0], of, "id")
         if replaced:
-            delta = saved = store.replace_dataset(records.drop("_seq"), path, keys, buckets, dealt=dealt or of is not None)
-        else:
-            delta = store.replace_dataset(records, f"{self.target}/delta/{name}")
-            merged = store.merge_counted(self.spark, path, delta, keys, order_of(delta), self.buckets)
-            saved = merged.rows
-            for metric in ("added", "changed", "equal"):
-                self.metrics.add(name, metric, getattr(merged, metric))
-        # Of written Parquet: read from the footers, not the rows.
-        self.metrics.add(name, "fetched", delta.count())
-        self.metrics.add(name, "total", saved.count())
-        store.vacuum(self.spark, path)
-        return delta, saved
+            saved = store.replace_dataset(records.drop("_seq"), path, keys, buckets, dealt=dealt or of is not None)
+            return saved, self._counted(name, store.Merged(saved, 0, 0, 0), saved.count(), ())
+        delta = store.replace_dataset(records, f"{self.target}/delta/{name}")
+        merged = store.merge_counted(self.spark, path, delta, keys, order_of(delta), self.buckets)
+        return delta, self._counted(name, merged, delta.count())
+
+    def _counted(self, name: str, merged: store.Merged, fetched: int, changes: Sequence[str] = ("added", "changed", "equal")) -> DataFrame:
+        """The rows of a dataset that was just written. Their number is read from the footers, not the rows."""
+        for metric in changes:
+            self.metrics.add(name, metric, getattr(merged, metric))
+        self.metrics.add(name, "fetched", fetched)
+        self.metrics.add(name, "total", merged.rows.count())
+        store.vacuum(self.spark, f"{self.target}/{name}")
+        return merged.rows
 
     def load_points(self, name: str, points: DataFrame) -> None:
         """Merge or replace a timeline, which is kept by granularity and day."""
@@ -313,7 +322,7 @@ def sync(
         return repeated.to_df(spark)
     # Parsed once: most datasets are read several times.
     landed = {name: df if df is None or staged else store.replace_dataset(df, f"{target}/landed/{name}") for name, df in landed.items()}
-    rows = {name: df.count() for name, df in landed.items() if df is not None}
+    rows = {} if buckets else {name: df.count() for name, df in landed.items() if df is not None}
     seen = seen_of(state["seen"], "submissions")
     mark = since or (high_water_mark(seen, "last_activity") if incremental else None)
     run = _Run(spark, target, batch is not None or (incremental and mark is not None), buckets, rows, dealt)
@@ -327,6 +336,9 @@ def sync(
     brought = merged = None
     if landed_now("submissions"):
         brought, merged = run.load("submissions", newer("submissions"))
+        if dealt and run.incremental:
+            # What is asked of it below, once.
+            brought = store.replace_dataset(brought.select("id", "dateLastActivity"), f"{target}/delta/brought")
     if landed_now("_submissions"):
         run.load("_submissions", newer("_submissions"))
 

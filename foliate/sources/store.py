@@ -6,7 +6,8 @@ it is written last, so a run that dies leaves readers on the previous state. A
 pointer is never overwritten: of two writers that start from one version the second is
 refused, on file systems where making a folder that exists fails. A merge rewrites only the
 buckets that hold a row it adds or changes; rows of the delta that are stored as they come
-rewrite nothing. ``vacuum`` removes what only older versions name.
+rewrite nothing. Stored rows aren't shuffled for it: the places of those that are replaced go
+out to the scan, a bit for each row. ``vacuum`` removes what only older versions name.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -35,6 +37,15 @@ ROWS_PER_BUCKET = 1 << 20
 COMPRESSION = "zstd"
 #: The one directory of a dataset that has no keys, or no rows.
 WHOLE = -1
+#: A task whose rows come bucket after bucket keeps so many files open instead of sorting its rows by bucket.
+OPEN_FILES = 64
+#: Up to so many stored rows, the places of replaced ones are broadcast (64 MB); beyond, or with more files a bucket, stored rows are dealt out again.
+PLACED_ROWS = 1 << 29
+FILES_PER_BUCKET = 8
+#: A bitmap of Spark's holds so many bits.
+BITS = 1 << 15
+#: How many records a row of ``last_of`` stands for.
+RECORDS = "__records"
 
 
 @dataclass(frozen=True)
@@ -111,8 +122,31 @@ def of_ids(df: DataFrame, key: str, ids: DataFrame, id_col: str, buckets: int, d
     return _met(df, [key], wanted, ["__id"], buckets, "left_semi", dealt)
 
 
+def last_of(df: DataFrame, keys: Sequence[Key], order_cols: Sequence[str], buckets: int, ids: DataFrame | None = None) -> DataFrame:
+    """The last row per key of a frame from ``deal``, with the number of its records, where it was dealt to: nothing moves. ``ids``: only rows whose first key is an ``id`` of theirs."""
+    if ids is not None:
+        df = of_ids(df, keys[0], ids, "id", buckets, dealt=True)
+    names = [f"__mine{i}" for i in range(len(keys))]
+    cells = F.struct(*[quoted(c) for c in df.columns])
+    order = F.struct(*[quoted(c) for c in order_cols])
+    dealt = df.select(*[t.alias(n) for t, n in zip(_texts(keys), names, strict=True)], cells.alias("__row"), order.alias("__order"))
+    return dealt.groupBy(*names).agg(F.max_by("__row", "__order").alias("__row"), F.count("*").alias(RECORDS)).select("__row.*", RECORDS)
+
+
+@contextmanager
+def _open_files(spark: SparkSession) -> Iterator[None]:
+    """Tasks that meet few buckets write them without a sort, which would hold or spill all their rows."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _write(df: DataFrame, before: Layout, keys: Sequence[Key], buckets: int, replaced: Iterable[int] | None, dealt: bool = False) -> DataFrame:
-    """Write ``df`` in place of some buckets, or of all, then the pointer; returns the rows of the new state. ``dealt``: a partition of ``df`` is a bucket."""
+    """Write ``df`` in place of some buckets, or of all, then the pointer; returns the rows of the new state. ``dealt``: rows of ``df`` come bucket after bucket."""
     spark, path = df.sparkSession, before.path
     dirs = {} if replaced is None else {b: d for b, d in before.dirs.items() if b not in set(replaced) and b != WHOLE}
     target = f"data/{uuid.uuid4().hex}"
@@ -120,7 +154,8 @@ def _write(df: DataFrame, before: Layout, keys: Sequence[Key], buckets: int, rep
         placed = df.withColumn("__bucket", _bucket(keys, buckets))
         # Rebalance by bucket: few files per bucket, and a large one is split over several tasks.
         placed = placed if dealt else placed.hint("rebalance", "__bucket")
-        placed.write.option("compression", COMPRESSION).partitionBy("__bucket").parquet(f"{path}/{target}")
+        with _open_files(spark) if dealt else nullcontext():
+            placed.write.option("compression", COMPRESSION).partitionBy("__bucket").parquet(f"{path}/{target}")
         # As many names as there are buckets at most.
         written = spark.read.schema("__bucket int").parquet(f"{path}/{target}").select("__bucket").distinct().collect()
         dirs |= {r[0]: f"{target}/__bucket={r[0]}" for r in written}
@@ -173,13 +208,14 @@ def merge_dataset(
 
 
 def merge_counted(
-    spark: SparkSession, path: str, new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str], buckets: int | None = None
+    spark: SparkSession, path: str, new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str], buckets: int | None = None, latest: bool = False
 ) -> Merged:
     """Upsert ``new`` into the dataset.
 
     ``new`` is read several times: stage what is costly to compute. Order columns that
     only say what arrived last (``ARRIVAL``) aren't stored in a new dataset. Without
-    ``buckets`` the recorded number stays, or a new dataset gets ``BUCKETS``.
+    ``buckets`` the recorded number stays, or a new dataset gets ``BUCKETS``. ``latest``: ``new``
+    is stored in the same buckets and has one row per key, the last.
 
     Raises:
         OptionError: when the dataset is kept in other buckets; a key would then be looked for in the wrong one.
@@ -188,7 +224,7 @@ def merge_counted(
     buckets = buckets or recorded_buckets(before) or BUCKETS
     if not before.dirs:
         target = [c for c in new.columns if c not in order_cols or c not in ARRIVAL]
-        rows = _write(last_wins_of(new, keys, order_cols).select(*[quoted(c) for c in target]), before, keys, buckets, None)
+        rows = _write((new if latest else last_wins_of(new, keys, order_cols)).select(*[quoted(c) for c in target]), before, keys, buckets, None, dealt=latest)
         return Merged(rows, rows.count(), 0, 0)
     if before.keys != _named(keys, buckets):
         raise OptionError(f"{path} is kept in {before.keys or 'one piece'}, not in {_named(keys, buckets)}")
@@ -199,43 +235,76 @@ def merge_counted(
     if existing is None:
         # Only new buckets: the stored rows say nothing but the columns.
         existing = before.read(spark).limit(0)
-    counts = {(r["bucket"], r["change"]): r["n"] for r in _compared(existing, new, keys, order_cols, buckets).groupBy("bucket", "change").agg(F.count("*").alias("n")).collect()}
+    counts = {(r["bucket"], r["change"]): r["n"] for r in _compared(existing, new, keys, order_cols, buckets, latest).groupBy("bucket", "change").agg(F.count("*").alias("n")).collect()}
     sums = {kind: sum(n for (_, k), n in counts.items() if k == kind) for kind in ("added", "changed", "equal")}
     touched = sorted({b for b, kind in counts if kind != "equal"})
     if not touched:
         return Merged(before.read(spark), **sums)
-    kept = before.read(spark, touched)
-    kept = existing.limit(0) if kept is None else kept
     came = new.where(_bucket(keys, buckets).isin(touched))
-    latest = last_wins_of(came, keys, order_cols).drop(*[c for c in order_cols if c not in existing.columns])
-    merged = _met(kept, keys, came, keys, buckets, "left_anti").unionByName(deal(latest, keys, buckets), allowMissingColumns=True)
-    # All buckets keep the stored types.
-    rows = _write(merged.withColumns({f.name: quoted(f.name).cast(f.dataType) for f in existing.schema}), before, keys, buckets, touched, dealt=True)
+    merged = (came if latest else deal(last_wins_of(came, keys, order_cols), keys, buckets)).drop(*[c for c in order_cols if c not in existing.columns])
+    kept = before.read(spark, touched)
+    if kept is not None:
+        if kept.count() <= PLACED_ROWS and len(kept.inputFiles()) <= FILES_PER_BUCKET * len(touched):
+            left = _left(kept, keys, came, buckets)
+        else:
+            left = _met(kept, keys, came, keys, buckets, "left_anti")
+        merged = left.unionByName(merged, allowMissingColumns=True)
+    # All buckets keep the stored types; a row that lacks a stored column has null there.
+    cells = [(quoted(f.name) if f.name in merged.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in existing.schema]
+    more = [quoted(c) for c in merged.columns if c not in existing.columns]
+    rows = _write(merged.select(*cells, *more), before, keys, buckets, touched, dealt=True)
     return Merged(rows, **sums)
 
 
-def _compared(existing: DataFrame, new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str], buckets: int) -> DataFrame:
+def _left(kept: DataFrame, keys: Sequence[Key], came: DataFrame, buckets: int) -> DataFrame:
+    """Stored rows whose keys are not among those of ``came``, as the scan gives them: only their keys and places are shuffled."""
+    names, place = [f"__mine{i}" for i in range(len(keys))], ("__bucket", "__file", "__block")
+    at = F.col("_metadata.row_index")
+    where = [_bucket(keys, buckets), F.col("_metadata.file_name"), F.expr(f"_metadata.row_index div {BITS}")]
+    where = [c.alias(n) for c, n in zip(where, place, strict=True)]
+    stored = kept.select(*[t.alias(n) for t, n in zip(_texts(keys), names, strict=True)], *where, F.pmod(at, F.lit(BITS)).alias("__bit"))
+    replaced = _same_texts(stored, names, came, keys, buckets)
+    bits = replaced.groupBy(*place).agg(F.bitmap_construct_agg("__bit").alias("__bits"))
+    rows = kept.select("*", *where, F.pmod(at, F.lit(BITS)).cast("int").alias("__bit")).join(F.broadcast(bits), list(place), "left")
+    # Bit n is bit n % 8 of byte n / 8, from the lowest.
+    byte = F.conv(F.hex(F.expr("substring(__bits, __bit div 8 + 1, 1)")), 16, 10).cast("int")
+    gone = F.getbit(byte, F.col("__bit") % 8) == 1
+    return rows.where(F.col("__bits").isNull() | ~gone).select(*[quoted(c) for c in kept.columns])
+
+
+def _same_texts(stored: DataFrame, names: Sequence[str], came: DataFrame, keys: Sequence[Key], buckets: int) -> DataFrame:
+    """The rows of ``stored`` whose texts in ``names`` are those of a key of ``came``."""
+    theirs = [f"__their{i}" for i in range(len(names))]
+    wanted = came.select(*[t.alias(n) for t, n in zip(_texts(keys), theirs, strict=True)]).distinct().repartition(buckets, *theirs)
+    same = None
+    for a, b in zip(names, theirs, strict=True):
+        test = F.col(a) == F.col(b)
+        same = test if same is None else same & test
+    return stored.repartition(buckets, *names).join(wanted, same, "left_semi")
+
+
+def _compared(existing: DataFrame, new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str], buckets: int, latest: bool = False) -> DataFrame:
     """``bucket`` and ``change`` of each key of the delta: ``added``, ``changed`` or ``equal``, by digests of the rows."""
     stored = existing.schema
     more = [c for c in new.columns if c not in stored.names and c not in order_cols]
     names = [f"__k{i}" for i in range(len(keys))]
 
     def digested(df: DataFrame, digest: str, *others: Column) -> DataFrame:
-        # The text of a row names its fields, so a null can't be taken for another column's.
+        # The text of a row names its fields, so a null can't be taken for another column's. Two rows of one key are compared: half of a SHA-256 tells them apart.
         cells = [(quoted(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in stored]
-        row = F.unhex(F.sha2(F.to_json(F.struct(*cells)), 256))
-        return df.select(*[(k if isinstance(k, Column) else quoted(k)).alias(n) for k, n in zip(keys, names, strict=True)], _bucket(keys, buckets).alias("bucket"), row.alias(digest), *others)
-
-    # Only digests move, of the delta's last rows too.
-    ordered = digested(new, "__new", F.struct(*[quoted(c) for c in order_cols]).alias("__order"))
-    arrived = ordered.groupBy(*names).agg(F.max_by("__new", "__order").alias("__new"), F.min("bucket").alias("bucket"))
+        row = F.substring(F.unhex(F.sha2(F.to_json(F.struct(*cells)), 256)), 1, 16)
+        return df.select(*[t.alias(n) for t, n in zip(_texts(keys), names, strict=True)], row.alias(digest), *others)
+
+    # Only digests move, of the delta's last rows too, and once: the join goes by the texts that both sides are grouped by.
+    if latest:
+        arrived = digested(new, "__new")
+    else:
+        ordered = digested(new, "__new", F.struct(*[quoted(c) for c in order_cols]).alias("__order"))
+        arrived = ordered.groupBy(*names).agg(F.max_by("__new", "__order").alias("__new"))
     present = digested(existing, "__old").groupBy(*names).agg(F.min("__old").alias("__old"), F.count("*").alias("__copies"))
-    same = None
-    for n in names:
-        test = arrived[n].eqNullSafe(present[n])
-        same = test if same is None else same & test
     change = F.when(F.col("__copies").isNull(), "added").when((F.col("__old") == F.col("__new")) & (F.col("__copies") == 1) & F.lit(not more), "equal").otherwise("changed")
-    return arrived.join(present, same, "left").select("bucket", change.alias("change"))
+    bucket = F.pmod(F.hash(*names), F.lit(buckets)).cast("int")
+    return arrived.join(present, names, "left").select(bucket.alias("bucket"), change.alias("change"))
 
 
 def vacuum(spark: SparkSession, path: str, keep: int = 2, lost_after_hours: float = 24) -> int:

@@ -219,6 +219,36 @@ def test_staged_frames_are_not_written_again(spark, rows, tmp_path):
         jobs.sync(spark, frames(20), target, TS.format(5), dealt=True)
 
 
+def test_dealt_records_and_stored_rows_are_not_dealt_again(spark, rows, tmp_path, monkeypatch):
+    def frames(ids, at, version):
+        found = {name: spark.createDataFrame([], landing.schema_of(name)) for name in landing.REQUIRED}
+        ids = spark.createDataFrame([(i,) for i in ids], "id bigint")
+        found["submissions"] = ids.selectExpr("id", f"'{at}' as dateLastActivity")
+        lines = ids.selectExpr("id as _submission_id", f"explode(array({version}, {version - 1})) as version")
+        found["publications"] = store.deal(lines, ["_submission_id"], 16).withColumn("abstract", F.repeat(F.col("version").cast("string"), 9))
+        return found
+
+    plans, write = {}, store._write
+
+    def seen(df, before, *args, **kwargs):
+        plans[before.path] = df._jdf.queryExecution().optimizedPlan(), df
+        return write(df, before, *args, **kwargs)
+
+    target = str(tmp_path / "data")
+    options = {"stats": False, "staged": True, "dealt": True, "buckets": 16}
+    jobs.sync(spark, frames(range(40), TS.format(3), 2), target, TS.format(3), full=True, **options)
+    monkeypatch.setattr(store, "_write", seen)
+    got = counts(jobs.sync(spark, frames(range(30, 50), TS.format(9), 8), target, TS.format(9), incremental=True, **options))
+    assert [got[("publications", m)] for m in ("fetched", "added", "changed", "equal", "total")] == [40, 10, 10, 0, 80]
+    assert rows(store.read(spark, f"{target}/publications").where("_submission_id between 29 and 31"), "_submission_id", "version", "abstract") == [
+        (29, 1, "1" * 9), (29, 2, "2" * 9), (30, 8, "8" * 9), (31, 8, "8" * 9),
+    ]
+    # What is shuffled on the way to the stored rows and to the delta: keys, places and, once, the records before they are wide.
+    for path in (f"{target}/publications", f"{target}/delta/publications"):
+        for line in plans[path][0].toString().split("RepartitionByExpression")[1:]:
+            assert "abstract" not in line.split("\n")[1], line
+
+
 def test_download_plan_job(spark, rows, tmp_path):
     files = spark.createDataFrame(
         [(1, 1, 10, 2, "a", "u"), (1, 2, 11, 11, "b", "u"), (2, 3, 12, 4, "c", "u")],

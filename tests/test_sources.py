@@ -166,6 +166,23 @@ def test_rows_dealt_by_bucket_move_once(spark, rows, tmp_path):
     assert rows(merged.rows) == [(None, 70), (1, 1), (2, 2), (4, 70), (5, 5), (7, 7), (8, 8), (50, 70)]
 
 
+def test_stored_rows_stay_where_they_are_read(spark, rows, tmp_path, monkeypatch):
+    # More rows in a file than a bitmap holds, a key stored twice, null keys.
+    stored = spark.range(90_000).selectExpr("if(id % 30000 = 5, null, id div if(id < 4, 2, 1)) as k", "id as n")
+    delta = spark.range(0, 100_000, 7).selectExpr("if(id = 7, null, id) as k", "-id as n")
+    expected = None
+    for name, files in (("places", 8), ("dealt", 0)):
+        path = str(tmp_path / name)
+        monkeypatch.setattr(store, "FILES_PER_BUCKET", files)
+        store.replace_dataset(stored.coalesce(1), path, ["k"], 2)
+        merged = store.merge_counted(spark, path, delta, ["k"], ["n"])
+        got = merged.rows.agg(F.count("*"), F.count("k"), F.sum("k"), F.sum("n"), F.sum(F.hash("k", "n"))).first()
+        assert expected in (None, got) and got[0] - got[1] == 1
+        expected = got
+        assert (merged.added, merged.changed + merged.equal) == (1428, 12858)
+        assert rows(merged.rows.where("k < 9")) == [(0, 0), (1, 2), (1, 3), (4, 4), (6, 6), (7, 7), (8, 8)]
+
+
 def test_state(spark, rows, tmp_path):
     directory = str(tmp_path / "state")
     empty = state.load_state(spark, directory)
