@@ -21,7 +21,7 @@ from foliate.plans import api, landing, specs
 from foliate.plans.articles import articles_checks, normalize_articles
 from foliate.plans.reviews import normalize_reviews
 from foliate.schema import TableSpec
-from foliate.session import remove_path, small_frame
+from foliate.session import broadcast_by_measure, remove_path, small_frame
 from foliate.sources import profiles, store, timeline
 from foliate.sources.records import read_datasets
 from foliate.sources.reports import accepted_reports, latest_snapshot, read_report_csv
@@ -251,6 +251,7 @@ class _Run:
         self.metrics.add(name, "total", saved.count())
 
 
+@broadcast_by_measure
 def sync(
     spark: SparkSession,
     landed: str | Mapping[str, DataFrame | None],

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +80,37 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """The session with other settings, which are put back."""
+    before = {name: spark.conf.get(name, None) for name in conf}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def broadcast_by_measure[T](job: Callable[..., T]) -> Callable[..., T]:
+    """``job``, whose first argument is the session, with joins that are broadcast only by the measured size of a side, up to Spark's threshold.
+
+    Before it has run, a side that is read from files counts as large as these are when compressed, a small
+    part of what its keys and digests take in memory. AQE keeps a broadcast that was planned so,
+    whatever it measures, if the other join needs one more shuffle; all of it then passes through the driver.
+    """
+
+    @wraps(job)
+    def measured(spark: SparkSession, *args, **kwargs) -> T:
+        planned, running = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+        most = spark.conf.get(running, None) or spark.conf.get(planned)
+        with settings(spark, {planned: "-1", running: most}):
+            return job(spark, *args, **kwargs)
+
+    return measured
+
+
 def spread(df: DataFrame, partitions: int) -> DataFrame:
     """Deal rows that come in few pieces over ``partitions``, before work that takes long for each row.
 

@@ -15,8 +15,8 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Iterable, Iterator, Mapping, Sequence
-from contextlib import contextmanager, nullcontext
+from collections.abc import Iterable, Mapping, Sequence
+from contextlib import AbstractContextManager, nullcontext
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from foliate.errors import DataError, OptionError
 from foliate.operators.merge import ARRIVAL, Key, last_wins_of
 from foliate.schema import quoted
-from foliate.session import list_folder, remove_path, small_frame
+from foliate.session import broadcast_by_measure, list_folder, remove_path, settings, small_frame
 
 POINTER_SCHEMA = "bucket int, dir string, keys string"
 #: A merge rewrites one bucket at least: give a large dataset as many as make one a task's work.
@@ -133,16 +133,9 @@ def last_of(df: DataFrame, keys: Sequence[Key], order_cols: Sequence[str], bucke
     return dealt.groupBy(*names).agg(F.max_by("__row", "__order").alias("__row"), F.count("*").alias(RECORDS)).select("__row.*", RECORDS)
 
 
-@contextmanager
-def _open_files(spark: SparkSession) -> Iterator[None]:
+def _open_files(spark: SparkSession) -> AbstractContextManager[None]:
     """Tasks that meet few buckets write them without a sort, which would hold or spill all their rows."""
-    name = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(OPEN_FILES))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    return settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)})
 
 
 def _write(df: DataFrame, before: Layout, keys: Sequence[Key], buckets: int, replaced: Iterable[int] | None, dealt: bool = False) -> DataFrame:
@@ -207,6 +200,7 @@ def merge_dataset(
     return merge_counted(spark, path, new, keys, order_cols, buckets).rows
 
 
+@broadcast_by_measure
 def merge_counted(
     spark: SparkSession, path: str, new: DataFrame, keys: Sequence[Key], order_cols: Sequence[str], buckets: int | None = None, latest: bool = False
 ) -> Merged:

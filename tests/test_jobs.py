@@ -249,6 +249,32 @@ def test_dealt_records_and_stored_rows_are_not_dealt_again(spark, rows, tmp_path
             assert "abstract" not in line.split("\n")[1], line
 
 
+def test_no_join_of_a_sync_is_broadcast_by_the_size_of_files(spark, rows, tmp_path, monkeypatch):
+    found = {name: store.deal(spark.createDataFrame([], landing.schema_of(name)), ["id" if name != "publications" else "_submission_id"], 16) for name in landing.REQUIRED}
+    role = "struct(id, 'G' as name, 'g' as abbrev, if(id % 2 = 0, 4096, 16) as roleId)"
+    found["users"] = store.deal(spark.range(200).selectExpr("id", f"array({role}) as groups"), ["id"], 16)
+    found["user_details"] = store.deal(spark.range(300).selectExpr("id", "'CA' as country"), ["id"], 16)
+    plans, met, compared = [], store._met, store._compared
+
+    def planned(step):
+        def wrapped(*args, **kwargs):
+            df = step(*args, **kwargs)
+            plans.append(df._jdf.queryExecution().sparkPlan().toString())
+            return df
+
+        return wrapped
+
+    monkeypatch.setattr(store, "_met", planned(met))
+    monkeypatch.setattr(store, "_compared", planned(compared))
+    target = str(tmp_path / "data")
+    options = {"stats": False, "staged": True, "dealt": True, "buckets": 16, "user_details": True}
+    jobs.sync(spark, found, target, TS.format(3), full=True, user_roles=[4096], **options)
+    got = counts(jobs.sync(spark, found, target, TS.format(9), incremental=True, user_roles=[16], **options))
+    assert [got[("user_details", m)] for m in ("fetched", "added", "total")] == [100, 100, 200]
+    assert rows(store.read(spark, f"{target}/user_details").groupBy("_fetched_at").count()) == [(TS.format(3), 100), (TS.format(9), 100)]
+    assert len(plans) >= 5 and not any("BroadcastHashJoin" in plan for plan in plans)
+
+
 def test_download_plan_job(spark, rows, tmp_path):
     files = spark.createDataFrame(
         [(1, 1, 10, 2, "a", "u"), (1, 2, 11, 11, "b", "u"), (2, 3, 12, 4, "c", "u")],

@@ -183,6 +183,34 @@ def test_stored_rows_stay_where_they_are_read(spark, rows, tmp_path, monkeypatch
         assert rows(merged.rows.where("k < 9")) == [(0, 0), (1, 2), (1, 3), (4, 4), (6, 6), (7, 7), (8, 8)]
 
 
+def test_a_merge_broadcasts_by_measured_size(spark, tmp_path, monkeypatch):
+    name, plans, compared = "spark.sql.autoBroadcastJoinThreshold", [], store._compared
+
+    def seen(*args):
+        df = compared(*args)
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    def merge(stored, path):
+        came = spark.range(500, 1500).selectExpr("id as k", "1 as n")
+        store.replace_dataset(spark.range(stored).selectExpr("id as k", "0 as n"), f"{path}/kept", ["k"], 2)
+        came = store.replace_dataset(store.deal(came, ["k"], 2), f"{path}/came", ["k"], 2, dealt=True)
+        merged = store.merge_counted(spark, f"{path}/kept", came, ["k"], ["n"], 2, latest=True)
+        assert spark.conf.get(name) == "4m" and spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
+        return merged.added, merged.changed, merged.rows.count()
+
+    monkeypatch.setattr(store, "_compared", seen)
+    spark.conf.set(name, "4m")
+    try:
+        # Digests of 100,000 rows are larger than 4 MB, their compressed files are not.
+        assert merge(100_000, str(tmp_path / "many")) == (0, 1000, 100_000)
+        assert merge(1000, str(tmp_path / "few")) == (500, 500, 1500)
+    finally:
+        spark.conf.unset(name)
+    assert ["BroadcastHashJoin" in plan for plan in plans] == [False, True]
+
+
 def test_state(spark, rows, tmp_path):
     directory = str(tmp_path / "state")
     empty = state.load_state(spark, directory)
